@@ -1,5 +1,9 @@
 """Keep a keyed vector collection in step with a corpus of question/answer files."""
 
+import sys
+
+from pyspark import cloudpickle
+
 from tidemark.functions.chunking import chunk, explode_chunks, fixed_windows
 from tidemark.functions.encoding import encode, hashing_encoder, vector_faults
 from tidemark.functions.identity import content_hash, point_id, text_hash, uuid5, with_identity
@@ -22,3 +26,7 @@ __all__ = [
     "open_collection", "point_id", "read_points", "read_qas", "read_state", "save_state", "start_ingest",
     "sync", "text_hash", "uuid5", "vector_faults", "with_identity",
 ]
+
+# The functions that run in Python workers travel with the job, so executors need no
+# copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

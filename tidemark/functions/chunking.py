@@ -106,16 +106,25 @@ def fixed_windows(text: Column, size: int, overlap: int) -> Column:
     check_chunking(size, overlap)
     step = size - overlap
     span = -(-size // step)
-    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
     count = F.greatest(F.lit(1), F.ceil((F.length(text) - overlap) / F.lit(step))).cast("int")
-    wanted = F.filter(blocks, lambda _, i: i < count)
-    return F.transform(
-        wanted,
-        lambda _, i: F.substring(F.array_join(F.slice(blocks, i + 1, span), ""), 1, size),
-    )
+
+    def windows(blocks: Column) -> Column:
+        return F.transform(
+            F.slice(blocks, 1, count),
+            lambda _, i: F.substring(F.array_join(F.slice(blocks, i + 1, span), ""), 1, size),
+        )
+
+    # Bound by a one-element transform: named twice in a lambda, the regular
+    # expression would run again for every window.
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
+    return F.element_at(F.transform(F.array(blocks), windows), 1)
 
 
 def explode_chunks(df: DataFrame, chunks: str = "chunks", number: str = "chunk_no", out: str = "chunk") -> DataFrame:
-    """One row per chunk with its zero-based position."""
+    """One row per chunk with its zero-based position.
+
+    The plain explode would make Spark infer a filter on the array and push it
+    below, which runs the splitter twice; the outer one does not.
+    """
     others = [c for c in df.columns if c != chunks]
-    return df.select(*others, F.posexplode(chunks).alias(number, out))
+    return df.select(*others, F.posexplode_outer(chunks).alias(number, out)).where(F.col(number).isNotNull())

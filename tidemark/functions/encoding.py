@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from typing import Any
 
 import numpy as np
@@ -30,20 +31,26 @@ def hashing_encoder(dim: int) -> Callable[[], Encoder]:
         digest = hashlib.md5(token.encode("utf-8"), usedforsecurity=False).hexdigest()
         return int(digest[:8], 16) % dim, 1 if int(digest[8], 16) % 2 == 0 else -1
 
-    def encode(texts: list[str]) -> np.ndarray:
-        words = pc.utf8_split_whitespace(pa.array(texts, pa.large_string()))
-        counts = pc.list_value_length(words).to_numpy(zero_copy_only=False)
-        coded = words.flatten().dictionary_encode()
-        known = [bucket_and_sign(t) if t else (0, 0) for t in coded.dictionary.to_pylist()]
-        table = np.array(known, dtype=np.int64).reshape(-1, 2)[coded.indices.to_numpy(zero_copy_only=False)]
-        rows = np.repeat(np.arange(len(texts)), counts)
-        sums = np.bincount(
-            rows * dim + table[:, 0], weights=table[:, 1], minlength=len(texts) * dim
-        ).reshape(len(texts), dim)
-        norm = np.sqrt((sums * sums).sum(axis=1, keepdims=True))
-        return np.divide(sums, norm, out=np.zeros_like(sums), where=norm > 0).astype(np.float32)
-
-    return lambda: encode
+    def build() -> Encoder:
+        # Tokens repeat a lot; the cache lives as long as the task.
+        lookup = lru_cache(maxsize=1 << 16)(bucket_and_sign)
+        return lambda texts: _sum_buckets(texts, lookup, dim)
+
+    return build
+
+
+def _sum_buckets(texts: list[str], lookup: Callable[[str], tuple[int, int]], dim: int) -> np.ndarray:
+    words = pc.utf8_split_whitespace(pa.array(texts, pa.large_string()))
+    counts = pc.list_value_length(words).to_numpy(zero_copy_only=False)
+    coded = words.flatten().dictionary_encode()
+    known = [lookup(t) if t else (0, 0) for t in coded.dictionary.to_pylist()]
+    table = np.array(known, dtype=np.int64).reshape(-1, 2)[coded.indices.to_numpy(zero_copy_only=False)]
+    rows = np.repeat(np.arange(len(texts)), counts)
+    sums = np.bincount(
+        rows * dim + table[:, 0], weights=table[:, 1], minlength=len(texts) * dim
+    ).reshape(len(texts), dim)
+    norm = np.sqrt((sums * sums).sum(axis=1, keepdims=True))
+    return np.divide(sums, norm, out=np.zeros_like(sums), where=norm > 0).astype(np.float32)
 
 
 def encode_column(

@@ -203,8 +203,8 @@ FROM files""",
 SELECT point_id, source AS source_file, pos, question_hash, copies FROM c""",
     "dedup_last_wins": f"""WITH items AS ({_DOCUMENT_ITEMS}), {_last('c', 'items', 'sha256(q)')}
 SELECT point_id, pos, q, a, product, array_to_string(keywords, '|') AS keywords FROM c""",
-    "diff_ops": f"""{_BY_QUESTION} SELECT point_id, op, source_file, pos, question_hash, copies,
-       previous_source, previous_hash, was_known FROM compared""",
+    "diff_ops": f"""{_BY_QUESTION} SELECT point_id, op, source_file, coalesce(pos, -1) AS pos, question_hash,
+       copies, previous_source, previous_hash, was_known FROM compared""",
     "diff_counts": f"{_BY_QUESTION} {_OP_COUNTS}",
     "diff_content_key": f"{_BY_CONTENT} {_OP_COUNTS}",
     "change_totals": _BY_QUESTION + _totals("op IN ('insert', 'update')"),

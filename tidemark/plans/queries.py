@@ -83,7 +83,7 @@ def _compared(spark: SparkSession, folder: str, change_key: str = "question") ->
 
 
 def diff_ops(spark: SparkSession, folder: str) -> DataFrame:
-    return _compared(spark, folder)
+    return _compared(spark, folder).withColumn("pos", F.coalesce("pos", F.lit(-1).cast("bigint")))
 
 
 def diff_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -164,19 +164,25 @@ def _stored_points(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def applied_changes(spark: SparkSession, folder: str) -> DataFrame:
-    current = d.dedup_last(with_identity(t.current_items(spark, folder), change_key="content"))
+    items = with_identity(t.current_items(spark, folder), change_key="content")
+    points = _stored_points(spark, folder)
     compared = d.compare(
-        d.current_points(current),
-        _stored_points(spark, folder).select("point_id", F.col("source").alias("source_file"), "question_hash"),
+        d.current_points(items), points.select("point_id", F.col("source").alias("source_file"), "question_hash")
     )
-    wanted = compared.where("op IN ('insert', 'update')").select("point_id")
-    upserts = current.join(wanted, "point_id", "left_semi").select("point_id", "source", "pos", "question_hash")
-    gone = compared.where("op = 'delete'").select("point_id")
-    return apply_changes(_stored_points(spark, folder), upserts, gone, key="point_id")
+    # Read three times below; the comparison is narrow, so it is cheap to keep.
+    changes = scratch.materialise(compared, scratch.shared_folder(spark))
+    wanted = changes.where("op IN ('insert', 'update')").select(
+        "point_id", F.col("source_file").alias("source"), "pos"
+    )
+    upserts = items.join(wanted, ["point_id", "source", "pos"], "left_semi").select(
+        "point_id", "source", "pos", "question_hash"
+    )
+    return apply_changes(points, upserts, changes.where("op = 'delete'").select("point_id"), key="point_id")
 
 
 def chunk_fixed(spark: SparkSession, folder: str) -> DataFrame:
-    windows = t.table(spark, folder, "documents").select(
+    documents = t.spread(t.table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+    windows = documents.select(
         "doc_id", fixed_windows(F.col("text"), SIZE, OVERLAP).alias("chunks")
     )
     return explode_chunks(windows)
@@ -194,13 +200,12 @@ def chunk_fixed_stats(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def chunk_recursive(spark: SparkSession, folder: str) -> DataFrame:
-    return explode_chunks(
-        chunk(t.table(spark, folder, "documents").select("doc_id", "text"), "text", SIZE, OVERLAP).drop("text")
-    )
+    documents = t.spread(t.table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+    return explode_chunks(chunk(documents, "text", SIZE, OVERLAP).drop("text"))
 
 
 def chunk_recursive_small(spark: SparkSession, folder: str) -> DataFrame:
-    turns = t.table(spark, folder, "conversations").select("conv_id", "turn", "text")
+    turns = t.spread(t.table(spark, folder, "conversations").select("conv_id", "turn", "text"), "conv_id", "turn")
     return explode_chunks(chunk(turns, "text", SMALL_SIZE, SMALL_OVERLAP).drop("text"))
 
 
@@ -217,7 +222,8 @@ def chunk_without_overlap(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def payload_build(spark: SparkSession, folder: str) -> DataFrame:
-    items = chunk(with_identity(t.current_items(spark, folder)), "a", SIZE, OVERLAP)
+    items = with_identity(t.current_items(spark, folder)).repartition("point_id", "pos")
+    items = chunk(items, "a", SIZE, OVERLAP)
     points = build_points(items.withColumn("vector", F.lit(None).cast("array<float>")))
     p = points.select("id", "pos", "payload.*")
     return p.select(
@@ -227,8 +233,9 @@ def payload_build(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def encode_hashed(spark: SparkSession, folder: str) -> DataFrame:
-    vectors = encode(t.table(spark, folder, "documents").select("doc_id", "text"), "text", None, DIM)
-    cells = vectors.select("doc_id", F.posexplode("vector").alias("bucket", "value"))
+    documents = t.spread(t.table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+    vectors = encode(documents, "text", None, DIM)
+    cells = vectors.select("doc_id", F.posexplode_outer("vector").alias("bucket", "value"))
     return cells.where("value <> 0").select("doc_id", "bucket", F.col("value").cast("double").alias("value"))
 
 

@@ -81,7 +81,8 @@ def _ledger(exploded: DataFrame, options: SyncOptions) -> DataFrame:
 def _changed_items(exploded: DataFrame, wanted: DataFrame, count: int, rows: int, options: SyncOptions) -> DataFrame:
     """Whole items for the ``count`` positions in ``wanted``, out of ``rows`` valid ones."""
     items = with_identity(corpus_source.valid_items(exploded), options.namespace, options.change_key)
-    tasks = max(1, -(-count // options.rows_per_task))
+    cores = items.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, -(-count // options.rows_per_task), min(cores, -(-count // options.batch_size)))
     keys = wanted.select("point_id", F.col("source_file").alias("source"), "pos", "question_hash")
     on = ["point_id", "source", "pos", "question_hash"]
     if count == rows:

@@ -22,6 +22,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores for work that is heavy per row on a scan with fewer parts than cores.
+
+    A scan with enough parts is left alone, so a large table is never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def document_items(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select(
         F.concat(F.lit("docs\\"), F.col("source"), F.lit(".json")).alias("source"),
@@ -102,7 +111,7 @@ def raw_files(spark: SparkSession, folder: str) -> DataFrame:
     )
     partial = F.struct(F.col("text").alias("q"), F.col("lang").alias("product"))
     members = F.array_join(F.array(*[F.to_json(x) for x in (item, untyped, partial)]), ",")
-    documents = table(spark, folder, "documents").select(
+    documents = spread(table(spark, folder, "documents"), "doc_id").select(
         F.concat(F.lit("docs/"), F.col("doc_id").cast("string"), F.lit(".json")).alias("source"),
         F.concat(F.lit("["), members, F.lit("]")).alias("content"),
     )

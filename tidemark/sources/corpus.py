@@ -118,6 +118,7 @@ def explode_items(parsed: DataFrame) -> DataFrame:
     part = {key: F.variant_get("item", f"$.{key}", "variant") for key in ITEM_KEYS}
     kind = {key: F.schema_of_variant(part[key]) for key in ITEM_KEYS}
     text = {key: F.try_variant_get("item", f"$.{key}", "string") for key in ITEM_KEYS[:3]}
+    is_object = F.startswith(F.schema_of_variant("item"), F.lit("OBJECT"))
     absent = part["q"].isNull() | part["a"].isNull() | part["product"].isNull() | part["keywords"].isNull()
     mistyped = (
         (kind["q"] != "STRING") | (kind["a"] != "STRING") | (kind["product"] != "STRING")
@@ -125,8 +126,7 @@ def explode_items(parsed: DataFrame) -> DataFrame:
     )
     reason = (
         F.when(F.col("pos").isNull(), F.lit(None))
-        .when(F.col("item").isNull() | ~F.startswith(F.schema_of_variant("item"), F.lit("OBJECT")), "not_object")
-        .when(absent, "missing_key")
+        .when(absent, F.when(is_object, "missing_key").otherwise("not_object"))
         .when(mistyped, "wrong_type")
         .when(is_blank(text["q"]) | is_blank(text["a"]), "blank")
     )
@@ -150,8 +150,8 @@ def rejected_items(exploded: DataFrame) -> DataFrame:
 
 def file_stats(exploded: DataFrame) -> DataFrame:
     """Per file: its status and how many items were valid and rejected."""
-    return exploded.groupBy("source").agg(
-        F.max("status").alias("status"),
+    # A file has one status; as a second key it keeps the aggregation hashed.
+    return exploded.groupBy("source", "status").agg(
         F.count_if(F.col("pos").isNotNull() & F.col("reason").isNull()).alias("valid_items"),
         F.count_if(F.col("reason").isNotNull()).alias("invalid_items"),
     )

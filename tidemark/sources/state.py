@@ -49,7 +49,8 @@ def parse_state(documents: DataFrame, col: str = "value") -> DataFrame:
 
 def state_points(parsed: DataFrame) -> DataFrame:
     """Explode parsed state into one row per point id."""
-    return parsed.select(F.explode("indexed_points").alias("point_id", "entry")).select(
+    entries = parsed.select(F.explode_outer("indexed_points").alias("point_id", "entry"))
+    return entries.where("point_id IS NOT NULL").select(
         "point_id", "entry.source_file", "entry.question_hash"
     )
 

@@ -5,7 +5,8 @@ points and state become visible together or not at all. ``base`` commits hold
 every point, ``delta`` commits only what changed (with a ``deleted`` mark), so a
 run writes as much as changed and not the whole collection. Readers take the
 newest row per id. Once the deltas have grown past a share of the base, the next
-commit writes a new base.
+commit writes a new base. One job writes to a collection at a time; readers may
+run alongside, as the folders of earlier commits stay in place.
 """
 
 from __future__ import annotations
@@ -66,12 +67,9 @@ def open_collection(spark: SparkSession, path: str, name: str) -> Collection | N
         if "PATH_NOT_FOUND" not in str(error):
             raise
         return None
-    # Only commits since the last base matter: a bounded handful of short rows.
-    bases = commits.where("kind = 'base'").agg(F.max("version").alias("version"))
-    rows = (
-        commits.join(F.broadcast(bases.withColumnRenamed("version", "base")), F.col("version") >= F.col("base"))
-        .orderBy("version").collect()
-    )
+    base = commits.where("kind = 'base'").agg(F.max("version")).first()[0]
+    # Commits since the last base: at most one base and ``max_deltas`` short rows.
+    rows = commits.where(F.col("version") >= (base or 0)).orderBy("version").collect()
     if not rows:
         return None
     last = rows[-1]
