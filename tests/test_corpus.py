@@ -48,14 +48,17 @@ def test_folder_cases(spark, tmp_path):
         "invalid_structure.json": ("not_array", 0, 0), "subdir/invalid_items.json": ("ok", 1, 2),
         "bad.json": ("malformed", 0, 0), "latin.json": ("not_utf8", 0, 0)}
     assert corpus_counts(corpus.files).first().asDict() == {
-        "files_found": 6, "files_parsed": 3, "files_failed": 3, "files_with_items": 2,
+        "files_found": 6, "files_parsed": 3, "files_failed": 3, "files_too_large": 0, "files_with_items": 2,
         "items_valid": 2, "items_invalid": 2}
 
 
 def test_missing_root(spark, tmp_path):
     missing = str(tmp_path / "nowhere")
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+    with pytest.raises(FileNotFoundError):
         read_qas(spark, missing).valid.count()
+    write(tmp_path, "file.json", "[]")
+    with pytest.raises(FileNotFoundError):
+        read_qas(spark, str(tmp_path / "file.json"))
     corpus = read_qas(spark, missing, strict=False)
     assert corpus.valid.count() == 0 and corpus.files.count() == 0
     assert corpus.valid.columns == ["source", "pos", "q", "a", "product", "keywords"]

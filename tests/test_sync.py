@@ -1,0 +1,297 @@
+import json
+import logging
+import os
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark import (
+    SyncOptions, count_points, ensure_collection, export_batches, export_counts, load_state, open_collection,
+    read_points, read_state, start_ingest, sync,
+)
+from tidemark.sources import store
+
+ITEM = "source string, pos bigint, q string, a string, product string, keywords array<string>"
+FAST = dict(dim=8, chunk_size=40, chunk_overlap=10)
+
+
+def qa(question, answer="a", product="p", keywords=("k",)):
+    return {"q": question, "a": answer, "product": product, "keywords": list(keywords)}
+
+
+def write(root, name, content):
+    path = root / name
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(content if isinstance(content, str) else json.dumps(content), "utf-8")
+
+
+def report(result):
+    return result.report.first().asDict()
+
+
+def run(spark, root, path, **options):
+    result = sync(spark, str(root), str(path), SyncOptions(**{**FAST, **options}))
+    values = report(result)
+    result.close()
+    return values
+
+
+def some(values, *names):
+    return tuple(values[n] for n in names)
+
+
+CHANGES = ("inserted", "updated", "unchanged", "upserted", "deleted", "points")
+
+
+@pytest.fixture
+def corpus(tmp_path):
+    root = tmp_path / "corpus"
+    write(root, "docs/faq.json", [qa("q1"), qa("q2", "long answer " * 10)])
+    write(root, "docs/manual+1.json", [qa("q1", keywords=[]), {"q": "no answer"}])
+    return root
+
+
+def test_life_of_a_collection(spark, corpus, tmp_path):
+    path = tmp_path / "store"
+    first = run(spark, corpus, path)
+    assert some(first, *CHANGES) == (3, 0, 0, 3, 0, 3)
+    assert some(first, "files_found", "files_parsed", "files_failed", "items_valid", "items_invalid") == (2, 2, 0, 3, 1)
+    collection = open_collection(spark, str(path), "qa-points-v1")
+    points = {r.payload.source + r.payload.question: r for r in read_points(spark, collection).collect()}
+    long = points["docs/faq.jsonq2"]
+    assert len(long.payload.answer) > 1 and all(len(c) <= 40 for c in long.payload.answer) and len(long.vector) == 8
+    assert points["docs/manual+1.jsonq1"].payload.asDict() == {
+        "question": "q1", "answer": ["a"], "product": "p", "keywords": [], "source": "docs/manual+1.json"}
+
+    again = run(spark, corpus, path)
+    assert some(again, *CHANGES) == (0, 0, 3, 0, 0, 3)
+    assert again["version"] == first["version"]
+
+    write(corpus, "docs/faq.json", [qa("q1", "changed answer"), qa("q3")])
+    third = run(spark, corpus, path)
+    assert some(third, *CHANGES) == (1, 0, 2, 1, 1, 3)
+    collection = open_collection(spark, str(path), "qa-points-v1")
+    assert {r.payload.question for r in read_points(spark, collection).collect()} == {"q1", "q3"}
+    assert count_points(spark, collection) == collection.points == 3
+    state = {r.point_id for r in read_state(spark, collection).collect()}
+    assert state == {r.id for r in read_points(spark, collection).collect()}
+
+    forced = run(spark, corpus, path, force=True)
+    assert some(forced, "attempted", "upserted", "unchanged", "deleted", "points") == (3, 3, 3, 0, 3)
+    collection = open_collection(spark, str(path), "qa-points-v1")
+    assert "changed answer" in {r.payload.answer[0] for r in read_points(spark, collection).collect()}
+
+
+def test_content_key_sees_answers(spark, corpus, tmp_path):
+    path = tmp_path / "store"
+    run(spark, corpus, path, change_key="content")
+    write(corpus, "docs/faq.json", [qa("q1", "other"), qa("q2", "long answer " * 10)])
+    assert some(run(spark, corpus, path, change_key="content"), *CHANGES) == (0, 1, 2, 1, 0, 3)
+
+
+def snapshot(folder):
+    return sorted((os.path.relpath(os.path.join(d, f), folder)) for d, _, fs in os.walk(folder) for f in fs)
+
+
+def test_dry_run_writes_nothing(spark, corpus, tmp_path):
+    path = tmp_path / "store"
+    plan = run(spark, corpus, path, dry_run=True)
+    assert some(plan, "to_upsert", "upserted", "deleted", "version") == (3, None, None, None)
+    assert not path.exists()
+    run(spark, corpus, path)
+    before = snapshot(path)
+    write(corpus, "docs/faq.json", [qa("q9")])
+    plan = sync(spark, str(corpus), str(path), SyncOptions(**FAST, dry_run=True))
+    assert some(report(plan), "to_upsert", "to_delete", "simulated_force_deletes") == (1, 2, None)
+    assert [r.payload.question for r in plan.points.collect()] == ["q9"]
+    forced = run(spark, corpus, path, dry_run=True, force=True)
+    assert some(forced, "to_upsert", "to_delete", "simulated_force_deletes") == (2, 2, 3)
+    assert snapshot(path) == before
+
+
+def test_bad_file(spark, corpus, tmp_path):
+    path = tmp_path / "store"
+    run(spark, corpus, path)
+    write(corpus, "docs/faq.json", "[{broken")
+    with pytest.raises(ValueError, match="would be deleted"):
+        run(spark, corpus, path, max_delete_fraction=0.5)
+    kept = run(spark, corpus, path, on_bad_file="keep")
+    assert some(kept, "files_failed", "to_delete", "unchanged", "points") == (1, 0, 3, 3)
+    assert some(run(spark, corpus, path, on_bad_file="keep", broadcast_rows=0), "to_delete", "points") == (0, 3)
+    assert some(run(spark, corpus, path), "files_failed", "deleted", "points") == (1, 2, 1)
+
+
+def test_missing_root_stops_the_run(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        run(spark, tmp_path / "nowhere", tmp_path / "store")
+
+
+def test_duplicate_items(spark, tmp_path):
+    rows = [("f", 0, "q", "first", "p", []), ("f", 1, "q", "second", "p", []), ("f", 2, "z", "a", "p", [])]
+    result = sync(spark, spark.createDataFrame(rows, ITEM), str(tmp_path), SyncOptions(**FAST))
+    assert some(report(result), "evaluated", "attempted", "to_upsert", "points") == (3, 3, 2, 2)
+    assert {tuple(r.payload.answer) for r in result.points.collect()} == {("second",), ("a",)}
+
+
+def test_shuffled_fetch_equals_broadcast_fetch(spark, tmp_path):
+    rows = [("f", i, f"q{i % 70}", f"a{i}", "p", []) for i in range(100)]
+    frame = spark.createDataFrame(rows, ITEM)
+    found = []
+    for name, limit in (("a", 0), ("b", 1000)):
+        result = sync(spark, frame, str(tmp_path / name), SyncOptions(**FAST, broadcast_rows=limit))
+        found.append({(r.id, tuple(r.vector), tuple(r.payload.answer)) for r in result.points.collect()})
+    assert found[0] == found[1] and len(found[0]) == 70
+
+
+def test_failing_encoder_leaves_the_collection_alone(spark, corpus, tmp_path):
+    path = tmp_path / "store"
+    run(spark, corpus, path)
+    write(corpus, "docs/new.json", [qa("boom"), qa("fine")])
+
+    def factory():
+        def encoder(texts):
+            if "boom" in texts:
+                raise RuntimeError("model failed")
+            return np.ones((len(texts), 8))
+        return encoder
+
+    with pytest.raises(Exception, match="model failed"):
+        run(spark, corpus, path, encoder=factory)
+    collection = open_collection(spark, str(path), "qa-points-v1")
+    assert collection.points == count_points(spark, collection) == 3
+    assert some(run(spark, corpus, path), "inserted", "points") == (2, 5)
+
+
+def test_crash_before_the_commit_record_is_invisible(spark, corpus, tmp_path, monkeypatch):
+    path = tmp_path / "store"
+    run(spark, corpus, path)
+    write(corpus, "docs/new.json", [qa("q7")])
+    with monkeypatch.context() as patch:
+        patch.setattr(store, "_commit", lambda *a, **k: (_ for _ in ()).throw(OSError("gone")))
+        with pytest.raises(OSError):
+            run(spark, corpus, path)
+    collection = open_collection(spark, str(path), "qa-points-v1")
+    assert count_points(spark, collection) == 3
+    assert some(run(spark, corpus, path), "inserted", "points") == (1, 4)
+
+
+def test_takeover_of_a_state_file(spark, corpus, tmp_path):
+    first = sync(spark, str(corpus), str(tmp_path / "old"), SyncOptions(**FAST))
+    entries = {r.point_id: {"source_file": r.source_file, "question_hash": r.question_hash}
+               for r in read_state(spark, first.collection).collect() if r.source_file.startswith("docs/faq")}
+    entries["00000000-0000-5000-8000-000000000000"] = {"source_file": "gone.json", "question_hash": "0"}
+    write(tmp_path, "state.json", {"version": "1.0", "last_run_utc": None, "indexed_points": entries})
+    previous = load_state(spark, str(tmp_path / "state.json")).points
+    result = sync(spark, str(corpus), str(tmp_path / "new"), SyncOptions(**FAST), previous)
+    assert some(report(result), "inserted", "unchanged", "to_delete", "points") == (1, 2, 1, 1)
+    assert count_points(spark, result.collection) == 1
+
+
+def vectors(spark, ids, value=0.5):
+    return spark.createDataFrame([(i, [value] * 4, i) for i in ids], "id string, vector array<float>, question_hash string").select(
+        "id", "vector", F.struct(F.col("id").alias("question"), F.array("id").alias("answer"), F.lit("p").alias("product"),
+                                 F.array().cast("array<string>").alias("keywords"), F.lit("s").alias("source")).alias("payload"),
+        "question_hash")
+
+
+def commit(spark, collection, upserts=(), deletes=(), points=0, **options):
+    data = store.new_data_path(collection.path, collection.name)
+    ids = spark.createDataFrame([(i,) for i in deletes], "id string")
+    store.as_rows(vectors(spark, upserts), ids).write.parquet(data)
+    return store.commit_changes(spark, collection, data, len(upserts), len(deletes), points, **options)
+
+
+def ids_of(spark, collection, **options):
+    return sorted(r.id for r in store.read_rows(spark, collection, **options).collect())
+
+
+@pytest.mark.parametrize("fraction", [0.0, 100.0])
+def test_store_commits(spark, tmp_path, fraction):
+    """The same content whether every commit is a new base or deltas pile up."""
+    collection = ensure_collection(spark, str(tmp_path), "c", 4)
+    keep = dict(compact_fraction=fraction, max_deltas=3)
+    assert ids_of(spark, collection) == []
+    collection = commit(spark, collection, "abcde", points=5, **keep)
+    collection = commit(spark, collection, deletes="bd", points=3, **keep)
+    assert ids_of(spark, collection) == list("ace") and count_points(spark, collection) == 3
+    collection = commit(spark, collection, "bx", "a", points=4, **keep)
+    collection = commit(spark, collection, "a", "bq", points=4, **keep)
+    for rows in (0, 100):
+        assert ids_of(spark, collection, broadcast_rows=rows) == list("acex")
+    assert collection.deltas == (0 if fraction == 0 else 3)
+    collection = commit(spark, collection, "z", points=5, **keep)
+    assert ids_of(spark, collection) == list("acexz") and collection.deltas == 0
+    unchanged = store.commit_changes(spark, collection, "unused", 0, 0, 5)
+    assert unchanged is collection
+
+
+def test_collections(spark, tmp_path, caplog):
+    path = str(tmp_path)
+    assert open_collection(spark, path, "c") is None
+    created = ensure_collection(spark, path, "c", 4, "euclidean")
+    assert (created.dim, created.metric, created.points) == (4, "Euclid", 0)
+    filled = commit(spark, created, "ab", points=2)
+    with caplog.at_level(logging.WARNING):
+        assert ensure_collection(spark, path, "c", 9).dim == 4
+    assert "expected dim=9" in caplog.text
+    with pytest.raises(ValueError, match="expected dim=9"):
+        ensure_collection(spark, path, "c", 9, on_mismatch="error")
+    with pytest.raises(ValueError, match="unknown metric"):
+        ensure_collection(spark, path, "other", 4, "Manhattan")
+    assert open_collection(spark, path, "other") is None
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        commit(spark, created, "z", points=1)
+    assert ids_of(spark, filled) == ["a", "b"]
+    emptied = ensure_collection(spark, path, "c", 6, recreate=True)
+    assert (emptied.dim, emptied.points, ids_of(spark, emptied)) == (6, 0, [])
+
+
+def test_state_scan_reads_no_vectors(spark, tmp_path):
+    collection = commit(spark, ensure_collection(spark, str(tmp_path), "c", 4), "ab", points=2)
+    plan = read_state(spark, collection)._jdf.queryExecution().executedPlan().toString()
+    assert "vector" not in plan.split("ReadSchema")[1] and "payload:struct<source:string>" in plan
+
+
+def test_export_in_batches(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def factory():
+        tries = {}
+
+        def writer(batch):
+            key = min(row["id"] for row in batch)
+            tries[key] = tries.get(key, 0) + 1
+            if any(row["id"] == 13 for row in batch):
+                raise ValueError("bad data")
+            if any(row["id"] == 55 for row in batch) and tries[key] < 3:
+                raise ConnectionError("busy")
+            if any(row["id"] == 99 for row in batch):
+                raise TimeoutError("slow")
+            with open(f"{folder}/{key}", "w") as out:
+                json.dump(batch, out)
+        return writer
+
+    frame = spark.range(0, 100, numPartitions=1).withColumn("vector", F.array(F.lit(0.5).cast("float")))
+    results = export_batches(frame, factory, batch_size=10, retry_delay=0.01).persist()
+    rows = {r.batch: (r.rows, r.attempts, r.ok) for r in results.collect()}
+    assert rows == {i: (10, 1, True) for i in (1, 3, 4, 5, 7, 8, 9)} | {
+        2: (10, 1, False), 6: (10, 3, True), 10: (10, 3, False)}
+    assert export_counts(results).first().asDict() == {"succeeded": 80, "failed": 20}
+    assert json.load(open(f"{folder}/0"))[0] == {"id": 0, "vector": [0.5]}
+    empty = export_counts(export_batches(frame.limit(0), factory, 10)).first()
+    assert (empty.succeeded, empty.failed) == (0, 0)
+
+
+def test_stream_adds_and_never_deletes(spark, corpus, tmp_path):
+    path, checkpoint = str(tmp_path / "store"), str(tmp_path / "checkpoint")
+    options = SyncOptions(**FAST)
+    start_ingest(spark, str(corpus), path, checkpoint, options).awaitTermination(120)
+    assert open_collection(spark, path, "qa-points-v1").points == 3
+    os.remove(corpus / "docs" / "manual+1.json")
+    write(corpus, "docs/late.json", [qa("q8"), qa("q9")])
+    start_ingest(spark, str(corpus), path, checkpoint, options, max_files_per_trigger=1).awaitTermination(120)
+    collection = open_collection(spark, path, "qa-points-v1")
+    assert {r.payload.question for r in read_points(spark, collection).collect()} == {"q1", "q2", "q8", "q9"}
+    assert collection.points == count_points(spark, collection) == 5
+    assert some(run(spark, corpus, path), "deleted", "points") == (1, 4)

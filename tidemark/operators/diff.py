@@ -103,19 +103,25 @@ def deletions(current: DataFrame, previous: DataFrame) -> DataFrame:
     return previous.join(current, "point_id", "left_anti")
 
 
-def keep_sources(compared: DataFrame, sources: DataFrame, small: bool = False) -> DataFrame:
+def keep_sources(
+    compared: DataFrame, sources: DataFrame, small: bool = False, salts: int = 32
+) -> DataFrame:
     """Take back the deletes of points whose file could not be read this time.
 
     ``small`` says the caller has counted ``sources`` and they fit a broadcast.
-    Otherwise only the deletes are joined, shuffled by source.
+    Otherwise only the deletes are joined, salted, as one source may hold very
+    many of them.
     """
-    unread = sources.select(F.col("source").alias("previous_source"), F.lit(True).alias("_unread")).distinct()
-    rest, gone = compared.where(F.col("op") != DELETE), compared.where(F.col("op") == DELETE)
-    if small:
-        unread, gone = F.broadcast(unread), compared
+    unread = sources.select(F.col("source").alias("previous_source")).distinct().withColumn("_unread", F.lit(True))
     op = F.when((F.col("op") == DELETE) & F.col("_unread"), UNCHANGED).otherwise(F.col("op"))
-    kept = gone.join(unread, "previous_source", "left").withColumn("op", op).select(*compared.columns)
-    return kept if small else rest.unionByName(kept)
+    if small:
+        joined = compared.join(F.broadcast(unread), "previous_source", "left")
+        return joined.withColumn("op", op).select(*compared.columns)
+    rest, gone = compared.where(F.col("op") != DELETE), compared.where(F.col("op") == DELETE)
+    salted = gone.withColumn("_salt", F.pmod(F.xxhash64("point_id"), F.lit(salts)))
+    copies = unread.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    joined = salted.join(copies, ["previous_source", "_salt"], "left")
+    return rest.unionByName(joined.withColumn("op", op).select(*compared.columns))
 
 
 def op_counts(compared: DataFrame) -> DataFrame:

@@ -196,6 +196,7 @@ SELECT reason, count(*) AS items FROM file_items WHERE reason IS NOT NULL GROUP
 SELECT count(*) AS files_found,
        count(*) FILTER (WHERE status IN ('ok', 'empty')) AS files_parsed,
        count(*) FILTER (WHERE status NOT IN ('ok', 'empty')) AS files_failed,
+       count(*) FILTER (WHERE status = 'too_large') AS files_too_large,
        count(*) FILTER (WHERE valid_items > 0) AS files_with_items,
        CAST(sum(valid_items) AS BIGINT) AS items_valid, CAST(sum(invalid_items) AS BIGINT) AS items_invalid
 FROM files""",

@@ -148,11 +148,11 @@ def state_repair(spark: SparkSession, folder: str) -> DataFrame:
     points = F.create_map(F.col("doc_id").cast("string"), entry).alias("indexed_points")
     whole = F.to_json(F.struct(F.col("lang").alias("version"), points))
     texts = (
-        t.table(spark, folder, "documents").select(F.lit("documents").alias("kind"), whole.alias("value"))
-        .unionByName(t.table(spark, folder, "events").select(F.lit("events").alias("kind"), F.col("props").alias("value")))
-        .unionByName(t.table(spark, folder, "pages").select(F.lit("pages").alias("kind"), F.col("html").alias("value")))
+        t.table(spark, folder, "documents").select(whole.alias("value"))
+        .unionByName(t.table(spark, folder, "events").select(F.col("props").alias("value")))
+        .unionByName(t.table(spark, folder, "pages").select(F.col("html").alias("value")))
     )
-    return state.parse_state(texts.repartition("kind", F.xxhash64("value")).drop("kind")).groupBy(
+    return state.parse_state(texts).groupBy(
         "version", "version_mismatch"
     ).agg(F.count(F.lit(1)).alias("states"), F.sum(F.size("indexed_points")).cast("bigint").alias("entries"))
 
@@ -222,7 +222,8 @@ def chunk_without_overlap(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def payload_build(spark: SparkSession, folder: str) -> DataFrame:
-    items = with_identity(t.current_items(spark, folder)).repartition("point_id", "pos")
+    documents = t.spread(t.document_items(spark, folder), "source", "pos")
+    items = with_identity(documents.unionByName(t.conversation_items(spark, folder)))
     items = chunk(items, "a", SIZE, OVERLAP)
     points = build_points(items.withColumn("vector", F.lit(None).cast("array<float>")))
     p = points.select("id", "pos", "payload.*")

@@ -15,6 +15,7 @@ def corpus_counts(files: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("files_found"),
         F.count_if(~failed).alias("files_parsed"),
         F.count_if(failed).alias("files_failed"),
+        F.count_if(F.col("status") == "too_large").alias("files_too_large"),
         F.count_if(F.col("valid_items") > 0).alias("files_with_items"),
         F.coalesce(F.sum("valid_items"), F.lit(0)).alias("items_valid"),
         F.coalesce(F.sum("invalid_items"), F.lit(0)).alias("items_invalid"),

@@ -121,8 +121,9 @@ def sync(
     ledger = scratch.materialise(_ledger(exploded, options), f"{scratch_path}/ledger")
     files = corpus_source.file_stats(ledger)
     found = corpus_counts(files).first()
-    if ledger.where("status = 'too_large'").limit(1).count():
-        raise ValueError("a file holds an item above the size limit; nothing was changed")
+    if found.files_too_large:
+        # Dropping such a file would delete its points although nothing is wrong with it.
+        raise ValueError(f"{found.files_too_large} files hold an item above the size limit; nothing was changed")
 
     compared = compare(current_points(ledger.where("point_id IS NOT NULL")), previous)
     if options.on_bad_file == "keep" and found.files_failed:

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,27 +36,29 @@ class Corpus(NamedTuple):
 def read_files(spark: SparkSession, root: str, strict: bool = True) -> DataFrame:
     """``(source, content)`` of every ``*.json`` below ``root``; ``source`` is relative to it.
 
-    A missing root raises with ``strict`` and gives no rows otherwise.
+    A root that is no folder raises with ``strict`` and gives no rows otherwise.
     """
     try:
-        files = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.json")
-            .load(root)
-        )
-    except AnalysisException as error:
-        if strict or "PATH_NOT_FOUND" not in str(error):
+        prefix = folder_prefix(spark, root)
+    except FileNotFoundError:
+        if strict:
             raise
         return spark.createDataFrame([], FILE_SCHEMA)
-    base = qualified_base(spark, root)
-    return files.select(relative_path(F.col("path"), base).alias("source"), "content")
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.json")
+        .load(root)
+    )
+    return files.select(relative_path(F.col("path"), prefix).alias("source"), "content")
 
 
-def qualified_base(spark: SparkSession, root: str) -> str:
-    """``root`` as Spark spells it in the paths of files, with a slash at the end."""
+def folder_prefix(spark: SparkSession, root: str) -> str:
+    """``root`` as Spark spells it in the paths of the files below, with a slash at the end."""
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
     filesystem = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not (filesystem.exists(path) and filesystem.getFileStatus(path).isDirectory()):
+        raise FileNotFoundError(f"{root} is not a folder")
     return filesystem.makeQualified(path).toString().rstrip("/") + "/"
 
 

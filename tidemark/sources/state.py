@@ -106,6 +106,7 @@ def save_state(state: DataFrame, path: str, rows_per_file: int = 50_000) -> int:
     """
     total = state.count()
     files = max(1, -(-total // rows_per_file))
-    texts = state_documents(state, files=files).repartition(files, "part")
-    texts.select("value").write.mode("errorifexists").text(path)
+    texts = state_documents(state, files=files).select("value")
+    # A reader takes a file for one document, so no two of them may share one.
+    texts.write.mode("errorifexists").option("maxRecordsPerFile", 1).text(path)
     return total

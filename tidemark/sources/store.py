@@ -83,7 +83,7 @@ def open_collection(spark: SparkSession, path: str, name: str) -> Collection | N
 
 def _commit(
     spark: SparkSession, path: str, name: str, version: int, kind: str, data: str, dim: int, metric: str,
-    upserted: int, deleted: int, points: int,
+    upserted: int, deleted: int, points: int, below: Collection | None = None,
 ) -> Collection:
     """Make a written folder visible. A version that exists already is an error."""
     record = spark.range(1).select(
@@ -93,11 +93,17 @@ def _commit(
         F.lit(points).cast("bigint").alias("points"),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("committed_at"),
     )
-    record.coalesce(1).write.mode("errorifexists").json(f"{_folder(path, name)}/commits/v={version:08d}")
-    opened = open_collection(spark, path, name)
-    if opened is None or opened.version != version:
-        raise RuntimeError(f"commit {version} of collection {name!r} is not visible after writing it")
-    return opened
+    folder = f"{_folder(path, name)}/commits/v={version:08d}"
+    record.coalesce(1).write.mode("errorifexists").json(folder)
+    if spark.read.schema(COMMIT_SCHEMA).json(folder).count() != 1:
+        raise RuntimeError(f"commit {version} of collection {name!r} is not there after writing it")
+    segment = (version, kind, data)
+    if kind == "base" or below is None:
+        return Collection(path, name, dim, metric, version, points, (segment,), points, 0)
+    return replace(
+        below, version=version, points=points, segments=below.segments + (segment,),
+        delta_rows=below.delta_rows + upserted + deleted,
+    )
 
 
 def new_data_path(path: str, name: str) -> str:
@@ -208,7 +214,7 @@ def commit_changes(
                        upserted, 0, points)
     if not grown and collection.deltas < max_deltas:
         return _commit(spark, collection.path, collection.name, version, "delta", data, dim, metric,
-                       upserted, deleted, points)
+                       upserted, deleted, points, collection)
     merged = replace(
         collection, segments=collection.segments + ((version, "delta", data),),
         delta_rows=collection.delta_rows + upserted + deleted,

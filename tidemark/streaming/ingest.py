@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.options import SyncOptions
 from tidemark.plans.sync import sync
-from tidemark.sources.corpus import qualified_base, relative_path
+from tidemark.sources.corpus import folder_prefix, relative_path
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -29,8 +29,8 @@ def read_file_stream(spark: SparkSession, root: str, max_files_per_trigger: int
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .load(root)
     )
-    base = qualified_base(spark, root)
-    return files.select(relative_path(F.col("path"), base).alias("source"), "content")
+    prefix = folder_prefix(spark, root)
+    return files.select(relative_path(F.col("path"), prefix).alias("source"), "content")
 
 
 def start_ingest(
