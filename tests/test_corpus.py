@@ -47,6 +47,9 @@ def test_folder_cases(spark, tmp_path):
         "valid.json": ("ok", 1, 0), "empty_list.json": ("empty", 0, 0),
         "invalid_structure.json": ("not_array", 0, 0), "subdir/invalid_items.json": ("ok", 1, 2),
         "bad.json": ("malformed", 0, 0), "latin.json": ("not_utf8", 0, 0)}
+    assert {r.source: (r.status, r.raw) for r in corpus.errors.collect()} == {
+        "invalid_structure.json": ("not_array", '{"not":"a list"}'),
+        "bad.json": ("malformed", "[{'bad': 'json'}"), "latin.json": ("not_utf8", '[{"q":"\ufffdqu\ufffd?"}]')}
     assert corpus_counts(corpus.files).first().asDict() == {
         "files_found": 6, "files_parsed": 3, "files_failed": 3, "files_too_large": 0, "files_with_items": 2,
         "items_valid": 2, "items_invalid": 2}

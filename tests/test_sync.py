@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import (
-    SyncOptions, count_points, ensure_collection, export_batches, export_counts, load_state, open_collection,
+    SyncOptions, count_points, ensure_collection, export_batches, export_changes, export_counts,
+    load_state, open_collection,
     read_points, read_state, start_ingest, sync,
 )
 from tidemark.sources import store
@@ -283,6 +284,36 @@ def test_export_in_batches(spark, tmp_path):
     assert (empty.succeeded, empty.failed) == (0, 0)
 
 
+def test_export_of_a_run(spark, corpus, tmp_path):
+    first = sync(spark, str(corpus), str(tmp_path / "store"), SyncOptions(**FAST))
+    write(corpus, "docs/faq.json", [qa("q7"), qa("q8"), qa("q1")])
+    second = sync(spark, str(corpus), str(tmp_path / "store"), SyncOptions(**FAST))
+    folder = str(tmp_path)
+
+    def to_file(kind):
+        def factory():
+            def writer(batch):
+                with open(f"{folder}/{kind}-{batch[0]['id']}", "w") as out:
+                    json.dump(batch, out)
+            return writer
+        return factory
+
+    counts = export_changes(second.points, second.delete_ids, to_file("up"), to_file("del"), 1).first()
+    assert tuple(counts) == (2, 0, 1, 0)
+    sent = [json.load(open(p))[0] for p in sorted(tmp_path.glob("up-*"))]
+    assert {(p["payload"]["question"], len(p["vector"])) for p in sent} == {("q7", 8), ("q8", 8)}
+    gone = {r.id for r in first.points.where("payload.question = 'q2'").collect()}
+    assert {p.name[4:] for p in tmp_path.glob("del-*")} == gone
+
+    def refuse():
+        def writer(batch):
+            raise ValueError("no")
+        return writer
+
+    failed = export_changes(second.points, second.delete_ids, to_file("up"), refuse, 1).first()
+    assert tuple(failed) == (2, 0, 0, 1)
+
+
 def test_stream_adds_and_never_deletes(spark, corpus, tmp_path):
     path, checkpoint = str(tmp_path / "store"), str(tmp_path / "checkpoint")
     options = SyncOptions(**FAST)

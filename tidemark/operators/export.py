@@ -83,3 +83,20 @@ def export_counts(results: DataFrame) -> DataFrame:
         F.greatest(F.lit(0), total - failed).cast("bigint").alias("succeeded"),
         failed.cast("bigint").alias("failed"),
     )
+
+
+def export_changes(
+    points: DataFrame, delete_ids: DataFrame, upsert: Callable[[], Writer], delete: Callable[[], Writer],
+    batch_size: int = 128, delete_batch_size: int = 512, max_retries: int = 2, retry_delay: float = 5.0,
+) -> DataFrame:
+    """Send a run's points and then its deletions to an outside store.
+
+    One row: ``upserted, upsert_failed, deleted, delete_failed``. Both writers get
+    row dicts; a failed batch is counted and does not stop the others.
+    """
+    sent = export_counts(export_batches(points, upsert, batch_size, max_retries, retry_delay)).first()
+    gone = export_counts(export_batches(delete_ids, delete, delete_batch_size, max_retries, retry_delay)).first()
+    counts = (sent.succeeded, sent.failed, gone.succeeded, gone.failed)
+    return points.sparkSession.createDataFrame(
+        [counts], "upserted bigint, upsert_failed bigint, deleted bigint, delete_failed bigint"
+    )

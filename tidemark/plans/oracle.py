@@ -192,6 +192,9 @@ SELECT source, CAST(pos AS BIGINT) AS pos, reason FROM file_items WHERE reason I
     "reject_counts": f"""WITH {_FILE_ITEMS}
 SELECT reason, count(*) AS items FROM file_items WHERE reason IS NOT NULL GROUP BY reason""",
     "file_status": f"WITH {_FILES} SELECT source, status, valid_items, invalid_items FROM files",
+    "dropped_files": """
+SELECT 'pages/' || page_id AS source, 'malformed' AS status, left(html, 150) AS raw FROM pages
+UNION ALL SELECT 'events/' || event_id, 'not_array', left(props, 150) FROM events""",
     "corpus_totals": f"""WITH {_FILES}
 SELECT count(*) AS files_found,
        count(*) FILTER (WHERE status IN ('ok', 'empty')) AS files_parsed,

@@ -18,7 +18,9 @@ from tidemark.plans import tables as t
 from tidemark.plans.report import change_counts, corpus_counts
 from tidemark.plans.sync import SyncResult, sync
 from tidemark.sources import scratch, state, store
-from tidemark.sources.corpus import explode_items, file_stats, parse_files, rejected_items, valid_items
+from tidemark.sources.corpus import (
+    explode_items, file_errors, file_stats, parse_files, rejected_items, valid_items,
+)
 
 SIZE, OVERLAP = 1000, 150
 SMALL_SIZE, SMALL_OVERLAP = 120, 30
@@ -56,6 +58,10 @@ def file_status(spark: SparkSession, folder: str) -> DataFrame:
     return file_stats(_exploded(spark, folder))
 
 
+def dropped_files(spark: SparkSession, folder: str) -> DataFrame:
+    return file_errors(_exploded(spark, folder))
+
+
 def reject_counts(spark: SparkSession, folder: str) -> DataFrame:
     return rejected_items(_exploded(spark, folder)).groupBy("reason").agg(F.count(F.lit(1)).alias("items"))
 
@@ -289,7 +295,7 @@ def sync_points(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        doc_identity, content_identity, qa_pairs, qa_valid, qa_rejects, file_status, reject_counts,
+        doc_identity, content_identity, qa_pairs, qa_valid, qa_rejects, file_status, dropped_files, reject_counts,
         corpus_totals, current_points, dedup_last_wins, diff_ops, diff_counts, diff_content_key,
         change_totals, force_totals, force_plan, diff_insert, diff_changed, diff_unchanged, diff_deleted,
         keep_unread, next_state, state_roundtrip, state_repair, applied_changes, chunk_fixed,

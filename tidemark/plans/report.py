@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FILE_ERRORS = ("not_array", "malformed", "not_utf8", "too_large")
+from tidemark.sources.corpus import FILE_ERRORS
 
 
 def corpus_counts(files: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from tidemark.functions.identity import with_identity
 from tidemark.operators.diff import compare, current_points, keep_sources
 from tidemark.operators.points import build_points
 from tidemark.options import SyncOptions, encoder_batch
-from tidemark.plans.report import FILE_ERRORS, change_counts, corpus_counts
+from tidemark.plans.report import change_counts, corpus_counts
 from tidemark.sources import corpus as corpus_source
 from tidemark.sources import scratch, store
 from tidemark.sources.state import empty_state
@@ -35,9 +35,10 @@ REPORT_SCHEMA = (
 
 
 class SyncResult(NamedTuple):
-    """``report`` has one row; ``changes`` the comparison; ``rejects`` the dropped items.
+    """``report`` has one row; ``changes`` is the comparison; ``rejects`` and ``errors``
+    list the dropped items and files.
 
-    ``points`` are the upserts of this run. ``collection`` is None after a dry run
+    ``points`` are the upserts of this run and ``delete_ids`` the ids it removed. ``collection`` is None after a dry run
     on a collection that does not exist. Call :meth:`close` when the DataFrames are
     no longer needed.
     """
@@ -46,7 +47,9 @@ class SyncResult(NamedTuple):
     changes: DataFrame
     rejects: DataFrame
     files: DataFrame
+    errors: DataFrame
     points: DataFrame
+    delete_ids: DataFrame
     collection: store.Collection | None
     scratch_path: str
 
@@ -72,7 +75,7 @@ def _ledger(exploded: DataFrame, options: SyncOptions) -> DataFrame:
     identified = with_identity(exploded, options.namespace, options.change_key)
     valid = F.col("pos").isNotNull() & F.col("reason").isNull()
     return identified.select(
-        "source", "status", "pos", "reason", F.when(F.col("reason").isNotNull(), F.col("raw")).alias("raw"),
+        "source", "status", "pos", "reason", F.when(~valid, F.col("raw")).alias("raw"),
         F.when(valid, F.col("point_id")).alias("point_id"),
         F.when(valid, F.col("question_hash")).alias("question_hash"),
     )
@@ -127,7 +130,7 @@ def sync(
 
     compared = compare(current_points(ledger.where("point_id IS NOT NULL")), previous)
     if options.on_bad_file == "keep" and found.files_failed:
-        bad = ledger.where(F.col("status").isin(*FILE_ERRORS)).select("source")
+        bad = corpus_source.file_errors(ledger)
         compared = keep_sources(compared, bad, small=found.files_failed <= options.broadcast_rows)
     if not options.apply_deletes:
         compared = compared.where("op <> 'delete'")
@@ -167,8 +170,8 @@ def sync(
     columns = [part.split()[0] for part in REPORT_SCHEMA.split(", ")]
     report = spark.createDataFrame([tuple(values[c] for c in columns)], REPORT_SCHEMA)
     return SyncResult(
-        report, changes, corpus_source.rejected_items(ledger), files, points.drop("question_hash"),
-        collection, scratch_path,
+        report, changes, corpus_source.rejected_items(ledger), files, corpus_source.file_errors(ledger),
+        points.drop("question_hash"), gone, collection, scratch_path,
     )
 
 

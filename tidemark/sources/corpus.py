@@ -21,16 +21,25 @@ ITEM_KEYS = ("q", "a", "product", "keywords")
 FILE_SCHEMA = "source string, content binary"
 ITEM_SCHEMA = "source string, pos bigint, q string, a string, product string, keywords array<string>"
 
+# Fixed value: characters of a dropped item or file that are shown.
+PREVIEW = 150
+
 # Size of one item beyond which Spark cannot hold it as a variant.
 ITEM_BYTES = 128 * 1024 * 1024
 
 
+# File statuses that drop the file.
+FILE_ERRORS = ("not_array", "malformed", "not_utf8", "too_large")
+
+
 class Corpus(NamedTuple):
-    """``valid`` items, ``rejects`` with a reason, and one row per file in ``files``."""
+    """``valid`` items, ``rejects`` with a reason, one row per file in ``files``, and the
+    dropped files in ``errors``."""
 
     valid: DataFrame
     rejects: DataFrame
     files: DataFrame
+    errors: DataFrame
 
 
 def read_files(spark: SparkSession, root: str, strict: bool = True) -> DataFrame:
@@ -70,10 +79,10 @@ def relative_path(path: Column, base: str) -> Column:
 
 
 def parse_files(files: DataFrame) -> DataFrame:
-    """Parse ``(source, content)`` to ``(source, status, items array<variant>)``.
+    """Parse ``(source, content)`` to ``(source, status, head, items array<variant>)``.
 
     ``status`` is ``ok``, ``empty``, ``not_array``, ``malformed``, ``not_utf8``
-    or ``too_large``. Items are separate variants, so the size limit of a
+    or ``too_large``; ``head`` shows the start of a file without items. Items are separate variants, so the size limit of a
     variant applies to an item and not to the file.
     """
     # The reader lets the last of two equal keys win only under this setting.
@@ -83,7 +92,10 @@ def parse_files(files: DataFrame) -> DataFrame:
     found = F.col("found")
     opens_array = body.rlike(r"\A[ \t\r\n]*\[")
     return (
-        files.select("source", F.when(F.is_valid_utf8(text), text).alias("text"))
+        files.select(
+            "source", F.when(F.is_valid_utf8(text), text).alias("text"),
+            F.left(F.make_valid_utf8(text), F.lit(PREVIEW)).alias("head"),
+        )
         .withColumn(
             "found",
             F.when(
@@ -101,6 +113,7 @@ def parse_files(files: DataFrame) -> DataFrame:
             .when(is_single_value(body) & F.try_parse_json(body).isNotNull(), "not_array")
             .otherwise("malformed")
             .alias("status"),
+            F.when(found.isNull(), F.col("head")).alias("head"),
             found.alias("items"),
         )
     )
@@ -110,11 +123,12 @@ def explode_items(parsed: DataFrame) -> DataFrame:
     """One row per item, and one with null ``pos`` per file without any.
 
     Columns: ``source, status, pos, reason, q, a, product, keywords, raw``.
-    ``reason`` is null for a valid item.
+    ``reason`` is null for a valid item; ``raw`` starts like the item, or like the file
+    where there is none.
     """
     # An outer explode: the inner one would make Spark infer a filter that parses every file again.
     rows = parsed.select(
-        "source", "status", F.posexplode_outer("items").alias("pos", "item")
+        "source", "status", "head", F.posexplode_outer("items").alias("pos", "item")
     )
     part = {key: F.variant_get("item", f"$.{key}", "variant") for key in ITEM_KEYS}
     kind = {key: F.schema_of_variant(part[key]) for key in ITEM_KEYS}
@@ -135,7 +149,8 @@ def explode_items(parsed: DataFrame) -> DataFrame:
         "source", "status", F.col("pos").cast("bigint").alias("pos"), reason.alias("reason"),
         text["q"].alias("q"), text["a"].alias("a"), text["product"].alias("product"),
         F.try_variant_get("item", "$.keywords", "array<string>").alias("keywords"),
-        F.left(F.to_json("item"), F.lit(150)).alias("raw"),
+        F.when(F.col("pos").isNull(), F.col("head"))
+        .otherwise(F.left(F.to_json("item"), F.lit(PREVIEW))).alias("raw"),
     )
 
 
@@ -149,6 +164,11 @@ def rejected_items(exploded: DataFrame) -> DataFrame:
     return exploded.where("reason IS NOT NULL").select("source", "pos", "reason", "raw")
 
 
+def file_errors(exploded: DataFrame) -> DataFrame:
+    """Files that were dropped as a whole, with how they start."""
+    return exploded.where(F.col("status").isin(*FILE_ERRORS)).select("source", "status", "raw")
+
+
 def file_stats(exploded: DataFrame) -> DataFrame:
     """Per file: its status and how many items were valid and rejected."""
     # A file has one status; as a second key it keeps the aggregation hashed.
@@ -161,4 +181,6 @@ def file_stats(exploded: DataFrame) -> DataFrame:
 def read_qas(spark: SparkSession, root: str, strict: bool = True) -> Corpus:
     """Read and check the corpus below ``root``."""
     exploded = explode_items(parse_files(read_files(spark, root, strict)))
-    return Corpus(valid_items(exploded), rejected_items(exploded), file_stats(exploded))
+    return Corpus(
+        valid_items(exploded), rejected_items(exploded), file_stats(exploded), file_errors(exploded)
+    )
