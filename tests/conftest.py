@@ -9,7 +9,7 @@ def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master(f"local[{os.environ.get('TEST_CPUS', '8')}]")
         .appName("tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")

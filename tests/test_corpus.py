@@ -68,11 +68,12 @@ def test_missing_root(spark, tmp_path):
 
 
 def test_odd_paths_come_back_unchanged(spark, tmp_path):
+    root = tmp_path / "r +%41 ñ"
     names = ["a+b c/ñ%41/x+_(1).json", "Descargar+D/A-20_(51).json", "plain.json"]
     for name in names:
-        write(tmp_path, name, f"[{GOOD}]")
-    for root in (str(tmp_path), str(tmp_path) + "/", f"file:{tmp_path}"):
-        assert {r.source for r in read_qas(spark, root).valid.collect()} == set(names)
+        write(root, name, f"[{GOOD}]")
+    for given in (str(root), str(root) + "/", f"file:{root}"):
+        assert {r.source for r in read_qas(spark, given).valid.collect()} == set(names)
 
 
 ACCEPTED = ["[]", " [] ", "\n[\t]\r\n", '[{"q":"a","q":"b"}]', '["\\ud800"]', "[NaN]", "[-Infinity, Infinity]", "[1e400]"]

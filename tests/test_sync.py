@@ -11,6 +11,7 @@ from tidemark import (
     load_state, open_collection,
     read_points, read_state, start_ingest, sync,
 )
+from tidemark.plans import sync as plan
 from tidemark.sources import store
 
 ITEM = "source string, pos bigint, q string, a string, product string, keywords array<string>"
@@ -78,6 +79,8 @@ def test_life_of_a_collection(spark, corpus, tmp_path):
     state = {r.point_id for r in read_state(spark, collection).collect()}
     assert state == {r.id for r in read_points(spark, collection).collect()}
 
+    assert third["inserted"] + third["updated"] + third["unchanged"] == third["points"]
+
     forced = run(spark, corpus, path, force=True)
     assert some(forced, "attempted", "upserted", "unchanged", "deleted", "points") == (3, 3, 3, 0, 3)
     collection = open_collection(spark, str(path), "qa-points-v1")
@@ -164,6 +167,17 @@ def test_failing_encoder_leaves_the_collection_alone(spark, corpus, tmp_path):
     assert some(run(spark, corpus, path), "inserted", "points") == (2, 5)
 
 
+def test_file_changed_during_the_run(spark, corpus, tmp_path, monkeypatch):
+    path = tmp_path / "store"
+    run(spark, corpus, path)
+    write(corpus, "docs/faq.json", [qa("q1"), qa("q2"), qa("q5")])
+    with monkeypatch.context() as patch:
+        patch.setattr(plan, "_guard_deletes", lambda *a: write(corpus, "docs/faq.json", [qa("q1"), qa("q2"), qa("q6")]))
+        with pytest.raises(RuntimeError, match="nothing was committed"):
+            run(spark, corpus, path)
+    assert some(run(spark, corpus, path), "inserted", "points") == (1, 4)
+
+
 def test_crash_before_the_commit_record_is_invisible(spark, corpus, tmp_path, monkeypatch):
     path = tmp_path / "store"
     run(spark, corpus, path)

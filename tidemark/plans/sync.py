@@ -57,11 +57,16 @@ class SyncResult(NamedTuple):
         scratch.discard(self.report.sparkSession, self.scratch_path)
 
 
-def _exploded(spark: SparkSession, source: str | DataFrame) -> DataFrame:
-    """Item rows of a folder of JSON files, or of a DataFrame of items or of files."""
+def _exploded(spark: SparkSession, source: str | DataFrame, sources: DataFrame | None = None) -> DataFrame:
+    """Item rows of a folder of JSON files, or of a DataFrame of items or of files.
+
+    ``sources``, when given, is small: files it does not name are not parsed.
+    """
     if isinstance(source, str):
-        return corpus_source.explode_items(corpus_source.parse_files(corpus_source.read_files(spark, source)))
+        source = corpus_source.read_files(spark, source)
     if "content" in source.columns:
+        if sources is not None:
+            source = source.join(F.broadcast(sources), "source", "left_semi")
         return corpus_source.explode_items(corpus_source.parse_files(source))
     return source.select(
         "source", F.lit("ok").alias("status"), F.col("pos").cast("bigint").alias("pos"),
@@ -81,18 +86,32 @@ def _ledger(exploded: DataFrame, options: SyncOptions) -> DataFrame:
     )
 
 
-def _changed_items(exploded: DataFrame, wanted: DataFrame, count: int, rows: int, options: SyncOptions) -> DataFrame:
-    """Whole items for the ``count`` positions in ``wanted``, out of ``rows`` valid ones."""
-    items = with_identity(corpus_source.valid_items(exploded), options.namespace, options.change_key)
-    cores = items.sparkSession.sparkContext.defaultParallelism
+def _changed_items(
+    spark: SparkSession, source: str | DataFrame, wanted: DataFrame, count: int, rows: int, options: SyncOptions
+) -> DataFrame:
+    """Whole items for the ``count`` positions in ``wanted``, out of ``rows`` valid ones.
+
+    They are found by file and position, so ids and hashes are worked out again for
+    the fetched rows only. A row that no longer agrees, because its file was changed
+    in between, is left out, and the count check then stops the run.
+    """
+    cores = spark.sparkContext.defaultParallelism
     tasks = max(1, -(-count // options.rows_per_task), min(cores, -(-count // options.batch_size)))
-    keys = wanted.select("point_id", F.col("source_file").alias("source"), "pos", "question_hash")
-    on = ["point_id", "source", "pos", "question_hash"]
     if count == rows:
-        return items.repartition(tasks, "point_id")
-    if count <= options.broadcast_rows:
-        return items.join(F.broadcast(keys), on, "left_semi").repartition(tasks, "point_id")
-    return items.join(keys, on, "left_semi")
+        items = corpus_source.valid_items(_exploded(spark, source))
+        return with_identity(items, options.namespace, options.change_key).repartition(tasks, "point_id")
+    keys = wanted.select(
+        F.col("source_file").alias("source"), "pos",
+        F.col("point_id").alias("wanted_id"), F.col("question_hash").alias("wanted_hash"),
+    )
+    few = count <= options.broadcast_rows
+    sources = keys.select("source").distinct() if few else None
+    items = corpus_source.valid_items(_exploded(spark, source, sources))
+    found = items.join(F.broadcast(keys) if few else keys, ["source", "pos"])
+    if few:
+        found = found.repartition(tasks, "wanted_id")
+    agrees = (F.col("point_id") == F.col("wanted_id")) & (F.col("question_hash") == F.col("wanted_hash"))
+    return with_identity(found, options.namespace, options.change_key).where(agrees).drop("wanted_id", "wanted_hash")
 
 
 def sync(
@@ -109,8 +128,6 @@ def sync(
     options = options or SyncOptions()
     started = time.monotonic()
     scratch_path = scratch.shared_folder(spark)
-    exploded = _exploded(spark, source)
-
     if options.dry_run:
         collection = store.open_collection(spark, store_path, options.collection)
     else:
@@ -121,7 +138,7 @@ def sync(
     if previous is None:
         previous = empty_state(spark) if collection is None else store.read_state(spark, collection)
 
-    ledger = scratch.materialise(_ledger(exploded, options), f"{scratch_path}/ledger")
+    ledger = scratch.materialise(_ledger(_exploded(spark, source), options), f"{scratch_path}/ledger")
     files = corpus_source.file_stats(ledger)
     found = corpus_counts(files).first()
     if found.files_too_large:
@@ -139,7 +156,7 @@ def sync(
     _guard_deletes(counts.to_delete, counts.previous_points, options)
 
     process = "pos IS NOT NULL" if options.force else "op IN ('insert', 'update')"
-    todo = _changed_items(exploded, changes.where(process), counts.to_upsert, found.items_valid, options)
+    todo = _changed_items(spark, source, changes.where(process), counts.to_upsert, found.items_valid, options)
     dim = options.dim if collection is None else collection.dim
     todo = chunk(todo, "a", options.chunk_size, options.chunk_overlap)
     todo = encode(todo, "q", options.encoder, dim, encoder_batch(options.batch_size))
