@@ -138,6 +138,15 @@ def test_duplicate_items(spark, tmp_path):
     assert {tuple(r.payload.answer) for r in result.points.collect()} == {("second",), ("a",)}
 
 
+def test_items_given_as_rows_are_checked(spark, tmp_path):
+    rows = [("f", 0, "q", "a", "", []), ("f", 1, None, "a", "p", []), ("f", 2, " \n", "a", "p", []),
+            ("f", 3, "q3", "", "p", []), ("f", 4, "q4", "a", None, []), ("f", 5, "q5", "a", "p", None)]
+    result = sync(spark, spark.createDataFrame(rows, ITEM), str(tmp_path), SyncOptions(**FAST))
+    assert some(report(result), "items_valid", "items_invalid", "evaluated", "points") == (1, 5, 1, 1)
+    assert {r.pos: r.reason for r in result.rejects.collect()} == {
+        1: "missing_key", 2: "blank", 3: "blank", 4: "missing_key", 5: "missing_key"}
+
+
 def test_shuffled_fetch_equals_broadcast_fetch(spark, tmp_path):
     rows = [("f", i, f"q{i % 70}", f"a{i}", "p", []) for i in range(100)]
     frame = spark.createDataFrame(rows, ITEM)

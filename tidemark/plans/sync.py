@@ -68,11 +68,7 @@ def _exploded(spark: SparkSession, source: str | DataFrame, sources: DataFrame |
         if sources is not None:
             source = source.join(F.broadcast(sources), "source", "left_semi")
         return corpus_source.explode_items(corpus_source.parse_files(source))
-    return source.select(
-        "source", F.lit("ok").alias("status"), F.col("pos").cast("bigint").alias("pos"),
-        F.lit(None).cast("string").alias("reason"), "q", "a", "product", "keywords",
-        F.lit(None).cast("string").alias("raw"),
-    )
+    return corpus_source.check_items(source)
 
 
 def _ledger(exploded: DataFrame, options: SyncOptions) -> DataFrame:
@@ -121,7 +117,8 @@ def sync(
     """Bring the collection at ``store_path`` in line with ``source``.
 
     ``source`` is the root of a tree of JSON files, or a DataFrame of files
-    ``(source, content)`` or of items ``(source, pos, q, a, product, keywords)``.
+    ``(source, content)`` or of items ``(source, pos, q, a, product, keywords)``, whose
+    ``(source, pos)`` is unique. It is read twice and must give the same rows.
     ``previous`` replaces the state kept with the points, as when a state file of
     an earlier system is taken over.
     """

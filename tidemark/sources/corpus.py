@@ -82,8 +82,9 @@ def parse_files(files: DataFrame) -> DataFrame:
     """Parse ``(source, content)`` to ``(source, status, head, items array<variant>)``.
 
     ``status`` is ``ok``, ``empty``, ``not_array``, ``malformed``, ``not_utf8``
-    or ``too_large``; ``head`` shows the start of a file without items. Items are separate variants, so the size limit of a
-    variant applies to an item and not to the file.
+    or ``too_large``; ``head`` shows the start of a file without items. Items
+    are separate variants, so the size limit of a variant applies to an item and
+    not to the file.
     """
     # The reader lets the last of two equal keys win only under this setting.
     files.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
@@ -108,7 +109,7 @@ def parse_files(files: DataFrame) -> DataFrame:
             F.when(body.isNull(), "not_utf8")
             .when(F.size(found) > 0, "ok")
             .when(F.size(found) == 0, "empty")
-            .when(opens_array & (F.octet_length(body) >= ITEM_BYTES), "too_large")
+            .when(opens_array & (F.octet_length(body) >= ITEM_BYTES) & is_single_value(body), "too_large")
             .when(opens_array, "malformed")
             .when(is_single_value(body) & F.try_parse_json(body).isNotNull(), "not_array")
             .otherwise("malformed")
@@ -154,6 +155,20 @@ def explode_items(parsed: DataFrame) -> DataFrame:
     )
 
 
+def check_items(items: DataFrame) -> DataFrame:
+    """Items ``(source, pos, q, a, product, keywords)`` in the form of :func:`explode_items`.
+
+    They come typed, so only missing and blank values can be wrong with them.
+    """
+    absent = F.col("q").isNull() | F.col("a").isNull() | F.col("product").isNull() | F.col("keywords").isNull()
+    reason = F.when(absent, "missing_key").when(is_blank(F.col("q")) | is_blank(F.col("a")), "blank")
+    return items.select(
+        "source", F.lit("ok").alias("status"), F.col("pos").cast("bigint").alias("pos"), reason.alias("reason"),
+        "q", "a", "product", "keywords",
+        F.left(F.to_json(F.struct(*ITEM_KEYS)), F.lit(PREVIEW)).alias("raw"),
+    )
+
+
 def valid_items(exploded: DataFrame) -> DataFrame:
     return exploded.where("pos IS NOT NULL AND reason IS NULL").select(
         "source", "pos", "q", "a", "product", "keywords"
