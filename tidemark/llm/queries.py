@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontam, lengths, simhash, simple8b
+from tidemark.llm import bpe, decontam, lengths, risk_rules, simhash, simple8b
 from tidemark.llm.common import materialise, shared_folder
 from tidemark.plans.tables import table
 
@@ -41,6 +41,25 @@ def op7_length_histogram(spark: SparkSession, folder: str) -> DataFrame:
     return lengths.suffix_sums(materialise(counts, shared_folder(spark)))
 
 
+def op8_risk_rules(spark: SparkSession, folder: str) -> DataFrame:
+    scratch = shared_folder(spark)
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    found = materialise(
+        risk_rules.measured(docs).select(
+            F.col("row.doc_id").alias("k"), F.col("row.lang").alias("s"), F.xxhash64("row.text").alias("copy"),
+            "m", "base_failed", "shares",
+        ),
+        f"{scratch}/measured",
+    )
+    cutoffs = materialise(
+        risk_rules.calibrate_measured(found, table(spark, folder, "labels")), f"{scratch}/cutoffs"
+    )
+    return risk_rules.verdicts(found, F.col("s"), cutoffs).select(
+        F.col("k").alias("doc_id"), "m.n_words", "m.word_chars", "m.n_symbols", "m.n_dup_lines",
+        "m.n_repeat_words", "base_failed", "kept",
+    )
+
+
 def op9_simhash_blocks(spark: SparkSession, folder: str) -> DataFrame:
     scratch = shared_folder(spark)
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -63,5 +82,5 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_byte_bpe, op6_simple8b, op7_length_histogram, op9_simhash_blocks, op10_decontaminate)
+    f.__name__: f for f in (op5_byte_bpe, op6_simple8b, op7_length_histogram, op8_risk_rules, op9_simhash_blocks, op10_decontaminate)
 }
