@@ -1,3 +1,13 @@
 """SQL that checks queries of this subpackage, for DuckDB."""
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_warc_members": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+        q AS (SELECT page_id, strlen(body) AS payload_bytes, sha1(body) AS payload_digest,
+                     max(page_id) OVER (PARTITION BY body) AS keeper FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> keeper THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> keeper THEN keeper END AS refers_to
+        FROM q
+    """,
+}

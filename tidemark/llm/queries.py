@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontam, lengths, risk_rules, simhash, simple8b
+from tidemark.llm import bpe, decontam, lengths, risk_rules, simhash, simple8b, warc
 from tidemark.llm.common import materialise, shared_folder
 from tidemark.plans.tables import table
 
@@ -16,6 +17,18 @@ RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op1_warc_members(spark: SparkSession, folder: str) -> DataFrame:
+    scratch = shared_folder(spark)
+    pages = table(spark, folder, "pages")
+    records = warc.plan_records(pages, "page_id", "url", "html")
+    date = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+    listing = warc.write_archives(records, f"{scratch}/crawl", date)
+    index = warc.normalise(listing, f"{scratch}/crawl", f"{scratch}/records")
+    return warc.read_records(index, f"{scratch}/records").select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
@@ -82,5 +95,5 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_byte_bpe, op6_simple8b, op7_length_histogram, op8_risk_rules, op9_simhash_blocks, op10_decontaminate)
+    f.__name__: f for f in (op1_warc_members, op5_byte_bpe, op6_simple8b, op7_length_histogram, op8_risk_rules, op9_simhash_blocks, op10_decontaminate)
 }

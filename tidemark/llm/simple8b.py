@@ -176,7 +176,7 @@ def write_ids(
                 return
             if out is None:
                 fs.create_dir(path, recursive=True)
-                out = fs.open_output_stream(f"{path}/{name}")
+                out = fs.open_output_stream(f"{path}/{name}", compression=None)
             data = block_bytes(keys, held)
             out.write(data)
             rows.append((part, name, len(rows), offset, len(data), len(keys), size))
