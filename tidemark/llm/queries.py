@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontam, lengths, risk_rules, simhash, simple8b, warc
+from tidemark.llm import bpe, decontam, lengths, pu_quality, risk_rules, simhash, simple8b, warc
 from tidemark.llm.common import materialise, shared_folder
 from tidemark.plans.tables import table
 
@@ -29,6 +29,20 @@ def op1_warc_members(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_pu_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = materialise(
+        docs.select(
+            "doc_id", pu_quality.held_out(F.col("doc_id")).alias("held_out"),
+            pu_quality.feature_column(F.col("text")).alias("x"),
+        ),
+        shared_folder(spark),
+    )
+    model = pu_quality.fit(*pu_quality.learning_rows(found, table(spark, folder, "labels")))
+    scored = found.select("doc_id", "held_out", pu_quality.score_column(F.col("x"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
@@ -95,5 +109,5 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc_members, op5_byte_bpe, op6_simple8b, op7_length_histogram, op8_risk_rules, op9_simhash_blocks, op10_decontaminate)
+    f.__name__: f for f in (op1_warc_members, op3_pu_quality, op5_byte_bpe, op6_simple8b, op7_length_histogram, op8_risk_rules, op9_simhash_blocks, op10_decontaminate)
 }
