@@ -21,15 +21,13 @@ from __future__ import annotations
 
 import base64
 from array import array
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from tidemark.llm.common import worker_state
+from tidemark.llm.common import add_columns, worker_state
 from tidemark.llm.pretokens import UnitEncoder
 
 #: Pairs whose rank a worker remembers.
@@ -217,33 +215,16 @@ def vocabulary(spark, path: str, pattern: str):
     return spark.sparkContext.broadcast((f"{path}:{len(tokens)}:{pattern}", tokens, pattern))
 
 
-def encode_column(text: Column, broadcast) -> Column:
-    """The ids of a text as binary: little-endian unsigned 32-bit integers."""
+def with_ids(docs: DataFrame, broadcast, text: str = "text", decode: bool = False) -> DataFrame:
+    """``docs`` with ``ids`` (binary: little-endian unsigned 32-bit) and, on request, the ``decoded`` bytes of these."""
 
-    @F.pandas_udf("binary")
-    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(part: pa.RecordBatch) -> list[pa.Array]:
         bpe = encoder(broadcast)
-        for texts in batches:
-            yield pd.Series(bpe.encode_many(texts.tolist()), dtype=object)
+        ids = bpe.encode_many(part.column(text).to_pylist())
+        out = [pa.array(ids, pa.binary())]
+        return [*out, pa.array(map(bpe.decode, ids), pa.binary())] if decode else out
 
-    return ids(text)
-
-
-def decode_column(ids: Column, broadcast) -> Column:
-    """The bytes that encoded ids stand for."""
-
-    @F.pandas_udf("binary")
-    def data(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        bpe = encoder(broadcast)
-        for values in batches:
-            yield pd.Series([bpe.decode(v) for v in values], dtype=object)
-
-    return data(ids)
-
-
-def with_ids(docs: DataFrame, path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """``docs`` with the ids of its texts as binary column ``out``."""
-    return docs.withColumn(out, encode_column(F.col(text), vocabulary(docs.sparkSession, path, pattern)))
+    return add_columns(docs, run, "ids binary, decoded binary" if decode else "ids binary", text)
 
 
 def ids_array(ids: bytes) -> np.ndarray:

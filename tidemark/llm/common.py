@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.sources.scratch import discard, materialise, shared_folder
 
-__all__ = ["discard", "map_rows", "materialise", "open_fs", "release", "row_slices", "shared_folder", "worker_state"]
+__all__ = ["add_columns", "discard", "map_rows", "materialise", "open_fs", "release", "row_slices", "shared_folder", "worker_state"]
 
 #: Bytes of text handled at once inside a Python worker; a longer text is handled alone.
 SLICE_BYTES = 2 << 20
@@ -63,6 +63,26 @@ def map_rows(df: DataFrame, function: Callable[[pa.RecordBatch], list[tuple]], s
     return df.mapInArrow(run, schema)
 
 
+def add_columns(
+    df: DataFrame, function: Callable[[pa.RecordBatch], list[pa.Array]], added: str, column: str
+) -> DataFrame:
+    """``df`` with the columns ``added`` (DDL), which ``function`` gives for slices bounded by the bytes of ``column``.
+
+    Unlike a pandas UDF, no more than a slice is held as Python objects at a time.
+    """
+    from pyspark.sql.types import StructType
+
+    schema = StructType([*df.schema.fields, *StructType.fromDDL(added).fields])
+    names = schema.fieldNames()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in row_slices(batch, column):
+                yield pa.RecordBatch.from_arrays([*part.columns, *function(part)], names=names)
+
+    return df.mapInArrow(run, schema)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of finished queries whose frames nobody holds any more."""
     gc.collect()

@@ -16,34 +16,26 @@ table gives an empty histogram.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import encoder, vocabulary
+from tidemark.llm.common import map_rows
 
 #: Lengths in one block of the two-level sums.
 BLOCK = 256
 
 
-def length_column(text: Column, broadcast) -> Column:
-    """Number of token ids of a text."""
-
-    @F.pandas_udf("long")
-    def lengths(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        bpe = encoder(broadcast)
-        for texts in batches:
-            yield pd.Series([len(ids) // 4 for ids in bpe.encode_many(texts.tolist())], dtype="int64")
-
-    return lengths(text)
-
-
 def histogram(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """``n_tokens``, ``docs``: documents of each encoded length."""
-    length = length_column(F.col(text), vocabulary(docs.sparkSession, path, pattern))
-    return docs.select(length.alias("n_tokens")).groupBy("n_tokens").agg(F.count("*").alias("docs"))
+    broadcast = vocabulary(docs.sparkSession, path, pattern)
+
+    def lengths(part: pa.RecordBatch) -> list[tuple]:
+        return [(len(ids) // 4,) for ids in encoder(broadcast).encode_many(part.column("text").to_pylist())]
+
+    counted = map_rows(docs.select(F.col(text).alias("text")), lengths, "n_tokens long", "text")
+    return counted.groupBy("n_tokens").agg(F.count("*").alias("docs"))
 
 
 def suffix_sums(counts: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ SPACES = "\t-\r \x85\xa0  -     　"
 _UNIT = re.compile(f" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]")
 
 #: Units remembered by a worker in each of two generations, about 220 bytes each, and the longest one remembered.
-REMEMBERED, LONGEST = 400_000, 64
+REMEMBERED, LONGEST = 200_000, 64
 #: Characters of a text cut into units at once.
 SEGMENT = 1 << 20
 

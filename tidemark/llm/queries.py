@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontam, lengths, pu_quality, risk_rules, simhash, simple8b, warc
+from tidemark.llm import bpe, decontam, lengths, pu_quality, risk_rules, simhash, simple8b, suffix_dedup, warc
 from tidemark.llm.common import materialise, shared_folder
 from tidemark.plans.tables import table
 
@@ -29,6 +29,21 @@ def op1_warc_members(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    rows, gone = suffix_dedup.removals(docs, shared_folder(spark))
+    gone = gone.select("key", "whole", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    size = F.octet_length("data").cast("long").alias("n_bytes")
+    own = rows.select("row.doc_id", "key", size, F.sha2("data", 256).alias("own"))
+    whole = F.coalesce(F.col("whole"), F.lit(False))
+    return own.join(gone, "key", "left").select(
+        "doc_id", "n_bytes",
+        F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
+        F.when(whole, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
+        F.when(whole, F.sha2(F.lit(b""), 256)).otherwise(F.coalesce("kept_sha256", "own")).alias("kept_sha256"),
+    )
+
+
 def op3_pu_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = materialise(
@@ -45,13 +60,10 @@ def op3_pu_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
-    vocabulary = bpe.vocabulary(spark, path, pattern)
-    coded = docs.select("doc_id", bpe.encode_column(F.col("text"), vocabulary).alias("ids"))
-    return coded.select(
+    vocabulary = bpe.vocabulary(spark, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    return bpe.with_ids(docs, vocabulary, decode=True).select(
         "doc_id", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(bpe.decode_column(F.col("ids"), vocabulary), 256).alias("decoded_sha256"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 
@@ -109,5 +121,5 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc_members, op3_pu_quality, op5_byte_bpe, op6_simple8b, op7_length_histogram, op8_risk_rules, op9_simhash_blocks, op10_decontaminate)
+    f.__name__: f for f in (op1_warc_members, op2_suffix_dedup, op3_pu_quality, op5_byte_bpe, op6_simple8b, op7_length_histogram, op8_risk_rules, op9_simhash_blocks, op10_decontaminate)
 }
