@@ -12,11 +12,11 @@ import re
 from collections.abc import Callable
 
 # The white space of Unicode.
-SPACES = "\t-\r \x85\xa0  -     　"
+SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _UNIT = re.compile(f" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]")
 
 #: Units remembered by a worker in each of two generations, about 220 bytes each, and the longest one remembered.
-REMEMBERED, LONGEST = 200_000, 64
+REMEMBERED, LONGEST = 300_000, 64
 #: Characters of a text cut into units at once.
 SEGMENT = 1 << 20
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialise, open_fs, row_slices, worker_state
-from tidemark.llm.pretokens import UnitEncoder
+from tidemark.llm.pretokens import SPACES, UnitEncoder
 
 # Ids a word and bits an id, by selector; 15 is the escape.
 COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
@@ -47,20 +47,23 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(ids)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    bits = np.zeros(n, np.int64)
-    for width in range(64):
-        more = ids >= np.uint64(1 << width)
-        if not more.any():
-            break
-        bits[more] = width + 1
+    # Bits of each id: the powers of two it reaches.
+    bits = np.searchsorted(np.array([1 << w for w in range(64)], np.uint64), ids, side="right").astype(np.int16)
     # The largest width among the next ``count`` ids decides whether a selector fits there.
-    selector = np.full(n, ESCAPE, np.int64)
+    selector = np.full(n, ESCAPE, np.int8)
+    largest, reach = bits, 1  # of the next ``reach`` ids
     for s in range(len(COUNTS) - 1, -1, -1):
         count, width = COUNTS[s], WIDTHS[s]
-        if count <= n:
-            bad = np.concatenate([[0], np.cumsum(bits > width)])
-            fits = np.flatnonzero(bad[count:] == bad[:-count])
-            selector[fits] = s
+        if count > n:
+            break
+        while reach < count:
+            step = min(reach, count - reach)
+            largest = np.maximum(largest[:-step], largest[step:])
+            reach += step
+        fits = largest <= width
+        if not fits.any():
+            break  # more ids have fewer bits each
+        selector[: len(fits)][fits] = s
     step = np.array([*COUNTS, 0, 1])[selector].tolist()
     heads, i = [], 0
     while i < n:
@@ -126,17 +129,33 @@ def read_block(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
 
 
 def library_encoder(path: str):
-    """Units to ids with the ``tokenizers`` library; special strings in a text are ordinary text."""
+    """Units to ids with the ``tokenizers`` library; special strings in a text are ordinary text.
+
+    Units of a space and what follows are encoded as one text: where a token starts with a space, a unit starts.
+    """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
+    spaced = np.array([
+        (tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(tokenizer.get_vocab_size())
+    ])
+
+    def ids_of(texts: list[str]) -> list[np.ndarray]:
+        found = tokenizer.encode_batch_fast([t.encode("utf-8", "replace").decode() for t in texts], add_special_tokens=False)
+        return [np.array(e.ids, "<u4") for e in found]
 
     def encode(units: list[str]) -> list[bytes]:
-        return [
-            np.array(e.ids, "<u4").tobytes()
-            for e in tokenizer.encode_batch_fast([u.encode("utf-8", "replace").decode() for u in units], add_special_tokens=False)
-        ]
+        out: dict[str, bytes] = {}
+        plain = [u for u in units if len(u) < 2 or u[0] != " " or u[1] in SPACES]
+        out.update((u, ids.tobytes()) for u, ids in zip(plain, ids_of(plain)))
+        rest = [u for u in units if u not in out]
+        for i in range(0, len(rest), 2000):
+            some = rest[i : i + 2000]
+            ids = ids_of(["".join(some)])[0]
+            raw, starts = ids.tobytes(), (4 * np.flatnonzero(spaced[ids])).tolist()
+            out.update(zip(some, [raw[a:b] for a, b in zip(starts, [*starts[1:], len(raw)])], strict=True))
+        return [out[u] for u in units]
 
     return encode
 
