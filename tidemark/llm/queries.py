@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontam, lengths, pu_quality, risk_rules, simhash, simple8b, suffix_dedup, warc
+from tidemark.llm import bpe, decontam, lengths, pu_quality, quotes, risk_rules, simhash, simple8b, suffix_dedup, warc
 from tidemark.llm.common import materialise, shared_folder
 from tidemark.plans.tables import table
 
@@ -58,6 +58,11 @@ def op3_pu_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
 
+def op4_quote_links(spark: SparkSession, folder: str) -> DataFrame:
+    messages = table(spark, folder, "conversations").select(F.col("conv_id").alias("conv"), "turn", "role", "text")
+    return quotes.reply_order(messages, shared_folder(spark)).withColumnRenamed("conv", "conv_id")
+
+
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     vocabulary = bpe.vocabulary(spark, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
@@ -121,5 +126,5 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc_members, op2_suffix_dedup, op3_pu_quality, op5_byte_bpe, op6_simple8b, op7_length_histogram, op8_risk_rules, op9_simhash_blocks, op10_decontaminate)
+    f.__name__: f for f in (op1_warc_members, op2_suffix_dedup, op3_pu_quality, op4_quote_links, op5_byte_bpe, op6_simple8b, op7_length_histogram, op8_risk_rules, op9_simhash_blocks, op10_decontaminate)
 }
