@@ -174,3 +174,151 @@ def near_duplicates(
     found = materialise(rooted.join(smallest, "root").select("fp", "root", "component_id", "n"), f"{scratch}/found")
     release(prints.sparkSession)
     return found
+
+
+# Near-duplicates by similarity of word shingles. Texts that share 0.8 of their five-word shingles differ in
+# some ten of 64 bits of a fingerprint over those shingles, too many for blocks. Their sets of words are far
+# closer, so candidates come from a wide fingerprint over distinct words, and the shingles decide.
+
+#: Bits of the wide fingerprint and of a block, and least certain bits of a block that a probe may flip (two at most).
+WIDE, BLOCK_BITS, UNSURE = 128, 32, 8
+#: Most differing bits of a candidate pair: four deviations beyond the mean of pairs at similarity 0.8.
+WIDE_DISTANCE = 28
+_WIDE = "hi long, lo long, unsure array<long>"
+
+
+def wide_fingerprint(text: str | None) -> tuple[int, int, list[int]]:
+    """Both halves (signed), and of each block the masks of its least certain bits."""
+    data = (text or "").encode("utf-8", "surrogatepass").lower()
+    words: set[bytes] = set()
+    for at in range(0, len(data), SEGMENT):  # a word cut by a segment counts as two
+        words.update(data[at : at + SEGMENT].split())
+    if words:
+        bits = np.unpackbits(np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, sorted(words))), np.uint8))
+        margin = 2 * bits.reshape(-1, WIDE).sum(axis=0, dtype=np.int64) - len(words)
+    else:
+        margin = np.zeros(WIDE, np.int64)
+    packed = np.packbits(margin > 0).tobytes()
+    weak = np.argsort(np.abs(margin).reshape(-1, BLOCK_BITS), axis=1, kind="stable")[:, :UNSURE]
+    masks = (np.int64(1) << (BLOCK_BITS - 1 - weak)).ravel().tolist()
+    return (
+        int.from_bytes(packed[:8], "big", signed=True), int.from_bytes(packed[8:], "big", signed=True), masks,
+    )
+
+
+def wide_column(text: Column) -> Column:
+    @F.pandas_udf(_WIDE)
+    def prints(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            yield pd.DataFrame([wide_fingerprint(t) for t in texts], columns=["hi", "lo", "unsure"])
+
+    return prints(text)
+
+
+def shingles(text: str | None, words: int = 5) -> set[int]:
+    """Hashes of the distinct word shingles; fewer words are one shingle, none are none."""
+    part = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    joined = b" ".join(part)
+    ends = list(accumulate(map(len, part), lambda a, n: a + 1 + n))
+    starts = [0, *[e + 1 for e in ends[:-1]]]
+    if len(part) < words:
+        return {xxhash.xxh64_intdigest(joined)} if part else set()
+    return {xxhash.xxh64_intdigest(joined[a:b]) for a, b in zip(starts, ends[words - 1 :])}
+
+
+def similarity_column(a: Column, b: Column, words: int = 5) -> Column:
+    """Jaccard similarity of the shingles of two texts; two texts without words are equal."""
+
+    @F.pandas_udf("double")
+    def compare(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for left, right in batches:
+            out, last, known = [], None, set()
+            for x, y in zip(left, right):
+                if x != last:
+                    last, known = x, shingles(x, words)
+                other = shingles(y, words)
+                either = len(known | other)
+                out.append(len(known & other) / either if either else 1.0)
+            yield pd.Series(out, dtype="float64")
+
+    return compare(a, b)
+
+
+def _block(i: int) -> Column:
+    half = F.col("hi") if i < 2 else F.col("lo")
+    return F.shiftrightunsigned(half, 32) if i % 2 == 0 else half.bitwiseAND(F.lit(0xFFFFFFFF))
+
+
+def _keys(probe: bool) -> Column:
+    """Block keys of a node: its own, or with up to two of the least certain bits of the block flipped."""
+    keys = []
+    for i in range(WIDE // BLOCK_BITS):
+        own = _block(i).bitwiseOR(F.lit(i << 32))
+        keys.append(own)
+        if probe:
+            masks = [F.col("unsure")[UNSURE * i + j] for j in range(UNSURE)]
+            keys += [own.bitwiseXOR(m) for m in masks]
+            keys += [own.bitwiseXOR(m).bitwiseXOR(n) for m, n in combinations(masks, 2)]
+    return F.array(*keys)
+
+
+def candidate_pairs(nodes: DataFrame, scratch: str) -> DataFrame:
+    """``a < b``: nodes that a block or a probe of it brings together. ``nodes``: ``node, hi, lo, unsure``.
+
+    A key stands for its smallest node, so a key held by many nodes costs a row for each, not for each pair.
+    """
+    hubs = nodes.select("node", F.explode(_keys(False)).alias("key")).groupBy("key").agg(F.min("node").alias("hub"))
+    probes = nodes.select("node", F.explode(_keys(True)).alias("key"))
+    met = probes.join(hubs, "key").where("node <> hub").select(
+        F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")
+    ).distinct()
+    sides = [nodes.select(F.col("node").alias(x), F.col("hi").alias(f"hi_{x}"), F.col("lo").alias(f"lo_{x}")) for x in "ab"]
+    differ = F.bit_count(F.col("hi_a").bitwiseXOR(F.col("hi_b"))) + F.bit_count(F.col("lo_a").bitwiseXOR(F.col("lo_b")))
+    pairs = met.join(sides[0], "a").join(sides[1], "b").where(differ <= WIDE_DISTANCE).select("a", "b")
+    return materialise(pairs, f"{scratch}/pairs")
+
+
+def similar_groups(
+    rows: DataFrame, scratch: str, similarity: float = 0.8, words: int = 5
+) -> DataFrame:
+    """``key, id``: one row of each group of near-duplicates is to stay, that with this key and smallest id.
+
+    ``rows``: ``key`` (equal for equal texts only), ``id``, ``text``. Groups are the components of links
+    between texts with at least that similarity of their shingles.
+    """
+    prints = materialise(
+        rows.select("key", "id", wide_column(F.col("text")).alias("p")).select("key", "id", "p.*"), f"{scratch}/prints"
+    )
+    nodes = materialise(
+        prints.groupBy("key").agg(
+            F.min("id").alias("id"), F.first("hi").alias("hi"), F.first("lo").alias("lo"), F.first("unsure").alias("unsure")
+        ).withColumn("node", F.monotonically_increasing_id()),
+        f"{scratch}/nodes",
+    )
+    pairs = candidate_pairs(nodes, scratch)
+    involved = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "key"), "node")
+    texts = rows.select("key", "text").join(involved, "key").groupBy("node").agg(F.first("text").alias("text"))
+    texts = materialise(texts, f"{scratch}/texts")
+
+    def verified(some: DataFrame, name: str) -> DataFrame:
+        left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+        right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+        both = some.join(left, "a").join(right, "b")
+        close = similarity_column(F.col("text_a"), F.col("text_b"), words) >= similarity
+        return materialise(both.where(close).select("a", "b"), f"{scratch}/{name}")
+
+    # First one pair for each node, with its smallest partner; then the pairs that are not yet in one group.
+    first = verified(pairs.groupBy("b").agg(F.min("a").alias("a")), "first")
+    roots = materialise(components(first, f"{scratch}/c1"), f"{scratch}/roots")
+    other = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
+    apart = (
+        pairs.join(other, "a", "left").join(roots.select(F.col("node").alias("b"), F.col("root").alias("root_b")), "b", "left")
+        .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+    )
+    links_all = materialise(first.unionByName(verified(apart, "second")).distinct(), f"{scratch}/similar")
+    groups = components(links_all, f"{scratch}/c2")
+    grouped = nodes.select("node", "key", "id").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    smallest = grouped.groupBy("root").agg(
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("kept")
+    ).select(F.col("kept.node").alias("node"))
+    return materialise(grouped.join(smallest, "node", "left_semi").select("key", "id"), f"{scratch}/kept")

@@ -484,6 +484,16 @@ def cut(data: Column, spans: Column) -> Column:
     return apply(data, spans)
 
 
+def readable(data: Column) -> Column:
+    """Text of bytes that were cut at any place: what is left of a split character is dropped."""
+
+    @F.pandas_udf("string")
+    def decode(values: pd.Series) -> pd.Series:
+        return pd.Series([None if v is None else bytes(v).decode("utf-8", "ignore") for v in values], dtype=object)
+
+    return decode(data)
+
+
 def removals(docs: DataFrame, scratch: str, text: str = "text") -> tuple[DataFrame, DataFrame]:
     """The columns of ``docs`` as struct ``row`` with ``key`` and ``data``, and per key what goes.
 
