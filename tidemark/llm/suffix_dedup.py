@@ -19,9 +19,9 @@ corpus. Strings are judged on the input, and never cross texts.
    anchor at once, by the bytes themselves.
 
 Copies of a whole text are found first, by its SHA-256: they repeat from end to end and take part in the
-sort as one text. A core that occurs HOT times or more is not gathered in one place: its windows are
-sorted as strings of their own, spread by their own hash, one per run and window, and only verdicts
-travel back to where they occur.
+sort as one text. A core that HOT texts or more hold is not gathered in one place: the whole ranges that its
+anchors serve, and where these are unique their windows, are sorted as strings of their own, spread by
+their own hash, one per run and string, and only verdicts travel back to where they occur.
 
 Defined cases: null and empty texts, and texts under LENGTH bytes, lose nothing; a null id is no special
 id; repeated rows are copies of each other; long texts are sampled in pieces of PIECE windows.
@@ -41,9 +41,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import materialise, release, row_slices
 
 LENGTH, CORE = 400, 128
-#: Windows sampled at once, occurrences from which a core counts as hot, suffixes aimed at per
+#: Windows sampled at once, texts from which a core counts as hot (a group of so many takes some 20 MB), suffixes aimed at per
 #: exchange bucket, and bytes of suffixes in a run.
-PIECE, HOT, PER_BUCKET, RUN_BYTES = 1 << 20, 4096, 10_000, 24 << 20
+PIECE, HOT, PER_BUCKET, RUN_BYTES = 1 << 20, 16_384, 10_000, 24 << 20
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = ((np.arange(1, 257, dtype=np.uint64) * _MIX) ^ (np.arange(1, 257, dtype=np.uint64) << np.uint64(17))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -116,28 +116,44 @@ def sample_text(data: bytes) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
+def place(at: int, lo: int, hi: int) -> int:
+    """An anchor's position and distances in one integer."""
+    return at << 20 | lo << 10 | hi
+
+
+def unplace(value: int) -> tuple[int, int, int]:
+    return value >> 20, value >> 10 & 1023, value & 1023
+
+
 def sampled(texts: DataFrame) -> DataFrame:
-    """``key`` and arrays ``at, lo, hi, core`` for each row ``key, data`` with LENGTH bytes or more."""
-    lists = ("at", pa.int32()), ("lo", pa.int16()), ("hi", pa.int16()), ("core", pa.int64())
-    schema = pa.schema([("key", pa.binary()), *[(n, pa.list_(t)) for n, t in lists]])
+    """``key, core, places`` (of :func:`place`) of each core of each row ``key, data`` with LENGTH bytes or more.
+
+    A text that repeats itself names a core many times; that is still one row.
+    """
+    schema = pa.schema([("key", pa.binary()), ("core", pa.int64()), ("places", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in row_slices(batch, "data", PIECE):
                 data = part.column("data").to_pylist()
                 if len(data) == 1:
-                    place, lo, hi, core = sample_text(data[0])
-                    text = np.zeros(len(place), np.int64)
+                    at, lo, hi, core = sample_text(data[0])
+                    text = np.zeros(len(at), np.int64)
                 else:
                     stops = np.cumsum([len(x) for x in data])
-                    text, place, lo, hi, core = anchors(np.frombuffer(b"".join(data), np.uint8), stops)
-                    place = place - np.concatenate([[0], stops[:-1]])[text]
-                offsets = np.searchsorted(text, np.arange(len(data) + 1)).astype(np.int32)
-                values = (place.astype(np.int32), lo.astype(np.int16), hi.astype(np.int16), core.view(np.int64))
-                columns = [pa.ListArray.from_arrays(offsets, pa.array(v)) for v in values]
-                yield pa.RecordBatch.from_arrays([part.column("key"), *columns], schema=schema)
+                    text, at, lo, hi, core = anchors(np.frombuffer(b"".join(data), np.uint8), stops)
+                    at = at - np.concatenate([[0], stops[:-1]])[text]
+                order = np.lexsort((core, text))  # stable: positions stay in order
+                text, core = text[order], core[order]
+                first = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (core[1:] != core[:-1])]))
+                places = (at << 20 | lo << 10 | hi)[order]
+                offsets = pa.array(np.append(first, len(text)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([
+                    part.column("key").take(pa.array(text[first])), pa.array(core[first].view(np.int64)),
+                    pa.ListArray.from_arrays(offsets, pa.array(places)),
+                ], schema=schema)
 
-    return texts.mapInArrow(run, "key binary, at array<int>, lo array<short>, hi array<short>, core array<long>")
+    return texts.mapInArrow(run, "key binary, core long, places array<long>")
 
 
 def common(a: bytes, b: bytes, start: int = 0) -> int:
@@ -273,8 +289,15 @@ def _emit(held: dict[int, dict]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[i : i + 64]), _RUN_SCHEMA)], schema=_RUN_SCHEMA)
 
 
+def _texts(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
+    """Rows, a few at a time: the lists that belong to a text are longer than the text."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, 64):
+            yield from zip(*(batch.column(n).slice(i, 64).to_pylist() for n in names))
+
+
 def suffix_runs(work: DataFrame, buckets: int) -> DataFrame:
-    """Sorted front-coded runs of the suffixes of ``work`` (``key, data, found``: at, lo, hi, core of its anchors).
+    """Sorted front-coded runs of the suffixes of ``work`` (``key, data, found``: cores with their places).
 
     A run holds each suffix once, with what stands before it and where: ``{(before, lo, hi): [(key, at), ...]}``.
     """
@@ -282,17 +305,18 @@ def suffix_runs(work: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, dict] = {}
         size = 0
-        for batch in batches:
-            for key, data, found in zip(*(batch.column(c).to_pylist() for c in ("key", "data", "found"))):
-                for x in found:
-                    at, lo, hi = x["at"], x["lo"], x["hi"]
+        for key, data, found in _texts(batches, "key", "data", "found"):
+            for x in found:
+                bucket = held.setdefault(x["core"] % buckets, {})
+                for at, lo, hi in map(unplace, x["places"]):
                     suffix, before = data[at : at - lo + LENGTH], data[at - hi : at][::-1]
-                    places = held.setdefault(x["core"] % buckets, {}).setdefault(suffix, {})
-                    places.setdefault((before, lo, hi), []).append((key, at))
-                    size += len(suffix) + len(before) + 100
+                    where = bucket.setdefault(suffix, {}).setdefault((before, lo, hi), [])
+                    size += 60 if where else len(suffix) + len(before) + 300
+                    where.append((key, at))
                 if size > RUN_BYTES:
                     yield from _emit(held)
                     held, size = {}, 0
+                    bucket = held.setdefault(x["core"] % buckets, {})
         yield from _emit(held)
 
     return work.select("key", "data", "found").mapInArrow(run, _RUN)
@@ -345,67 +369,106 @@ def merged_ranges(runs: DataFrame) -> DataFrame:
     return runs.groupBy("bucket").applyInArrow(run, "key binary, start int, stop int")
 
 
-def hot_ranges(hot: DataFrame, buckets: int, scratch: str) -> DataFrame:
-    """``key, start, stop`` for windows of hot anchors: each window is a string of its own.
+def repeated_strings(units: DataFrame, data: DataFrame, buckets: int, scratch: str) -> tuple[DataFrame, DataFrame]:
+    """Which byte ranges ``key, start, stop, h, g`` (``h, g``: hashes of the bytes) occur again as strings.
 
-    ``hot``: ``key, data, found`` like :func:`suffix_runs`.
+    Candidates by hash are cut out of ``data`` (``key, data``), each string once per run with its count up to
+    two, and the merge counts the strings. Returns the repeated units and the others.
     """
-    window_schema = pa.schema([("key", pa.binary()), ("at", pa.int32()), ("h", pa.int64()), ("g", pa.int64())])
-
-    def windows_of(data: bytes, found: list[dict]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        whole = np.frombuffer(data, np.uint8)
-        for x in found:
-            start, stop = x["at"] - x["hi"], x["at"] - x["lo"] + LENGTH
-            h, g = (hashes(whole[start:stop], LENGTH, other).view(np.int64) for other in (0, 0x5A))
-            yield np.arange(start, start + len(h), dtype=np.int32), h, g
-
-    def list_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for key, data, found in zip(*(batch.column(c).to_pylist() for c in ("key", "data", "found"))):
-                for at, h, g in windows_of(data, found):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([key] * len(at), pa.binary()), pa.array(at), pa.array(h), pa.array(g)], schema=window_schema
-                    )
-
-    windows = materialise(hot.mapInArrow(list_windows, "key binary, at int, h long, g long"), f"{scratch}/windows")
-    place = F.xxhash64("key", "at")
-    more = windows.groupBy("h", "g").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a < b").select("h", "g")
-    again = materialise(windows.join(more, ["h", "g"]), f"{scratch}/again")
-    # Where they are, by text, to cut the strings out; a window of a run is sent once with its count up to 2.
-    wanted = again.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("at", "h", "g"))).alias("w"))
+    place = F.xxhash64("key", "start")
+    more = units.groupBy("h", "g").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a < b").select("h", "g")
+    more = materialise(more, f"{scratch}/twice")
+    wanted = units.join(more, ["h", "g"]).groupBy("key").agg(F.collect_list(F.struct("start", "stop", "h", "g")).alias("found"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, dict] = {}
         size = 0
-        for batch in batches:
-            for data, found in zip(batch.column("data").to_pylist(), batch.column("w").to_pylist()):
-                for x in found:
-                    entries = held.setdefault(x["h"] % buckets, {})
-                    string = data[x["at"] : x["at"] + LENGTH]
-                    if string not in entries:
-                        size += LENGTH + 100
-                    entries[string] = (x["h"], x["g"], min(2, entries.get(string, (0, 0, 0))[2] + 1))
-                if size > RUN_BYTES:
-                    yield from _emit(held)
-                    held, size = {}, 0
+        for data, found in _texts(batches, "data", "found"):
+            for x in found:
+                entries = held.setdefault(x["h"] % buckets, {})
+                string = data[x["start"] : x["stop"]]
+                known = entries.get(string)
+                if known is None:
+                    size += len(string) + 300
+                entries[string] = (x["h"], x["g"], 1 if known is None else 2)
+            if size > RUN_BYTES:
+                yield from _emit(held)
+                held, size = {}, 0
         yield from _emit(held)
 
-    runs = materialise(hot.join(wanted, "key").select("data", "w").mapInArrow(cut, _RUN), f"{scratch}/hot_runs")
+    runs = materialise(data.join(wanted, "key").select("data", "found").mapInArrow(cut, _RUN), f"{scratch}/runs")
 
     def verdict(table: pa.Table) -> pa.Table:
         runs = [front_decode(_unpack(n, d)) for n, d in zip(table.column("size").to_pylist(), table.column("run").to_pylist())]
-        # 128 bits of hash name a window from here on; the strings themselves are counted.
-        names, counts = [], []
-        for n, _, (h, g, count) in merge(runs):
-            if n < LENGTH or not names:
+        # 128 bits of hash name a string from here on; the strings themselves are counted.
+        names, counts, last = [], [], None
+        for n, string, (h, g, count) in merge(runs):
+            if last is None or n < len(string) or len(string) != last:
                 names.append((h, g))
                 counts.append(0)
+                last = len(string)
             counts[-1] += count
         rows = [name for name, count in zip(names, counts) if count > 1]
         return pa.table({"h": pa.array([h for h, _ in rows], pa.int64()), "g": pa.array([g for _, g in rows], pa.int64())})
 
-    sure = runs.groupBy("bucket").applyInArrow(verdict, "h long, g long")
-    return again.join(sure, ["h", "g"]).select("key", F.col("at").alias("start"), (F.col("at") + LENGTH).alias("stop"))
+    sure = materialise(runs.groupBy("bucket").applyInArrow(verdict, "h long, g long"), f"{scratch}/sure")
+    return units.join(sure, ["h", "g"]), units.join(sure, ["h", "g"], "left_anti")
+
+
+_UNIT = "key binary, start int, stop int, h long, g long, at int, lo int, hi int"
+
+
+def hot_ranges(hot: DataFrame, buckets: int, scratch: str) -> DataFrame:
+    """``key, start, stop`` of the repeated ranges that anchors with hot cores serve.
+
+    ``hot``: ``key, data, found`` like :func:`suffix_runs`. First the whole range that an anchor serves
+    is taken as one string: where it occurs again, all of it is repeated. The windows of the other anchors,
+    and of one anchor for each repeated string, are then strings of their own.
+    """
+    names = [x.split()[0] for x in _UNIT.split(", ")]
+    schema = pa.schema([(n, pa.binary() if n == "key" else pa.int64() if n in "hg" else pa.int32()) for n in names])
+
+    def of_anchors(key: bytes, data: np.ndarray, at: int, lo: int, hi: int) -> list[list]:
+        start, stop = at - hi, at - lo + LENGTH
+        h, g = (int(hashes(data[start:stop], stop - start, other).view(np.int64)[0]) for other in (0, 0x5A))
+        return [[x] for x in (key, start, stop, h, g, at, lo, hi)]
+
+    def of_windows(key: bytes, data: np.ndarray, at: int, lo: int, hi: int) -> list:
+        start, stop = at - hi, at - lo + LENGTH
+        h, g = (hashes(data[start:stop], LENGTH, other).view(np.int64) for other in (0, 0x5A))
+        starts = np.arange(start, start + len(h), dtype=np.int32)
+        n = len(h)
+        return [[key] * n, starts, starts + LENGTH, h, g, [at] * n, [lo] * n, [hi] * n]
+
+    def listed(frame: DataFrame, unit) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            columns: list[list] = [[] for _ in names]
+            for key, data, places in _texts(batches, "key", "data", "places"):
+                whole = np.frombuffer(data, np.uint8)
+                for value in places:
+                    for column, values in zip(columns, unit(key, whole, *unplace(value))):
+                        column.extend(values)
+                    if len(columns[0]) > 50_000:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+                        columns = [[] for _ in names]
+            if columns[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+        return frame.mapInArrow(run, _UNIT)
+
+    texts = hot.select("key", "data")
+    places = hot.select("key", "data", F.flatten(F.transform("found", lambda x: x["places"])).alias("places"))
+    whole = materialise(listed(places, of_anchors), f"{scratch}/anchors")
+    again, single = repeated_strings(whole, texts, buckets, f"{scratch}/whole")
+    again = materialise(again, f"{scratch}/again")
+    one = again.groupBy("h", "g").agg(F.min(F.struct("key", "at", "lo", "hi")).alias("x")).select("x.*")
+    left = single.select("key", "at", "lo", "hi").unionByName(one)
+    left = left.groupBy("key").agg(F.collect_list(
+        F.shiftleft(F.col("at").cast("long"), 20).bitwiseOR(F.shiftleft(F.col("lo").cast("long"), 10)).bitwiseOR(F.col("hi").cast("long"))
+    ).alias("places"))
+    windows = materialise(listed(texts.join(left, "key").select("key", "data", "places"), of_windows), f"{scratch}/windows")
+    more, _ = repeated_strings(windows, texts, buckets, f"{scratch}/each")
+    return again.select("key", "start", "stop").unionByName(more.select("key", "start", "stop"))
 
 
 def text_key(data: Column) -> Column:
@@ -421,17 +484,18 @@ def repeated_spans(texts: DataFrame, scratch: str, hot: int = HOT) -> DataFrame:
     """
     spark = texts.sparkSession
     long = texts.where(F.octet_length("data") >= LENGTH)
-    samples = materialise(sampled(long), f"{scratch}/samples")
-    flat = samples.select("key", F.explode(F.arrays_zip("at", "lo", "hi", "core")).alias("x")).select("key", "x.*")
-    place = F.xxhash64("key", "at")
-    shared = (
-        flat.select("core", place.alias("p")).groupBy("core")
-        .agg(F.min("p").alias("a"), F.max("p").alias("b"), F.count("*").alias("n")).where("a < b")
-        .select("core", (F.col("n") >= hot).alias("hot"))
+    flat = materialise(sampled(long), f"{scratch}/samples")
+    ends = [F.xxhash64("key", F.shiftright(F.col("places")[0], 20)), F.xxhash64("key", F.shiftright(F.element_at("places", -1), 20))]
+    # Written before the join, so that both its sides come from exchanges and a hot core is split.
+    shared = materialise(
+        flat.select("core", F.least(*ends).alias("p"), F.greatest(*ends).alias("q")).groupBy("core")
+        .agg(F.min("p").alias("a"), F.max("q").alias("b"), F.count("*").alias("n")).where("a < b")
+        .select("core", (F.col("n") >= hot).alias("hot")),
+        f"{scratch}/shared",
     )
     # Copies of a text name the same anchors: the set holds each once.
     found = materialise(
-        flat.join(shared, "core").groupBy("key").agg(F.collect_set(F.struct("at", "lo", "hi", "core", "hot")).alias("x")),
+        flat.join(shared, "core").groupBy("key").agg(F.collect_set(F.struct("core", "places", "hot")).alias("x")),
         f"{scratch}/found",
     )
     release(spark)
@@ -441,7 +505,7 @@ def repeated_spans(texts: DataFrame, scratch: str, hot: int = HOT) -> DataFrame:
     cold = work.withColumn("found", F.filter("x", lambda x: ~x["hot"])).where("size(found) > 0")
     many = work.withColumn("found", F.filter("x", lambda x: x["hot"])).where("size(found) > 0")
     suffixes, hot_texts = work.select(
-        F.sum(F.size("x")), F.sum(F.exists("x", lambda x: x["hot"]).cast("int"))
+        F.sum(F.aggregate("x", F.lit(0).cast("long"), lambda n, x: n + F.size(x["places"]))), F.sum(F.exists("x", lambda x: x["hot"]).cast("int"))
     ).first()
     buckets = max(1, -(-(suffixes or 0) // PER_BUCKET))
     runs = materialise(suffix_runs(cold, buckets), f"{scratch}/runs")
