@@ -33,7 +33,7 @@ BLOCK = 1024
 _MARKS = "^((?:[ \\t]*>)+)[ \\t]?"
 
 
-def level(line: Column) -> Column:
+def level(line: Column | str) -> Column:
     """Number of quotation marks that a line begins with."""
     marks = F.regexp_extract(line, _MARKS, 1)
     return F.length(marks) - F.length(F.translate(marks, ">", ""))
