@@ -28,7 +28,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # What separates words.
@@ -86,11 +86,14 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
         lambda s, p: F.struct(p.alias("last"), (s["n"] + F.least(F.lit(3), p - s["last"])).cast("long").alias("n")),
         lambda s: s["n"],
     )
-    m = third.select("row", F.struct(
+    base = F.struct(
         F.size("w").cast("long").alias("n_words"), "word_chars", "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         covered.alias("n_repeat_words"), F.size("lines").cast("long").alias("n_lines"), "n_loud",
-    ).alias("m"))
+    )
+    # A generator keeps later filters above: pushed down, they would take the arrays' expressions into the
+    # functions over their elements and work them out again for each.
+    m = third.select(F.explode_outer(F.array(F.struct("row", base.alias("m")))).alias("x")).select("x.row", "x.m")
 
     def share(part: str, of: str) -> Column:
         return F.when(F.col("m")[of] > 0, F.col("m")[part] / F.col("m")[of]).otherwise(0.0)
@@ -143,18 +146,22 @@ def select_cutoffs(holdout: DataFrame, alpha: float = ALPHA, delta: float = DELT
         for rule, ladder in LADDERS.items() for j, cutoff in enumerate(ladder)
     ]
     counts = holdout.groupBy("stratum").agg(F.count("*").alias("n"), *rejected)
-    level = delta / len(LADDERS)
-    strata = F.broadcast(counts.agg(F.count("*").alias("strata")))
-    per_rule = []
-    for rule, ladder in LADDERS.items():
-        passed = F.array(*[
-            binomial_tail(F.col(f"k_{rule}_{j}"), F.col("n"), alpha / len(LADDERS)) <= level / F.col("strata")
-            for j in range(len(ladder))
-        ])
-        stop = F.array_position(passed, False)  # the first rung that fails, from 1
-        rung = F.when(stop == 0, len(ladder)).otherwise(stop - 1).cast("int")
-        per_rule.append(F.get(F.array(*map(F.lit, ladder)), rung - 1).alias(rule))
-    return counts.join(strata).select("stratum", F.struct(*per_rule).alias("cutoffs"))
+    # One row per stratum by now.
+    counts = counts.withColumn("strata", F.count("*").over(Window.partitionBy(F.lit(0))))
+    rungs = counts.select("stratum", "n", "strata", F.explode(F.array(*[
+        F.struct(F.lit(rule).alias("rule"), F.lit(j).alias("j"), F.col(f"k_{rule}_{j}").alias("k"))
+        for rule, ladder in LADDERS.items() for j in range(len(ladder))
+    ])).alias("r")).select("stratum", "n", "strata", "r.*")
+    failed = binomial_tail(F.col("k"), F.col("n"), alpha / len(LADDERS)) > delta / len(LADDERS) / F.col("strata")
+    tested = rungs.withColumn("failed", failed)
+    # The rung before the first that fails.
+    stops = tested.groupBy("stratum").agg(*[
+        F.coalesce(F.min(F.when((F.col("rule") == rule) & F.col("failed"), F.col("j"))), F.lit(len(ladder))).alias(rule)
+        for rule, ladder in LADDERS.items()
+    ])
+    return stops.select("stratum", F.struct(*[
+        F.get(F.array(*map(F.lit, ladder)), F.col(rule) - 1).alias(rule) for rule, ladder in LADDERS.items()
+    ]).alias("cutoffs"))
 
 
 def calibrate(
