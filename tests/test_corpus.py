@@ -8,7 +8,7 @@ from tidemark.functions.text import is_blank, strip
 from tidemark.plans.report import corpus_counts
 from tidemark.sources.corpus import explode_items, file_stats, parse_files, read_qas
 
-GOOD = '{"q":"P1","a":"R1","product":"A","keywords":["k1"]}'
+GOOD = '{"q":"Wo?","a":"Hier","product":"lamp","keywords":["k1"]}'
 
 
 def write(root, name, text):
@@ -28,31 +28,29 @@ def statuses(spark, texts):
 
 
 def test_folder_cases(spark, tmp_path):
-    write(tmp_path, "valid.json", f"[{GOOD}]")
-    write(tmp_path, "empty_list.json", "[]")
-    write(tmp_path, "invalid_structure.json", '{"not":"a list"}')
-    write(tmp_path, "subdir/invalid_items.json",
-          '[{"q":"P3","a":"R3","product":"B","keywords":[]},{"q":"P4"},'
-          '{"q":"","a":"x","product":"B","keywords":[]}]')
-    write(tmp_path, "bad.json", "[{'bad': 'json'}")
-    write(tmp_path, "latin.json", '[{"q":"¿qué?"}]'.encode("latin-1"))
-    write(tmp_path, "ignored.txt", f"[{GOOD}]")
-    write(tmp_path, "ignored.JSON", f"[{GOOD}]")
+    """One file of each kind; what is wrong with it decides its status and what is left of it."""
+    half = json.dumps([
+        {"q": "Wer?", "a": "Ich", "product": "lamp", "keywords": ["x"]}, {"q": "Was?", "a": "Das", "product": "lamp"},
+        {"q": " \t", "a": "leer", "product": "lamp", "keywords": []}, 7,
+    ])
+    kinds = {
+        "one.json": (f"[{GOOD}]", "ok", 1, 0), "none.json": ("[ ]", "empty", 0, 0), "deep/er/half.json": (half, "ok", 1, 3),
+        "object.json": ('{"items": 3}', "not_array", 0, 0), "cut.json": (half[:-9], "malformed", 0, 0),
+        "bytes.json": ('[{"q":"ü"}]'.encode("cp1252"), "not_utf8", 0, 0),
+    }
+    for name, (content, *_) in kinds.items():
+        write(tmp_path, name, content)
+    for name in ("notes.md", "UPPER.JSON"):
+        write(tmp_path, name, f"[{GOOD}]")
     corpus = read_qas(spark, str(tmp_path))
-    assert {(r.source, r.pos, r.q) for r in corpus.valid.collect()} == {
-        ("valid.json", 0, "P1"), ("subdir/invalid_items.json", 0, "P3")}
-    assert {(r.source, r.pos, r.reason) for r in corpus.rejects.collect()} == {
-        ("subdir/invalid_items.json", 1, "missing_key"), ("subdir/invalid_items.json", 2, "blank")}
-    assert {r.source: (r.status, r.valid_items, r.invalid_items) for r in corpus.files.collect()} == {
-        "valid.json": ("ok", 1, 0), "empty_list.json": ("empty", 0, 0),
-        "invalid_structure.json": ("not_array", 0, 0), "subdir/invalid_items.json": ("ok", 1, 2),
-        "bad.json": ("malformed", 0, 0), "latin.json": ("not_utf8", 0, 0)}
-    assert {r.source: (r.status, r.raw) for r in corpus.errors.collect()} == {
-        "invalid_structure.json": ("not_array", '{"not":"a list"}'),
-        "bad.json": ("malformed", "[{'bad': 'json'}"), "latin.json": ("not_utf8", '[{"q":"\ufffdqu\ufffd?"}]')}
+    assert {(r.source, r.pos) for r in corpus.valid.collect()} == {("one.json", 0), ("deep/er/half.json", 0)}
+    assert {(r.pos, r.reason) for r in corpus.rejects.collect()} == {(1, "missing_key"), (2, "blank"), (3, "not_object")}
+    found = {r.source: (r.status, r.valid_items, r.invalid_items) for r in corpus.files.collect()}
+    assert found == {name: tuple(rest) for name, (_, *rest) in kinds.items()}
+    assert {r.source for r in corpus.errors.collect()} == {"object.json", "cut.json", "bytes.json"}
     assert corpus_counts(corpus.files).first().asDict() == {
         "files_found": 6, "files_parsed": 3, "files_failed": 3, "files_too_large": 0, "files_with_items": 2,
-        "items_valid": 2, "items_invalid": 2}
+        "items_valid": 2, "items_invalid": 3}
 
 
 def test_missing_root(spark, tmp_path):

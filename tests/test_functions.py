@@ -15,8 +15,8 @@ from tidemark.options import POINT_NAMESPACE, encoder_batch
 
 
 def test_identity_matches_uuid_and_hashlib(spark):
-    rows = [("¿Cómo funciona?", "docs/faq.json"), ("¿Cómo funciona?", "docs/manual.json"),
-            ("¿Cómo funciona esto?", "docs/faq.json"), ("a", "b\\c.json"), ("a", "b/c.json"),
+    rows = [("Wo liegt der Schlüssel?", "haus/tür.json"), ("Wo liegt der Schlüssel?", "haus/hof.json"),
+            ("Wo liegt der Schlüssel nun?", "haus/tür.json"), ("a", "b\\c.json"), ("a", "b/c.json"),
             ("", ""), ("😀 |source:", "x|y+z %41.json"), ("\x00\n", "ñ.json")]
     found = with_identity(spark.createDataFrame(rows, "q string, source string")).collect()
     for row in found:
@@ -44,13 +44,19 @@ def test_content_hash_sees_every_field_and_border(spark):
     assert len(hashes) == len(rows)
 
 
-LONG = """Este es un párrafo largo con varias frases, pensado para que no quepa en un solo fragmento del tamaño dado.
-    Este es el segundo, que también pertenece al texto y que añade más contenido a lo anterior.
-    Una frase final."""
+def prose(seed, sentences):
+    """Seeded random words in sentences, some of them on new lines."""
+    chance = random.Random(seed)
+    words = ["".join(chance.choice("abdeilmnorstuäß") for _ in range(chance.randint(2, 9))) for _ in range(40)]
+    parts = [" ".join(chance.choices(words, k=chance.randint(3, 12))).capitalize() + "." for _ in range(sentences)]
+    return "".join(p + chance.choice([" ", " ", "\n", "\n\n"]) for p in parts)
+
+
+LONG = prose(11, 12)
 
 
 def test_chunk_cases(spark):
-    short = "Este texto es corto y no necesita división."
+    short = "Kurz genug für ein Stück."
     rows = [(0, LONG), (1, short), (2, ""), (3, None), (4, "  \n "), (5, f"\n {short} \n")]
     found = {r.i: r.chunks for r in chunk(spark.createDataFrame(rows, "i int, t string"), "t", 100, 20).collect()}
     assert len(found[0]) > 1 and all(len(c) <= 100 for c in found[0])

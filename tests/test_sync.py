@@ -349,3 +349,61 @@ def test_stream_adds_and_never_deletes(spark, corpus, tmp_path):
     assert {r.payload.question for r in read_points(spark, collection).collect()} == {"q1", "q2", "q8", "q9"}
     assert collection.points == count_points(spark, collection) == 5
     assert some(run(spark, corpus, path), "deleted", "points") == (1, 4)
+
+
+def test_rows_without_key_are_rejected(spark, tmp_path):
+    rows = [("a.json", 0, "q", "a", "p", []), (None, 1, "q2", "a", "p", []), ("a.json", None, "q3", "a", "p", [])]
+    result = sync(spark, spark.createDataFrame(rows, ITEM), str(tmp_path), SyncOptions(**FAST))
+    assert [r.reason for r in result.rejects.collect()] == ["missing_key"] * 2
+    assert some(report(result), "items_valid", "evaluated", "points") == (1, 1, 1)
+
+
+def test_an_id_twice_in_a_given_state_is_written_once(spark, corpus, tmp_path):
+    first = sync(spark, str(corpus), str(tmp_path / "a"), SyncOptions(**FAST))
+    state = read_state(spark, first.collection)
+    twice = state.unionByName(state.withColumn("question_hash", F.lit("outdated")))
+    result = sync(spark, str(corpus), str(tmp_path / "b"), SyncOptions(**FAST), previous=twice)
+    assert report(result)["points"] == read_points(spark, result.collection).select("id").distinct().count() == 3
+    assert read_points(spark, result.collection).count() == 3
+
+
+def test_interrupted_commit_stands_in_nobodys_way(spark, corpus, tmp_path):
+    path = tmp_path / "store"
+    run(spark, corpus, path)
+    version = open_collection(spark, str(path), SyncOptions().collection).version
+    (path / SyncOptions().collection / "commits" / f"v={version + 1:08d}" / "_temporary").mkdir(parents=True)
+    write(corpus, "docs/new.json", [qa("q9")])
+    assert run(spark, corpus, path)["points"] == 4
+
+
+def test_file_changed_to_repeat_an_item_is_not_committed(spark, tmp_path, monkeypatch):
+    root = tmp_path / "corpus"
+    write(root, "a.json", [qa("q1"), qa("q2")])
+    compare = plan.compare
+
+    def meanwhile(*args):
+        write(root, "a.json", [qa("q1"), qa("q1")])
+        return compare(*args)
+
+    monkeypatch.setattr(plan, "compare", meanwhile)
+    with pytest.raises(RuntimeError, match="nothing was committed"):
+        run(spark, root, tmp_path / "store")
+    assert count_points(spark, open_collection(spark, str(tmp_path / "store"), SyncOptions().collection)) == 0
+
+
+def test_null_text_gives_a_null_vector_that_is_a_fault(spark):
+    from tidemark import encode, vector_faults
+
+    frame = encode(spark.createDataFrame([("a",), (None,), ("b",)], "t string"), "t", dim=4)
+    assert [r.t for r in vector_faults(frame, "vector", 4).collect()] == [None]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    from tidemark.sources import scratch
+
+    class Other:
+        conf = type("Conf", (), {"get": staticmethod(lambda *a: None)})
+        sparkContext = type("Context", (), {"master": "spark://host:7077"})
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        scratch.shared_folder(Other())

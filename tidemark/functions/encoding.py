@@ -64,7 +64,8 @@ def encode_column(
     def encode_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = factory()
         for texts in batches:
-            values = texts.tolist()
+            # A null text has no vector; the encoder doesn't see it.
+            values = [t for t in texts.tolist() if t is not None]
             vectors: list[np.ndarray] = []
             for start in range(0, len(values), batch_size):
                 part = values[start : start + batch_size]
@@ -74,7 +75,8 @@ def encode_column(
                         f"encoder returned shape {matrix.shape} for {len(part)} texts of dimension {dim}"
                     )
                 vectors.extend(matrix)
-            yield pd.Series(vectors, index=texts.index, dtype=object)
+            found = iter(vectors)
+            yield pd.Series([None if t is None else next(found) for t in texts], index=texts.index, dtype=object)
 
     return encode_batches(text)
 
@@ -87,7 +89,12 @@ def encode(
     return df.withColumn(out, encode_column(F.col(col), factory or hashing_encoder(dim), dim, batch_size))
 
 
+def vector_fault(v: Column, dim: int) -> Column:
+    """Whether a vector is missing, has the wrong length or holds a null."""
+    wrong = F.coalesce(F.size(v) != dim, F.lit(True)) | F.coalesce(F.exists(v, lambda x: x.isNull()), F.lit(True))
+    return v.isNull() | wrong
+
+
 def vector_faults(df: DataFrame, vector: str, dim: int) -> DataFrame:
     """Rows whose vector is missing, has the wrong length or holds a null."""
-    v = F.col(vector)
-    return df.where(v.isNull() | (F.size(v) != dim) | F.exists(v, lambda x: x.isNull()))
+    return df.where(vector_fault(F.col(vector), dim))

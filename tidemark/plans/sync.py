@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.chunking import chunk
-from tidemark.functions.encoding import encode
+from tidemark.functions.encoding import encode, vector_fault
 from tidemark.functions.identity import with_identity
 from tidemark.operators.diff import compare, current_points, keep_sources
 from tidemark.operators.points import build_points
@@ -23,7 +23,7 @@ from tidemark.options import SyncOptions, encoder_batch
 from tidemark.plans.report import change_counts, corpus_counts
 from tidemark.sources import corpus as corpus_source
 from tidemark.sources import scratch, store
-from tidemark.sources.state import empty_state
+from tidemark.sources.state import empty_state, unique_state
 
 REPORT_SCHEMA = (
     "collection string, version bigint, dry_run boolean, forced boolean, files_found bigint, "
@@ -83,9 +83,9 @@ def _ledger(exploded: DataFrame, options: SyncOptions) -> DataFrame:
 
 
 def _changed_items(
-    spark: SparkSession, source: str | DataFrame, wanted: DataFrame, count: int, rows: int, options: SyncOptions
+    spark: SparkSession, source: str | DataFrame, wanted: DataFrame, count: int, options: SyncOptions
 ) -> DataFrame:
-    """Whole items for the ``count`` positions in ``wanted``, out of ``rows`` valid ones.
+    """Whole items for the ``count`` positions in ``wanted``.
 
     They are found by file and position, so ids and hashes are worked out again for
     the fetched rows only. A row that no longer agrees, because its file was changed
@@ -93,9 +93,6 @@ def _changed_items(
     """
     cores = spark.sparkContext.defaultParallelism
     tasks = max(1, -(-count // options.rows_per_task), min(cores, -(-count // options.batch_size)))
-    if count == rows:
-        items = corpus_source.valid_items(_exploded(spark, source))
-        return with_identity(items, options.namespace, options.change_key).repartition(tasks, "point_id")
     keys = wanted.select(
         F.col("source_file").alias("source"), "pos",
         F.col("point_id").alias("wanted_id"), F.col("question_hash").alias("wanted_hash"),
@@ -103,9 +100,8 @@ def _changed_items(
     few = count <= options.broadcast_rows
     sources = keys.select("source").distinct() if few else None
     items = corpus_source.valid_items(_exploded(spark, source, sources))
-    found = items.join(F.broadcast(keys) if few else keys, ["source", "pos"])
-    if few:
-        found = found.repartition(tasks, "wanted_id")
+    # The encoder gets the same number of tasks whichever way the rows were found.
+    found = items.join(F.broadcast(keys) if few else keys, ["source", "pos"]).repartition(tasks, "wanted_id")
     agrees = (F.col("point_id") == F.col("wanted_id")) & (F.col("question_hash") == F.col("wanted_hash"))
     return with_identity(found, options.namespace, options.change_key).where(agrees).drop("wanted_id", "wanted_hash")
 
@@ -122,9 +118,19 @@ def sync(
     ``previous`` replaces the state kept with the points, as when a state file of
     an earlier system is taken over.
     """
-    options = options or SyncOptions()
-    started = time.monotonic()
     scratch_path = scratch.shared_folder(spark)
+    try:
+        return _sync(spark, source, store_path, options or SyncOptions(), previous, scratch_path)
+    except BaseException:
+        scratch.discard(spark, scratch_path)
+        raise
+
+
+def _sync(
+    spark: SparkSession, source: str | DataFrame, store_path: str, options: SyncOptions, previous: DataFrame | None,
+    scratch_path: str,
+) -> SyncResult:
+    started = time.monotonic()
     if options.dry_run:
         collection = store.open_collection(spark, store_path, options.collection)
     else:
@@ -132,7 +138,9 @@ def sync(
             spark, store_path, options.collection, options.dim, options.metric, on_mismatch=options.on_mismatch
         )
     taken_over = previous is not None
-    if previous is None:
+    if taken_over:
+        previous = unique_state(previous)
+    else:
         previous = empty_state(spark) if collection is None else store.read_state(spark, collection)
 
     ledger = scratch.materialise(_ledger(_exploded(spark, source), options), f"{scratch_path}/ledger")
@@ -150,10 +158,12 @@ def sync(
         compared = compared.where("op <> 'delete'")
     changes = scratch.materialise(compared, f"{scratch_path}/changes")
     counts = change_counts(changes, options.force).first()
+    if counts.evaluated != found.items_valid:
+        raise RuntimeError(f"{found.items_valid} valid items, but {counts.evaluated} compared; nothing was changed")
     _guard_deletes(counts.to_delete, counts.previous_points, options)
 
     process = "pos IS NOT NULL" if options.force else "op IN ('insert', 'update')"
-    todo = _changed_items(spark, source, changes.where(process), counts.to_upsert, found.items_valid, options)
+    todo = _changed_items(spark, source, changes.where(process), counts.to_upsert, options)
     dim = options.dim if collection is None else collection.dim
     todo = chunk(todo, "a", options.chunk_size, options.chunk_overlap)
     todo = encode(todo, "q", options.encoder, dim, encoder_batch(options.batch_size))
@@ -164,8 +174,8 @@ def sync(
     if options.dry_run:
         # The points are worked out in full, as a real run would, and kept aside.
         points = scratch.materialise(upserts, f"{scratch_path}/points")
-        written = points.count()
-        _check_written(written, counts.to_upsert)
+        tally = points.agg(F.count("*").alias("n"), F.count_if(vector_fault(F.col("vector"), dim)).alias("faults")).first()
+        _check_written(tally.n, counts.to_upsert, tally.faults)
         upserted, deleted = None, None
     else:
         points, upserted, deleted, collection = _write(
@@ -218,9 +228,12 @@ def _write(
     rows = spark.read.schema(store.ROW_SCHEMA).parquet(data)
     tally = rows.agg(
         F.count_if(~F.col("deleted")).alias("upserted"), F.count_if("deleted").alias("deleted"),
-        F.count_if(~F.col("deleted") & (F.size("vector") != collection.dim)).alias("faults"),
+        F.count_if(~F.col("deleted") & vector_fault(F.col("vector"), collection.dim)).alias("faults"),
     ).first()
     _check_written(tally.upserted, counts.to_upsert, tally.faults)
+    twice = rows.groupBy("id").count().where("count > 1").limit(1).count()
+    if twice:
+        raise RuntimeError("an id would be written twice; nothing was committed")
     if taken_over:
         # The given state need not agree with the stored points, so count them.
         others = store.read_rows(spark, collection).join(rows.select("id"), "id", "left_anti").count()

@@ -160,7 +160,10 @@ def check_items(items: DataFrame) -> DataFrame:
 
     They come typed, so only missing and blank values can be wrong with them.
     """
-    absent = F.col("q").isNull() | F.col("a").isNull() | F.col("product").isNull() | F.col("keywords").isNull()
+    absent = (
+        F.col("q").isNull() | F.col("a").isNull() | F.col("product").isNull() | F.col("keywords").isNull()
+        | F.col("source").isNull() | F.col("pos").isNull()
+    )
     reason = F.when(absent, "missing_key").when(is_blank(F.col("q")) | is_blank(F.col("a")), "blank")
     return items.select(
         "source", F.lit("ok").alias("status"), F.col("pos").cast("bigint").alias("pos"), reason.alias("reason"),

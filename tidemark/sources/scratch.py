@@ -9,9 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh path below ``spark.checkpoint.dir``; a local one only where that is unset."""
+    """A fresh path below ``spark.checkpoint.dir``.
+
+    Only a session whose executors live in the driver's process may do without that setting.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tidemark-")
     return f"{base.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
 

@@ -55,6 +55,14 @@ def state_points(parsed: DataFrame) -> DataFrame:
     )
 
 
+def unique_state(rows: DataFrame) -> DataFrame:
+    """One entry per id of a state from elsewhere, the last by source and hash; partial maxima per task."""
+    last = F.max(F.struct("source_file", "question_hash"))
+    return rows.where("point_id IS NOT NULL").groupBy("point_id").agg(last.alias("last")).select(
+        "point_id", "last.source_file", "last.question_hash"
+    )
+
+
 def empty_state(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], STATE_SCHEMA)
 
@@ -68,7 +76,7 @@ def load_state(spark: SparkSession, path: str) -> State:
             raise
         documents = spark.createDataFrame([], "value string")
     parsed = parse_state(documents)
-    return State(state_points(parsed), parsed.drop("indexed_points"))
+    return State(unique_state(state_points(parsed)), parsed.drop("indexed_points"))
 
 
 def state_documents(

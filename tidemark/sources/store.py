@@ -73,6 +73,8 @@ def open_collection(spark: SparkSession, path: str, name: str) -> Collection | N
     if not rows:
         return None
     last = rows[-1]
+    if len({r.version for r in rows}) != len(rows):
+        raise RuntimeError(f"two commits of collection {name!r} have one version: it had two writers")
     return Collection(
         path=path, name=name, dim=last.dim, metric=last.metric, version=last.version, points=last.points,
         segments=tuple((r.version, r.kind, r.data) for r in rows),
@@ -93,7 +95,8 @@ def _commit(
         F.lit(points).cast("bigint").alias("points"),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("committed_at"),
     )
-    folder = f"{_folder(path, name)}/commits/v={version:08d}"
+    # A name of its own, so that what an interrupted commit has left stands in nobody's way.
+    folder = f"{_folder(path, name)}/commits/v={version:08d}-{uuid.uuid4().hex}"
     record.coalesce(1).write.mode("errorifexists").json(folder)
     if spark.read.schema(COMMIT_SCHEMA).json(folder).count() != 1:
         raise RuntimeError(f"commit {version} of collection {name!r} is not there after writing it")
