@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.points import POINT_SCHEMA
 from tidemark.options import check_choice, check_positive, normalise_metric
+from tidemark.sources.scratch import discard
 
 log = logging.getLogger(__name__)
 
@@ -100,6 +101,10 @@ def _commit(
     record.coalesce(1).write.mode("errorifexists").json(folder)
     if spark.read.schema(COMMIT_SCHEMA).json(folder).count() != 1:
         raise RuntimeError(f"commit {version} of collection {name!r} is not there after writing it")
+    written = spark.read.schema(COMMIT_SCHEMA).option("recursiveFileLookup", True).json(f"{_folder(path, name)}/commits")
+    if written.where(F.col("version") == version).count() != 1:
+        discard(spark, folder)
+        raise RuntimeError(f"version {version} of collection {name!r} is there already: another writer made it")
     segment = (version, kind, data)
     if kind == "base" or below is None:
         return Collection(path, name, dim, metric, version, points, (segment,), points, 0)
