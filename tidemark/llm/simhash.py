@@ -262,20 +262,23 @@ def _keys(probe: bool) -> Column:
     return F.array(*keys)
 
 
-def candidate_pairs(nodes: DataFrame, scratch: str) -> DataFrame:
-    """``a < b``: nodes that a block or a probe of it brings together. ``nodes``: ``node, hi, lo, unsure``.
+def _differ(a: str, b: str) -> Column:
+    """Differing bits of two wide fingerprints, given by the prefixes of their columns."""
+    halves = [F.bit_count(F.col(f"{a}{h}").bitwiseXOR(F.col(f"{b}{h}"))) for h in ("hi", "lo")]
+    return halves[0] + halves[1]
 
-    A key stands for its smallest node, so a key held by many nodes costs a row for each, not for each pair.
+
+def meetings(nodes: DataFrame) -> DataFrame:
+    """``node, hub`` with fingerprints and roots: what a block or a probe of it brings together.
+
+    ``nodes``: ``node, root, hi, lo, unsure``. A key stands for its smallest node, the hub, so a node meets
+    at most as many hubs as it has keys, however many nodes are alike.
     """
-    hubs = nodes.select("node", F.explode(_keys(False)).alias("key")).groupBy("key").agg(F.min("node").alias("hub"))
-    probes = nodes.select("node", F.explode(_keys(True)).alias("key"))
-    met = probes.join(hubs, "key").where("node <> hub").select(
-        F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")
-    ).distinct()
-    sides = [nodes.select(F.col("node").alias(x), F.col("hi").alias(f"hi_{x}"), F.col("lo").alias(f"lo_{x}")) for x in "ab"]
-    differ = F.bit_count(F.col("hi_a").bitwiseXOR(F.col("hi_b"))) + F.bit_count(F.col("lo_a").bitwiseXOR(F.col("lo_b")))
-    pairs = met.join(sides[0], "a").join(sides[1], "b").where(differ <= WIDE_DISTANCE).select("a", "b")
-    return materialise(pairs, f"{scratch}/pairs")
+    hubs = nodes.select("node", "root", "hi", "lo", F.explode(_keys(False)).alias("key")).groupBy("key").agg(
+        F.min("node").alias("hub"), *[F.min_by(c, "node").alias(f"hub_{c}") for c in ("root", "hi", "lo")]
+    )
+    probes = nodes.select("node", "root", "hi", "lo", F.explode(_keys(True)).alias("key"))
+    return probes.join(hubs, "key").where("node <> hub")
 
 
 def similar_groups(
@@ -295,26 +298,31 @@ def similar_groups(
         ).withColumn("node", F.monotonically_increasing_id()),
         f"{scratch}/nodes",
     )
-    pairs = candidate_pairs(nodes, scratch)
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "key"), "node")
-    texts = rows.select("key", "text").join(involved, "key").groupBy("node").agg(F.first("text").alias("text"))
-    texts = materialise(texts, f"{scratch}/texts")
 
     def verified(some: DataFrame, name: str) -> DataFrame:
+        """Those pairs whose shingles are similar enough; only the texts in question are exchanged."""
+        pairs = materialise(
+            some.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct(),
+            f"{scratch}/{name}_pairs",
+        )
+        asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "key"), "node")
+        texts = rows.select("key", "text").join(asked, "key").groupBy("node").agg(F.first("text").alias("text"))
+        texts = materialise(texts, f"{scratch}/{name}_texts")
         left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
         right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-        both = some.join(left, "a").join(right, "b")
+        both = pairs.join(left, "a").join(right, "b")
         close = similarity_column(F.col("text_a"), F.col("text_b"), words) >= similarity
         return materialise(both.where(close).select("a", "b"), f"{scratch}/{name}")
 
-    # First one pair for each node, with its smallest partner; then the pairs that are not yet in one group.
-    first = verified(pairs.groupBy("b").agg(F.min("a").alias("a")), "first")
-    roots = materialise(components(first, f"{scratch}/c1"), f"{scratch}/roots")
-    other = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
-    apart = (
-        pairs.join(other, "a", "left").join(roots.select(F.col("node").alias("b"), F.col("root").alias("root_b")), "b", "left")
-        .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+    # First each node with the hub nearest to it; then what meets and is not in one group yet.
+    single = nodes.withColumn("root", F.col("node"))
+    nearest = meetings(single).groupBy("node").agg(F.min(F.struct(_differ("", "hub_").alias("differ"), "hub")).alias("x"))
+    first = verified(nearest.where(F.col("x.differ") <= WIDE_DISTANCE).select("node", "x.hub"), "first")
+    roots = components(first, f"{scratch}/c1")
+    grown = materialise(
+        nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), f"{scratch}/grown"
     )
+    apart = meetings(grown).where((F.col("root") != F.col("hub_root")) & (_differ("", "hub_") <= WIDE_DISTANCE))
     links_all = materialise(first.unionByName(verified(apart, "second")).distinct(), f"{scratch}/similar")
     groups = components(links_all, f"{scratch}/c2")
     grouped = nodes.select("node", "key", "id").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
