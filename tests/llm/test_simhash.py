@@ -54,9 +54,9 @@ def test_components_equal_brute_force(spark, scratch):
 
 
 def test_null_ids_and_empty_table(spark, scratch):
-    prints = spark.createDataFrame([(None, 5), (None, 4), (7, 1 << 40), (None, 1 << 40)], "doc_id long, fp long")
+    prints = spark.createDataFrame([(None, 5), (None, 4), (7, 15 << 40), (None, 15 << 40)], "doc_id long, fp long")
     found = {r.fp: r.component_id for r in s.near_duplicates(prints, f"{scratch}/a").collect()}
-    assert found == {5: None, 4: None, 1 << 40: 7}
+    assert found == {5: None, 4: None, 15 << 40: 7}
     assert s.near_duplicates(prints.limit(0), f"{scratch}/b").count() == 0
 
 

@@ -1,6 +1,34 @@
 """SQL that checks queries of this subpackage, for DuckDB."""
 
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+
 ORACLE: dict[str, str] = {
+    "op10_decontaminate": f"""
+        WITH b AS (SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item, {_WORDS} AS w FROM benchmark),
+        sized AS (SELECT item, w, least(10, len(w)) AS size FROM b WHERE len(w) > 0),
+        windows AS (
+            SELECT DISTINCT item, size, array_to_string(w[i:i + size - 1], ' ') AS g
+            FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS i FROM sized)
+        ),
+        d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+        places AS (
+            SELECT r, i, size, array_to_string(w[i:i + size - 1], ' ') AS g
+            FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS i
+                  FROM d, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size)
+        ),
+        found AS (SELECT r, i, size, item FROM places JOIN windows USING (size, g)),
+        hit AS (SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(i, i + size)) AS j FROM found) GROUP BY r),
+        named AS (
+            SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+            FROM (SELECT DISTINCT r, item FROM found) GROUP BY r
+        )
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+    """,
     "op1_warc_members": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
         q AS (SELECT page_id, strlen(body) AS payload_bytes, sha1(body) AS payload_digest,
