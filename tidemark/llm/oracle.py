@@ -1,11 +1,72 @@
 """SQL that checks queries of this subpackage, for DuckDB."""
 
+from tidemark.llm.risk_rules import ALPHA, DELTA, LADDERS
+
+_RUNGS = ", ".join(
+    f"('{rule}', {j}, CAST({cutoff} AS DOUBLE))" for rule, ladder in LADDERS.items() for j, cutoff in enumerate(ladder)
+)
+_SHARE, _LEVEL = repr(ALPHA / len(LADDERS)), repr(DELTA / len(LADDERS))
+
 _WORDS = (
     "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
     "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 )
 
+_RULES = f"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS body FROM documents),
+w AS (
+    SELECT r, doc_id, lang, body, regexp_extract_all(body, '[^\\x20\\x09-\\x0D]+') AS w,
+           [x for x in string_split(body, chr(10)) if regexp_matches(x, '[^\\x20\\x09-\\x0D]')] AS lines FROM t
+),
+grams AS (SELECT r, i, w[i:i + 2] AS g FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
+again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM grams) WHERE n > 1),
+covered AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest(range(i, i + 3)) AS j FROM again) GROUP BY r),
+m AS (
+    SELECT r, doc_id, lang, body, CAST(len(w) AS BIGINT) AS n_words,
+           CAST(length(regexp_replace(body, '[\\x20\\x09-\\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+           CAST(length(body) - length(regexp_replace(body, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+           CAST(length(body) - length(regexp_replace(body, '[\\p{{Lu}}!]', '', 'g')) AS BIGINT) AS n_loud,
+           CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+           CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+    FROM w LEFT JOIN covered USING (r)
+),
+f AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+           map {{'symbol_share': CASE WHEN word_chars > 0 THEN n_symbols / word_chars ELSE 0 END,
+                'loud_share': CASE WHEN word_chars > 0 THEN n_loud / word_chars ELSE 0 END,
+                'line_share': CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END,
+                'window_share': CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0 END}} AS shares
+    FROM m
+),
+votes AS (SELECT doc_id, min(quality) AS quality FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+once AS (
+    SELECT lang, body, any_value(shares) AS shares FROM f JOIN votes USING (doc_id) WHERE NOT base_failed
+    GROUP BY lang, body HAVING min(quality) = 1
+),
+ladder(rule, j, cutoff) AS (VALUES {_RUNGS}),
+tested AS (
+    SELECT lang, rule, j, cutoff, count(*) AS n, count(*) FILTER (shares[rule] > cutoff) AS k,
+           (SELECT count(DISTINCT coalesce(lang, '')) FROM once) AS strata
+    FROM once, ladder GROUP BY lang, rule, j, cutoff
+),
+tails AS (
+    SELECT *, CASE WHEN k >= n * {_SHARE} THEN 1.0 ELSE list_sum([exp(
+        lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({_SHARE}) + (n - i) * ln(1 - {_SHARE})
+    ) for i in range(0, k + 1)]) END AS p FROM tested
+),
+passed AS (
+    SELECT *, coalesce(min(j) FILTER (p > {_LEVEL} / strata) OVER (PARTITION BY lang, rule), 1000) AS first_bad FROM tails
+),
+cuts AS (SELECT lang, rule, min(cutoff) AS cutoff FROM passed WHERE j < first_bad GROUP BY lang, rule)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT EXISTS (
+           SELECT 1 FROM cuts c WHERE c.lang IS NOT DISTINCT FROM f.lang AND f.shares[c.rule] > c.cutoff
+       ) AS kept
+FROM f
+"""
+
 ORACLE: dict[str, str] = {
+    "op8_risk_rules": _RULES,
     "op10_decontaminate": f"""
         WITH b AS (SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item, {_WORDS} AS w FROM benchmark),
         sized AS (SELECT item, w, least(10, len(w)) AS size FROM b WHERE len(w) > 0),
