@@ -265,9 +265,9 @@ FROM pages WHERE length(html) > 0""",
 identified AS (SELECT *, {_point_id('q', 'source')} AS id FROM items), {_recursive_chunks(
         "SELECT {'id': id, 'pos': pos} AS key, a AS body FROM identified", 1000, 150)}
 SELECT id, pos, q AS question, product, source, coalesce(array_to_string(keywords, '|'), '') AS keywords,
-       TRUE AS has_answer, chunk AS first_chunk
+       count(*) AS n_chunks, string_agg(chunk, chr(30) ORDER BY chunk_no) AS answer
 FROM identified JOIN chunks ON chunks.key.id = identified.id AND chunks.key.pos = identified.pos
-WHERE chunk_no = 0""",
+GROUP BY id, pos, q, product, source, keywords""",
     "encode_hashed": r"""
 WITH tokens AS (
   SELECT doc_id, md5(token) AS h
@@ -280,8 +280,8 @@ norms AS (SELECT doc_id, sqrt(sum(s * s)) AS norm FROM cells GROUP BY doc_id)
 SELECT doc_id, bucket, CAST(CAST(s / norm AS FLOAT) AS DOUBLE) AS value
 FROM cells JOIN norms USING (doc_id) WHERE s <> 0""",
     "vector_checks": """
-SELECT vec_id, CAST(len(embedding) AS BIGINT) AS dim, len(embedding) = 64 AS right_dim,
-       len(list_filter(embedding, lambda x: x IS NULL)) > 0 AS has_null,
+SELECT vec_id, CAST(len(embedding) AS BIGINT) AS dim,
+       coalesce(len(embedding) <> 64 OR len(list_filter(embedding, lambda x: x IS NULL)) > 0, TRUE) AS fault,
        round(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)), 3) AS square_norm
 FROM embeddings""",
     "export_totals": f"WITH {_ITEMS} SELECT count(*) AS succeeded, CAST(0 AS BIGINT) AS failed FROM items",

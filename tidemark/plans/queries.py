@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.chunking import chunk, explode_chunks, fixed_windows
-from tidemark.functions.encoding import encode
+from tidemark.functions.encoding import encode, vector_fault
 from tidemark.functions.identity import content_hash, with_identity
 from tidemark.operators import diff as d
 from tidemark.operators.export import export_batches, export_counts
@@ -235,7 +235,7 @@ def payload_build(spark: SparkSession, folder: str) -> DataFrame:
     p = points.select("id", "pos", "payload.*")
     return p.select(
         "id", "pos", "question", "product", "source", F.array_join("keywords", "|").alias("keywords"),
-        (F.size("answer") > 0).alias("has_answer"), F.element_at("answer", 1).alias("first_chunk"),
+        F.size("answer").cast("bigint").alias("n_chunks"), F.array_join("answer", "\x1e").alias("answer"),
     )
 
 
@@ -251,8 +251,7 @@ def vector_checks(spark: SparkSession, folder: str) -> DataFrame:
     v = F.col("embedding")
     square = F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     return vectors.select(
-        "vec_id", F.size(v).cast("bigint").alias("dim"), (F.size(v) == 64).alias("right_dim"),
-        F.exists(v, lambda x: x.isNull()).alias("has_null"), F.round(square, 3).alias("square_norm"),
+        "vec_id", F.size(v).cast("bigint").alias("dim"), vector_fault(v, 64).alias("fault"), F.round(square, 3).alias("square_norm"),
     )
 
 
