@@ -15,8 +15,10 @@ from collections.abc import Callable
 SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _UNIT = re.compile(f" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]")
 
+_MARKS = ".,;:!?"
+
 #: Units remembered by a worker in each of two generations, about 220 bytes each, and the longest one remembered.
-REMEMBERED, LONGEST = 300_000, 64
+REMEMBERED, LONGEST = 400_000, 64
 #: Characters of a text cut into units at once.
 SEGMENT = 1 << 20
 
@@ -76,7 +78,12 @@ class UnitEncoder:
             again = missing & old.keys() if len(missing) < len(old) else old.keys() & missing
             young.update((u, old[u]) for u in again)
             fresh = [u for u in missing if u not in again]
+            # A mark after a letter is a match of its own, so a known word lends its ids.
+            marked = [u for u in fresh if u[-1] in _MARKS and u[-2:-1].isalpha() and u[:-1] in young]
+            if marked:
+                fresh = list(set(fresh).difference(marked).union([u[-1] for u in marked if u[-1] not in young]))
             young.update(zip(fresh, self.encode_units(fresh)))
+            young.update([(u, young[u[:-1]] + young[u[-1]]) for u in marked])
         for i, units in held:
             out[i].append(b"".join(map(young.__getitem__, units)))
         for unit in missing:
