@@ -81,3 +81,40 @@ def test_similar_groups(spark, scratch):
     found = [r.id for r in s.similar_groups(rows, f"{scratch}/a").collect()]
     assert sorted(found) == sorted(set(want.values()))
     assert s.similar_groups(rows.limit(0), f"{scratch}/b").count() == 0
+
+
+def kept_and_wanted(spark, texts, scratch, **options):
+    """Ids that stay, and the smallest ids of the groups by all pairs."""
+    rows = documents(spark, texts).select(F.sha2(F.coalesce("text", F.lit("")), 256).alias("key"), F.col("doc_id").alias("id"), "text")
+    sets = [s.shingles(t) for t in texts]
+    linked = [(i, j) for i in range(len(texts)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    found = [r.id for r in s.similar_groups(rows, scratch, **options).collect()]
+    return sorted(found), sorted(set(groups(range(len(texts)), linked).values())), len(linked)
+
+
+def test_families_with_one_word_set(spark, scratch):
+    chance, vocabulary, texts = random.Random(4), words(77, 200), []
+    for _ in range(30):
+        base = chance.sample(vocabulary, len(vocabulary))
+        for _ in range(3):
+            copy = list(base)
+            i = chance.randrange(len(copy) - 1)
+            copy[i], copy[i + 1] = copy[i + 1], copy[i]
+            texts.append(" ".join(copy))
+    chance.shuffle(texts)
+    found, want, linked = kept_and_wanted(spark, texts, scratch)
+    assert linked >= 60 and found == want
+
+
+def test_crowded_keys(spark, scratch, monkeypatch):
+    monkeypatch.setattr(s, "FREQUENT", 1)
+    chance, texts, common = random.Random(6), [], words(88, 150)
+    for i in range(90):  # around the threshold to each other: hubs take some, others must be paired up
+        own = words(1000 + i // 3, chance.randint(8, 26)) if i % 2 else words(2000 + i, chance.randint(8, 26))
+        texts.append(" ".join(common + own))
+    for bucket in (s.BUCKET, 2):
+        found, want, linked = kept_and_wanted(spark, texts, f"{scratch}/{bucket}", bucket=bucket)
+        assert linked and found == want
+    monkeypatch.setattr(s, "ROUNDS", 0)
+    found, want, _ = kept_and_wanted(spark, texts, f"{scratch}/none", bucket=2)
+    assert found == want

@@ -21,16 +21,18 @@ is null only if all its ids are; repeated rows stay rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import accumulate, combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, release
+from tidemark.llm.common import materialise, release, row_slices
 
 SEED = 42
 #: Largest number of nodes that are paired up within one block key.
@@ -176,43 +178,17 @@ def near_duplicates(
     return found
 
 
-# Near-duplicates by similarity of word shingles. Texts that share 0.8 of their five-word shingles differ in
-# some ten of 64 bits of a fingerprint over those shingles, too many for blocks. Their sets of words are far
-# closer, so candidates come from a wide fingerprint over distinct words, and the shingles decide.
+# Near-duplicates by similarity of word shingles. Candidates come from prefixes: with the shingles of all texts in
+# one order, two texts of that similarity share one of the first n - ceil(similarity * n) + 1 of either, n being the
+# number of its distinct shingles. This holds in any order, so what is estimated below (which shingles
+# are common and come last) bears on the number of candidates only. No pair is left out: groups are exact.
 
-#: Bits of the wide fingerprint and of a block, and least certain bits of a block that a probe may flip (two at most).
-WIDE, BLOCK_BITS, UNSURE = 128, 32, 8
-#: Most differing bits of a candidate pair: four deviations beyond the mean of pairs at similarity 0.8.
-WIDE_DISTANCE = 28
-_WIDE = "hi long, lo long, unsure array<long>"
-
-
-def wide_fingerprint(text: str | None) -> tuple[int, int, list[int]]:
-    """Both halves (signed), and of each block the masks of its least certain bits."""
-    data = (text or "").encode("utf-8", "surrogatepass").lower()
-    words: set[bytes] = set()
-    for at in range(0, len(data), SEGMENT):  # a word cut by a segment counts as two
-        words.update(data[at : at + SEGMENT].split())
-    if words:
-        bits = np.unpackbits(np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, sorted(words))), np.uint8))
-        margin = 2 * bits.reshape(-1, WIDE).sum(axis=0, dtype=np.int64) - len(words)
-    else:
-        margin = np.zeros(WIDE, np.int64)
-    packed = np.packbits(margin > 0).tobytes()
-    weak = np.argsort(np.abs(margin).reshape(-1, BLOCK_BITS), axis=1, kind="stable")[:, :UNSURE]
-    masks = (np.int64(1) << (BLOCK_BITS - 1 - weak)).ravel().tolist()
-    return (
-        int.from_bytes(packed[:8], "big", signed=True), int.from_bytes(packed[8:], "big", signed=True), masks,
-    )
-
-
-def wide_column(text: Column) -> Column:
-    @F.pandas_udf(_WIDE)
-    def prints(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            yield pd.DataFrame([wide_fingerprint(t) for t in texts], columns=["hi", "lo", "unsure"])
-
-    return prints(text)
+#: One text in so many tells which shingles are common: those in more than FREQUENT of these texts, COMMON at most.
+SAMPLE, FREQUENT, COMMON = 4, 8, 1 << 20
+#: Rounds in which the members of a crowded key meet one of them; those still in different groups are paired up then.
+ROUNDS = 3
+#: Allowance for rounding of bounds, on the side of more candidates.
+EPSILON = 1e-6
 
 
 def shingles(text: str | None, words: int = 5) -> set[int]:
@@ -244,67 +220,104 @@ def similarity_column(a: Column, b: Column, words: int = 5) -> Column:
     return compare(a, b)
 
 
-def _block(i: int) -> Column:
-    half = F.col("hi") if i < 2 else F.col("lo")
-    return F.shiftrightunsigned(half, 32) if i % 2 == 0 else half.bitwiseAND(F.lit(0xFFFFFFFF))
+def _hashes(text: str | None, words: int) -> np.ndarray:
+    """Shingles as signed longs; texts without words share one."""
+    found = shingles(text, words) or {0}
+    return np.fromiter(found, np.uint64, len(found)).view(np.int64)
+
+
+def common_shingles(rows: DataFrame, scratch: str, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of common shingles in order, and in how many texts of the sample each is."""
 
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in row_slices(batch, "text"):
+                found = [_hashes(t, words) for t in part.column("text").to_pylist()]
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found))], names=["h"])
 
-def _keys(probe: bool) -> Column:
-    """Block keys of a node: its own, or with up to two of the least certain bits of the block flipped."""
-    keys = []
-    for i in range(WIDE // BLOCK_BITS):
-        own = _block(i).bitwiseOR(F.lit(i << 32))
-        keys.append(own)
-        if probe:
-            masks = [F.col("unsure")[UNSURE * i + j] for j in range(UNSURE)]
-            keys += [own.bitwiseXOR(m) for m in masks]
-            keys += [own.bitwiseXOR(m).bitwiseXOR(n) for m, n in combinations(masks, 2)]
-    return F.array(*keys)
+    some = rows.where(F.pmod(F.xxhash64("key"), F.lit(SAMPLE)) == 0).select("text")
+    counts = materialise(
+        some.mapInArrow(listed, "h long").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > FREQUENT), f"{scratch}/common"
+    )
+    least, held = FREQUENT + 1, 0
+    for r in sorted(counts.groupBy("n").agg(F.count("*").alias("m")).collect(), key=lambda r: -r.n):
+        held += r.m
+        if held > COMMON:
+            least = r.n + 1
+            break
+    table = counts.where(F.col("n") >= least).orderBy("h").toArrow()
+    return table.column("h").to_numpy(), table.column("n").to_numpy()
+
+
+def prefix_column(text: Column, common, similarity: float, words: int) -> Column:
+    """``n`` (distinct shingles) and ``keys`` (the prefix): rare shingles by hash, then common ones by count."""
+
+    @F.pandas_udf("n int, keys array<long>")
+    def prefixes(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        known, counts = common.value
+        for texts in batches:
+            sizes, keys = [], []
+            for t in texts:
+                h = _hashes(t, words)
+                often = np.zeros(len(h), np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                    often = np.where(known[at] == h, counts[at], 0)
+                sizes.append(len(h))
+                keys.append(h[np.lexsort((h, often))][: prefix_length(len(h), similarity)])
+            yield pd.DataFrame({"n": np.array(sizes, np.int32), "keys": pd.Series(keys, dtype=object)})
 
+    return prefixes(text)
 
-def _differ(a: str, b: str) -> Column:
-    """Differing bits of two wide fingerprints, given by the prefixes of their columns."""
-    halves = [F.bit_count(F.col(f"{a}{h}").bitwiseXOR(F.col(f"{b}{h}"))) for h in ("hi", "lo")]
-    return halves[0] + halves[1]
 
+def prefix_length(n: int, similarity: float) -> int:
+    return n - max(1, math.ceil(similarity * n - EPSILON)) + 1
 
-def meetings(nodes: DataFrame) -> DataFrame:
-    """``node, hub`` with fingerprints and roots: what a block or a probe of it brings together.
 
-    ``nodes``: ``node, root, hi, lo, unsure``. A key stands for its smallest node, the hub, so a node meets
-    at most as many hubs as it has keys, however many nodes are alike.
+def _may_be_similar(a: str, b: str, similarity: float, shared: Column) -> Column:
+    """Whether two sets of ``{a}n`` and ``{b}n`` shingles can be similar, if their prefixes share at most ``shared``.
+
+    The set whose prefix ends first in the order can only match its other shingles beyond that.
     """
-    hubs = nodes.select("node", "root", "hi", "lo", F.explode(_keys(False)).alias("key")).groupBy("key").agg(
-        F.min("node").alias("hub"), *[F.min_by(c, "node").alias(f"hub_{c}") for c in ("root", "hi", "lo")]
+    rest = F.greatest(*[F.greatest(F.lit(1), F.ceil(F.col(f"{x}n") * similarity - EPSILON)) - 1 for x in (a, b)])
+    sizes = F.col(f"{a}n") + F.col(f"{b}n")
+    return (
+        (F.least(f"{a}n", f"{b}n") >= F.greatest(f"{a}n", f"{b}n") * similarity - EPSILON)
+        & (shared + rest >= sizes * (similarity / (1 + similarity)) - EPSILON)
     )
-    probes = nodes.select("node", "root", "hi", "lo", F.explode(_keys(True)).alias("key"))
-    return probes.join(hubs, "key").where("node <> hub")
 
 
 def similar_groups(
-    rows: DataFrame, scratch: str, similarity: float = 0.8, words: int = 5
+    rows: DataFrame, scratch: str, similarity: float = 0.8, words: int = 5, bucket: int = BUCKET
 ) -> DataFrame:
     """``key, id``: one row of each group of near-duplicates is to stay, that with this key and smallest id.
 
     ``rows``: ``key`` (equal for equal texts only), ``id``, ``text``. Groups are the components of links
     between texts with at least that similarity of their shingles.
+
+    Texts that share a prefix key of at most ``bucket`` texts are paired up. Those of a crowded key meet one of
+    them in each of ROUNDS rounds; then all that are still in different groups are paired up, which takes
+    rows with the square of their number only where many texts share a rare part and yet are not similar.
     """
+    spark = rows.sparkSession
+    common = spark.sparkContext.broadcast(common_shingles(rows, scratch, words))
     prints = materialise(
-        rows.select("key", "id", wide_column(F.col("text")).alias("p")).select("key", "id", "p.*"), f"{scratch}/prints"
+        rows.select("key", "id", prefix_column(F.col("text"), common, similarity, words).alias("p")).select("key", "id", "p.*"),
+        f"{scratch}/prints",
     )
     nodes = materialise(
-        prints.groupBy("key").agg(
-            F.min("id").alias("id"), F.first("hi").alias("hi"), F.first("lo").alias("lo"), F.first("unsure").alias("unsure")
-        ).withColumn("node", F.monotonically_increasing_id()),
+        prints.groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+        .withColumn("node", F.monotonically_increasing_id()),
         f"{scratch}/nodes",
     )
+    keyed = nodes.select("node", "n", F.explode("keys").alias("h"))
+    sizes = materialise(keyed.groupBy("h").agg(F.count("*").alias("many")).where("many > 1"), f"{scratch}/sizes")
+    met = materialise(keyed.join(sizes, "h"), f"{scratch}/met")
 
-    def verified(some: DataFrame, name: str) -> DataFrame:
-        """Those pairs whose shingles are similar enough; only the texts in question are exchanged."""
-        pairs = materialise(
-            some.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct(),
-            f"{scratch}/{name}_pairs",
-        )
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        """Those pairs ``a, b`` whose shingles are similar enough; only the texts in question are exchanged."""
+        pairs = materialise(pairs.select("a", "b").distinct(), f"{scratch}/{name}_pairs")
         asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "key"), "node")
         texts = rows.select("key", "text").join(asked, "key").groupBy("node").agg(F.first("text").alias("text"))
         texts = materialise(texts, f"{scratch}/{name}_texts")
@@ -314,18 +327,36 @@ def similar_groups(
         close = similarity_column(F.col("text_a"), F.col("text_b"), words) >= similarity
         return materialise(both.where(close).select("a", "b"), f"{scratch}/{name}")
 
-    # First each node with the hub nearest to it; then what meets and is not in one group yet.
-    single = nodes.withColumn("root", F.col("node"))
-    nearest = meetings(single).groupBy("node").agg(F.min(F.struct(_differ("", "hub_").alias("differ"), "hub")).alias("x"))
-    first = verified(nearest.where(F.col("x.differ") <= WIDE_DISTANCE).select("node", "x.hub"), "first")
-    roots = components(first, f"{scratch}/c1")
-    grown = materialise(
-        nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), f"{scratch}/grown"
-    )
-    apart = meetings(grown).where((F.col("root") != F.col("hub_root")) & (_differ("", "hub_") <= WIDE_DISTANCE))
-    links_all = materialise(first.unionByName(verified(apart, "second")).distinct(), f"{scratch}/similar")
-    groups = components(links_all, f"{scratch}/c2")
-    grouped = nodes.select("node", "key", "id").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    def rooted(links: DataFrame, name: str) -> DataFrame:
+        roots = components(links, f"{scratch}/{name}")
+        return nodes.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+
+    # All keys that a pair shares are small here, or else its crowded ones bring it together below.
+    small = met.where(F.col("many") <= bucket)
+    pairs = small.select("h", F.col("node").alias("a"), F.col("n").alias("a_n")).join(
+        small.select("h", F.col("node").alias("b"), F.col("n").alias("b_n")), "h"
+    ).where("a < b").groupBy("a", "b").agg(F.first("a_n").alias("a_n"), F.first("b_n").alias("b_n"), F.count("*").alias("shared"))
+    found = verified(pairs.where(_may_be_similar("a_", "b_", similarity, F.col("shared"))), "small")
+
+    shared = met.groupBy("node").agg(F.count("*").alias("shared"))
+    crowded = materialise(met.where(F.col("many") > bucket).join(shared, "node").select("h", "node", "n", "shared"), f"{scratch}/crowded")
+    may = _may_be_similar("a_", "b_", similarity, F.least("a_shared", "b_shared"))
+    for i in range(ROUNDS + 1):
+        members = crowded.join(rooted(found, f"c{i}"), "node")
+        open_keys = members.groupBy("h").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("h")
+        crowded = members = materialise(members.join(open_keys, "h", "left_semi"), f"{scratch}/open{i}")
+        if members.isEmpty():
+            break
+        sides = [members.select("h", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "n", "shared", "root")]) for s in "ab"]
+        if i < ROUNDS:  # by a hash of the round, so that the same text tends to stand for all keys of its group
+            hub = F.min_by(F.struct(*[c for c in sides[0].columns if c != "h"]), F.xxhash64("a_node", F.lit(i)))
+            sides[0] = sides[0].groupBy("h").agg(hub.alias("x")).select("h", "x.*")
+        apart = sides[0].join(sides[1], "h").where((F.col("a_root") != F.col("b_root")) & may)
+        pairs = apart.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
+        found = materialise(found.unionByName(verified(pairs, f"more{i}")).distinct(), f"{scratch}/similar{i}")
+        crowded = crowded.drop("root")
+    common.unpersist()
+    grouped = nodes.select("node", "key", "id").join(rooted(found, "groups"), "node")
     smallest = grouped.groupBy("root").agg(
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("kept")
     ).select(F.col("kept.node").alias("node"))
