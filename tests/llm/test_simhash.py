@@ -118,3 +118,33 @@ def test_crowded_keys(spark, scratch, monkeypatch):
     monkeypatch.setattr(s, "ROUNDS", 0)
     found, want, _ = kept_and_wanted(spark, texts, f"{scratch}/none", bucket=2)
     assert found == want
+
+
+def edited(base, kind, share, chance):
+    """``base`` with one edit after which about ``share`` of all distinct shingles are in both."""
+    n = len(base)
+    if kind == "append":
+        return base + words(chance.random(), round(n / share) - n)
+    if kind == "truncate":
+        return base[: round(n * share)]
+    if kind == "replace":
+        m = round(n * (1 - share) / (1 + share)) - 4
+        at = chance.randrange(n - m)
+        return base[:at] + words(chance.random(), m) + base[at + m :]
+    copy, step = list(base), round(5 * (1 + share) / (1 - share))
+    for at in range(step // 2, n, step):
+        copy[at] = words(chance.random(), 1)[0]
+    return copy
+
+
+def test_every_kind_of_edit_is_found(spark, scratch):
+    chance, texts, kinds = random.Random(5), [], []
+    for i in range(80):
+        kind, base = ("append", "truncate", "replace", "scatter")[i % 4], words(3000 + i, chance.randint(150, 400))
+        texts += [" ".join(base), " ".join(edited(base, kind, chance.uniform(0.81, 0.9), chance))]
+        a, b = map(s.shingles, texts[-2:])
+        kinds += [kind] * (0.8 <= len(a & b) / len(a | b) <= 0.92)
+    assert all(kinds.count(k) >= 15 for k in set(kinds)) and len(set(kinds)) == 4
+    found, want, linked = kept_and_wanted(spark, texts, scratch)
+    lost = [("append", "truncate", "replace", "scatter")[i // 2 % 4] for i in set(found) - set(want)]
+    assert linked >= 60 and found == want, {k: f"{lost.count(k)} of {kinds.count(k)} lost" for k in set(kinds)}
