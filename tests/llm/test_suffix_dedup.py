@@ -3,7 +3,7 @@ import random
 from collections import Counter
 
 import pytest
-from helpers import documents
+from helpers import documents, words
 from pyspark.sql import functions as F
 
 from tidemark.llm import suffix_dedup as s
@@ -86,3 +86,24 @@ def test_anchors_serve_each_window_once():
     at, lo, hi, _ = s.sample_text(data)
     windows = sorted(w for a, x, y in zip(at.tolist(), lo.tolist(), hi.tolist()) for w in range(a - y, a - x + 1))
     assert windows == list(range(len(data) - s.LENGTH + 1))
+
+
+def test_core_repeated_within_few_texts_is_hot(spark, scratch, monkeypatch):
+    line = " ".join(words(41, 90))[:450]
+    texts = [" ".join(words(50 + i, 100)) + line * 20 + " ".join(words(60 + i, 100)) for i in range(2)]
+    taken, hot_ranges = [], s.hot_ranges
+    monkeypatch.setattr(s, "hot_ranges", lambda *a: taken.append(1) or hot_ranges(*a))
+    monkeypatch.setattr(s.repeated_spans, "__defaults__", (10,))
+    rows, gone = s.removals(documents(spark, texts), scratch)
+    kept = {bytes(r.data).decode(): bytes(r.kept).decode() for r in rows.join(gone, "key").select("data", "kept").collect()}
+    assert taken and [kept[t] for t in texts] == [b.decode() for b in want_kept(texts)]
+
+
+def want_kept(texts):
+    """By all windows of 400 bytes."""
+    places = {}
+    for i, t in enumerate(x.encode() for x in texts):
+        for at in range(len(t) - 399):
+            places.setdefault(t[at : at + 400], []).append((i, at))
+    gone = {(i, at + k) for found in places.values() if len(found) > 1 for i, at in found for k in range(400)}
+    return [bytes(c for k, c in enumerate(t.encode()) if (i, k) not in gone) for i, t in enumerate(texts)]

@@ -19,7 +19,7 @@ corpus. Strings are judged on the input, and never cross texts.
    anchor at once, by the bytes themselves.
 
 Copies of a whole text are found first, by its SHA-256: they repeat from end to end and take part in the
-sort as one text. A core that HOT texts or more hold is not gathered in one place: the whole ranges that its
+sort as one text. A core at HOT places or more, in however many texts, is not gathered in one place: the whole ranges that its
 anchors serve, and where these are unique their windows, are sorted as strings of their own, spread by
 their own hash, one per run and string, and only verdicts travel back to where they occur.
 
@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import materialise, release, row_slices
 
 LENGTH, CORE = 400, 128
-#: Windows sampled at once, texts from which a core counts as hot (a group of so many takes some 20 MB), suffixes aimed at per
+#: Windows sampled at once, places from which a core counts as hot (a group of so many takes some 20 MB), suffixes aimed at per
 #: exchange bucket, and bytes of suffixes in a run.
 PIECE, HOT, PER_BUCKET, RUN_BYTES = 1 << 20, 16_384, 10_000, 24 << 20
 
@@ -488,8 +488,8 @@ def repeated_spans(texts: DataFrame, scratch: str, hot: int = HOT) -> DataFrame:
     ends = [F.xxhash64("key", F.shiftright(F.col("places")[0], 20)), F.xxhash64("key", F.shiftright(F.element_at("places", -1), 20))]
     # Written before the join, so that both its sides come from exchanges and a hot core is split.
     shared = materialise(
-        flat.select("core", F.least(*ends).alias("p"), F.greatest(*ends).alias("q")).groupBy("core")
-        .agg(F.min("p").alias("a"), F.max("q").alias("b"), F.count("*").alias("n")).where("a < b")
+        flat.select("core", "places", F.least(*ends).alias("p"), F.greatest(*ends).alias("q")).groupBy("core")
+        .agg(F.min("p").alias("a"), F.max("q").alias("b"), F.sum(F.size("places")).alias("n")).where("a < b")
         .select("core", (F.col("n") >= hot).alias("hot")),
         f"{scratch}/shared",
     )
