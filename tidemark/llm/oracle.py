@@ -65,7 +65,121 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f
 """
 
+
+def _clusters(k: int = 40, rounds: int = 5, dims: int = 64) -> str:
+    """Every round spelled out."""
+    parts = [f"""
+        k AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id,
+                   [CAST(floor(greatest(-134217728.0, least(134217728.0, 256 * CAST(x AS DOUBLE)))) AS BIGINT) FOR x IN embedding] AS v
+            FROM embeddings WHERE len(embedding) = {dims} AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = {dims}
+        ),
+        c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v
+            FROM (SELECT sha256('2:' || vec_id) AS h, v FROM k WHERE vec_id IS NOT NULL) ORDER BY h, v LIMIT {k}
+        )"""]
+    for i in range(rounds + 1):
+        parts.append(f"""
+        a{i} AS MATERIALIZED (
+            SELECT r, vec_id, v, c, d FROM (
+                SELECT k.r, k.vec_id, k.v, c.c,
+                       CAST(list_sum([(k.v[i] - c.v[i]) * (k.v[i] - c.v[i]) FOR i IN range(1, {dims} + 1)]) AS BIGINT) AS d
+                FROM k, c{i} c
+            ) QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1
+        )""")
+        if i < rounds:
+            parts.append(f"""
+        c{i + 1} AS MATERIALIZED (
+            SELECT c.c, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN (
+                SELECT c, list(f ORDER BY i) AS v FROM (
+                    SELECT c, i, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS f
+                    FROM (SELECT c, i, sum(v[i]) AS s, count(*) AS n FROM a{i}, range(1, {dims} + 1) t(i) GROUP BY c, i)
+                ) GROUP BY c
+            ) m USING (c)
+        )""")
+    return "WITH" + ",".join(parts) + f"""
+        SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+               CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+        FROM a{rounds} a JOIN c{rounds} c USING (c)
+    """
+
+
+_RESAMPLED = f"""
+WITH RECURSIVE crc(b, x) AS (
+    SELECT range, list_reduce([range] || [0 FOR i IN range(8)], lambda s, z: CASE WHEN s % 2 = 1 THEN xor(3988292384, s >> 1) ELSE s >> 1 END)
+    FROM range(256)
+),
+d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+dw AS MATERIALIZED (
+    SELECT r, array_to_string(w[i:i + n - 1], ' ') AS g FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, range(1, 4) t(n))
+),
+bw AS MATERIALIZED (
+    SELECT array_to_string(w[i:i + n - 1], ' ') AS g
+    FROM (SELECT w, n, unnest(range(1, len(w) - n + 2)) AS i FROM (SELECT {_WORDS} AS w FROM benchmark), range(1, 4) t(n))
+),
+own AS (SELECT g, count(*) AS n FROM dw GROUP BY g),
+wanted AS (SELECT g, count(*) AS n FROM bw GROUP BY g),
+steps(g, h, i, s) AS (
+    SELECT g, hex(g), 1, 4294967295 FROM (SELECT g FROM own UNION SELECT g FROM wanted)
+    UNION ALL
+    SELECT g, h, i + 2, xor(x, s >> 8) FROM steps JOIN crc ON b = xor(s, CAST('0x' || h[i:i + 1] AS BIGINT)) & 255 WHERE i < length(h)
+),
+bucket AS MATERIALIZED (SELECT g, xor(s, 4294967295) % 10000 AS b FROM steps WHERE i > length(h)),
+s AS (SELECT b, sum(n) AS s FROM own JOIN bucket USING (g) GROUP BY b),
+t AS (SELECT b, sum(n) AS t FROM wanted JOIN bucket USING (g) GROUP BY b),
+gain AS MATERIALIZED (
+    SELECT b, CAST(floor(1000 * ln(
+        CAST(coalesce(t, 0) + 1 AS DOUBLE) * (CAST((SELECT count(*) FROM dw) AS DOUBLE) + 10000)
+        / (CAST(coalesce(s, 0) + 1 AS DOUBLE) * (CAST((SELECT count(*) FROM bw) AS DOUBLE) + 10000))
+    )) AS BIGINT) AS gain FROM s FULL JOIN t USING (b)
+),
+weights AS (SELECT r, count(*) AS n, CAST(sum(gain) AS BIGINT) AS weight FROM dw JOIN bucket USING (g) JOIN gain USING (b) GROUP BY r),
+scores AS (
+    SELECT r, doc_id, len(w) AS n_words, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+               (CAST('0x' || sha256('42:' || doc_id)[1:8] AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+    FROM d LEFT JOIN weights USING (r)
+),
+placed AS (
+    SELECT r, row_number() OVER (ORDER BY score DESC, doc_id, r) AS place, 5 * count(*) OVER () // 100 AS drawn FROM scores WHERE n_words >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= drawn THEN place END AS rank FROM scores LEFT JOIN placed USING (r)
+"""
+
+_PARTS = "(?s)^.*?://([^/?#]*)([^?#]*)(?:\\?([^#]*))?"
+_URLS = f"""
+WITH u AS (
+    SELECT page_id, translate(coalesce(regexp_extract(url, '{_PARTS}', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           coalesce(regexp_extract(url, '{_PARTS}', 2), '') AS path, coalesce(regexp_extract(url, '{_PARTS}', 3), '') AS query
+    FROM pages
+),
+n AS (
+    SELECT *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(host, '(?s)^.*@', ''), '(?::(?:80|443)?)?$', ''), '[.]$', ''), '^www[.]', '') AS name,
+           regexp_replace(regexp_replace(path, '/+', '/', 'g'), '/$', '') AS place,
+           list_sort([p FOR p IN string_split(query, '&') IF p <> '' AND NOT regexp_matches(p, '^(?:utm_[^=]*|gclid|fbclid|ref)(?:=|$)')]) AS own
+    FROM u
+),
+c AS (SELECT *, CASE WHEN name <> '' THEN name || place || CASE WHEN len(own) > 0 THEN '?' || array_to_string(own, '&') ELSE '' END END AS canonical FROM n),
+listed AS (
+    SELECT DISTINCT canonical FROM c
+    WHERE canonical IS NOT NULL AND regexp_matches(host, '(?:^|[.])(?:ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)[.]')
+),
+rules(h, p, verdict) AS (
+    VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+),
+fits AS (
+    SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict
+    FROM c JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id
+)
+SELECT page_id, host, path, rule, canonical, listed.canonical IS NOT NULL AS listed,
+       coalesce(verdict, CASE WHEN listed.canonical IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM c LEFT JOIN fits USING (page_id) LEFT JOIN listed USING (canonical)
+"""
+
 ORACLE: dict[str, str] = {
+    "op11_centroid_tables": _clusters(),
+    "op12_resampling": _RESAMPLED,
+    "op13_url_bloom": _URLS,
     "op8_risk_rules": _RULES,
     "op10_decontaminate": f"""
         WITH b AS (SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item, {_WORDS} AS w FROM benchmark),

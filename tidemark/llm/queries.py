@@ -9,13 +9,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontam, lengths, pu_quality, quotes, risk_rules, simhash, simple8b, suffix_dedup, warc
+from tidemark.llm import (
+    bpe, centroids, decontam, lengths, pu_quality, quotes, resampling, risk_rules, simhash, simple8b, suffix_dedup, url_filter,
+    warc,
+)
 from tidemark.llm.common import materialise, shared_folder
 from tidemark.plans.tables import table
 
 RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
 
+#: Rules of the URL filter, and the sites whose pages make up its list.
+URL_RULES = [
+    url_filter.Rule("org", "/", "allow"),
+    url_filter.Rule("example.org", "/es/", "block"),
+    url_filter.Rule("example.org", "/en/1", "block"),
+    url_filter.Rule("com", "/fr/", "allow"),
+    url_filter.Rule("com", "/de/", "block"),
+]
+LISTED_SITES = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+
 
 def op1_warc_members(spark: SparkSession, folder: str) -> DataFrame:
     scratch = shared_folder(spark)
@@ -125,6 +138,28 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_centroid_tables(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    found, _ = centroids.cluster(vectors, shared_folder(spark), k=40, rounds=5, dims=64, id="vec_id")
+    return found.withColumnRenamed("id", "vec_id")
+
+
+def op12_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = resampling.resample(docs, table(spark, folder, "benchmark"), shared_folder(spark))
+    return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+def op13_url_bloom(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    listed = pages.where(url_filter.host(F.col("url")).rlike(rf"(?:\A|\.)(?:{'|'.join(LISTED_SITES)})\."))
+    found = url_filter.judge(pages, listed, shared_folder(spark), URL_RULES, columns=("page_id",))
+    return found.select(
+        F.col("row.page_id").alias("page_id"), "host", "path", "rule", "verdict", "canonical", "listed"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc_members, op2_suffix_dedup, op3_pu_quality, op4_quote_links, op5_byte_bpe, op6_simple8b, op7_length_histogram, op8_risk_rules, op9_simhash_blocks, op10_decontaminate)
+    f.__name__: f for f in (op1_warc_members, op2_suffix_dedup, op3_pu_quality, op4_quote_links, op5_byte_bpe, op6_simple8b, op7_length_histogram, op8_risk_rules, op9_simhash_blocks, op10_decontaminate, op11_centroid_tables, op12_resampling,
+              op13_url_bloom)
 }
