@@ -14,12 +14,15 @@ A file is a row of blocks. A block holds whole documents in order and can be dec
 The index of blocks (file, offset, bytes, documents, ids) is a table beside the files. A reader
 splits it like any table; within a block the decoder works on all words of a selector at once.
 
+Null texts are empty ones; a document without ids is one with the end id alone; repeated rows are documents of their own; an empty table gives no file. A document is one block, so a very long one is held as a whole by its task.
+
 Files are written under a name of the task attempt, and only the index of successful attempts is
 committed, so lost executors and repeated tasks leave nothing a reader would see.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -99,10 +102,10 @@ def unpack(words: np.ndarray, escapes: np.ndarray) -> np.ndarray:
     return out
 
 
-def block_bytes(keys: list[int | None], ids: list[np.ndarray]) -> bytes:
-    """A block of documents given by id and token ids."""
-    words, escapes = pack(np.concatenate([np.zeros(0, np.uint64), *ids]))
-    counts = np.array([len(x) for x in ids], "<u8")
+def block_bytes(keys: list[int | None], counts: list[int], ids: np.ndarray) -> bytes:
+    """A block of documents given by id and number of token ids, and all their token ids."""
+    words, escapes = pack(ids)
+    counts = np.array(counts, "<u8")
     header = np.array([MAGIC, len(keys), int(counts.sum()), len(words), len(escapes), 1], "<u8")
     return b"".join([
         header.tobytes(), np.array([k or 0 for k in keys], "<i8").tobytes(),
@@ -128,8 +131,34 @@ def read_block(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     return [None if z else k for k, z in zip(keys, null)], counts, ids
 
 
+class LibraryEncoder:
+    """Texts to ids (bytes of little-endian unsigned 32-bit integers) as the ``tokenizers`` library gives them.
+
+    Like the library, it takes special strings of the vocabulary out of a text first; what stands between them are texts of their own.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        added = Tokenizer.from_file(path).get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word for t in added.values()):
+            raise ValueError("special strings that depend on what stands beside them are not supported")
+        self.special = {t.content: np.array([i], "<u4").tobytes() for i, t in added.items()}
+        # The longest first, as the library has it.
+        self.cut = re.compile("|".join(f"({re.escape(c)})" for c in sorted(self.special, key=len, reverse=True)) or r"(?!)")
+        self.units = UnitEncoder(library_encoder(path))
+
+    def encode_many(self, texts: list[str | None]) -> list[bytes]:
+        parts = [[p for p in self.cut.split(t) if p is not None] if t and any(c in t for c in self.special) else [t] for t in texts]
+        ids = self.units.encode_many([None if p in self.special else p for some in parts for p in some])
+        if len(ids) == len(texts):
+            return ids
+        found = iter(ids)
+        return [b"".join([self.special.get(p, x) for p, x in zip(some, found)]) for some in parts]
+
+
 def library_encoder(path: str):
-    """Units to ids with the ``tokenizers`` library; special strings in a text are ordinary text.
+    """Units without special strings to ids, with the ``tokenizers`` library.
 
     Units of a space and what follows are encoded as one text: where a token starts with a space, a unit starts.
     """
@@ -169,24 +198,26 @@ def write_ids(
 ) -> DataFrame:
     """Encode the texts, add ``end`` to each, write them in ascending ``key`` order below ``folder``.
 
-    Returns the index of blocks, stored as ``folder/index``. Rows with equal keys come in the
-    order of their texts, null keys first, null texts as empty ones.
+    Returns the index of blocks, stored as ``folder/index``. Rows with equal keys come in the order of a hash of their
+    texts, null keys first, null texts as empty ones.
     """
     ordered = docs.select(F.col(key).cast("long").alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    ordered = ordered.repartitionByRange("k").sortWithinPartitions("k", "t")
+    # The hash and the place deal out rows with one key, and equal rows, over several tasks.
+    ordered = ordered.withColumn("h", F.xxhash64("t")).withColumn("place", F.monotonically_increasing_id())
+    ordered = ordered.repartitionByRange("k", "h", "place").sortWithinPartitions("k", "h", "t", "place").select("k", "t")
     names = ("part", "file", "block", "offset", "bytes", "docs", "ids")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = worker_state()
         if ("ids", tokenizer) not in state:
-            state[("ids", tokenizer)] = UnitEncoder(library_encoder(tokenizer))
+            state[("ids", tokenizer)] = LibraryEncoder(tokenizer)
         encoder = state[("ids", tokenizer)]
         context = TaskContext.get()
         part, name = context.partitionId(), f"part-{context.partitionId():06d}-{context.taskAttemptId()}.s8b"
         fs, path = open_fs(folder)
-        rows, out, offset = [], None, 0
+        rows, out, offset, last = [], None, 0, np.array([end], "<u4").tobytes()
         keys: list[int | None] = []
-        held: list[np.ndarray] = []
+        held: list[bytes] = []
         size = 0
 
         def flush() -> None:
@@ -196,7 +227,8 @@ def write_ids(
             if out is None:
                 fs.create_dir(path, recursive=True)
                 out = fs.open_output_stream(f"{path}/{name}", compression=None)
-            data = block_bytes(keys, held)
+            ids = np.frombuffer(b"".join(held), "<u4").astype(np.uint64)
+            data = block_bytes(keys, [len(x) // 4 for x in held], ids)
             out.write(data)
             rows.append((part, name, len(rows), offset, len(data), len(keys), size))
             offset += len(data)
@@ -207,12 +239,12 @@ def write_ids(
         for batch in batches:
             for few in row_slices(batch, "t"):
                 for k, ids in zip(few.column("k").to_pylist(), encoder.encode_many(few.column("t").to_pylist())):
-                    values = np.append(np.frombuffer(ids, "<u4").astype(np.uint64), np.uint64(end))
-                    if size and size + len(values) > block_ids:
+                    n = len(ids) // 4 + 1
+                    if size and size + n > block_ids:
                         flush()
                     keys.append(k)
-                    held.append(values)
-                    size += len(values)
+                    held.append(ids + last)
+                    size += n
         flush()
         if out is not None:
             out.close()
