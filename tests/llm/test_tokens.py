@@ -113,7 +113,12 @@ def test_files(spark, scratch):
 def test_rows_of_one_key_are_spread(spark, scratch):
     """Null ids with one text and with many: several files, and starts without gaps."""
     texts = ["the same text"] * 400 + [f"text {i}" for i in range(400)]
-    index = simple8b.write_ids(documents(spark, texts, [None] * 800).repartition(4), scratch, JSON)
+    # Small partitions would be put together here.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        index = simple8b.write_ids(documents(spark, texts, [None] * 800).repartition(4), scratch, JSON)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert index.select("part").distinct().count() >= 3 and max(r.docs for r in index.collect()) < 500
     found = simple8b.read_ids(index, scratch).orderBy("start").collect()
     assert len(found) == 800 and all(a.start + a.n_tokens == b.start for a, b in zip(found, found[1:]))
