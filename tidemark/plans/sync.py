@@ -82,6 +82,13 @@ def _ledger(exploded: DataFrame, options: SyncOptions) -> DataFrame:
     )
 
 
+def encoder_tasks(spark: SparkSession, count: int, options: SyncOptions) -> int:
+    """Tasks for so many changed items: a power of two, so that the buckets of the store fall into as few of them as can be."""
+    cores = spark.sparkContext.defaultParallelism
+    tasks = max(1, -(-count // options.rows_per_task), min(cores, -(-count // options.batch_size)))
+    return 1 << (tasks - 1).bit_length()
+
+
 def _changed_items(
     spark: SparkSession, source: str | DataFrame, wanted: DataFrame, count: int, options: SyncOptions
 ) -> DataFrame:
@@ -91,8 +98,7 @@ def _changed_items(
     the fetched rows only. A row that no longer agrees, because its file was changed
     in between, is left out, and the count check then stops the run.
     """
-    cores = spark.sparkContext.defaultParallelism
-    tasks = max(1, -(-count // options.rows_per_task), min(cores, -(-count // options.batch_size)))
+    tasks = encoder_tasks(spark, count, options)
     keys = wanted.select(
         F.col("source_file").alias("source"), "pos",
         F.col("point_id").alias("wanted_id"), F.col("question_hash").alias("wanted_hash"),
@@ -141,7 +147,7 @@ def _sync(
     if taken_over:
         previous = unique_state(previous)
     else:
-        previous = empty_state(spark) if collection is None else store.read_state(spark, collection)
+        previous = empty_state(spark) if collection is None else store.read_state(spark, collection, options.broadcast_rows)
 
     ledger = scratch.materialise(_ledger(_exploded(spark, source), options), f"{scratch_path}/ledger")
     files = corpus_source.file_stats(ledger)
@@ -224,24 +230,28 @@ def _write(
     if counts.to_upsert == 0 and counts.to_delete == 0:
         return spark.createDataFrame([], upserts.schema), 0, 0, collection
     data = store.new_data_path(collection.path, collection.name)
-    store.as_rows(upserts, gone).write.parquet(data)
-    rows = spark.read.schema(store.ROW_SCHEMA).parquet(data)
+    buckets = store.delta_buckets(collection, counts.to_upsert + counts.to_delete)
+    # As many tasks as the upserts have: a bucket is written by few tasks.
+    tasks = encoder_tasks(spark, counts.to_delete, options)
+    store.write_rows(store.as_rows(upserts, gone.repartition(tasks, "id")), data, buckets)
+    rows = store.read_data(spark, data, buckets)
     tally = rows.agg(
         F.count_if(~F.col("deleted")).alias("upserted"), F.count_if("deleted").alias("deleted"),
         F.count_if(~F.col("deleted") & vector_fault(F.col("vector"), collection.dim)).alias("faults"),
     ).first()
     _check_written(tally.upserted, counts.to_upsert, tally.faults)
+    # Bucket by bucket, so nothing is exchanged where there are buckets.
     twice = rows.groupBy("id").count().where("count > 1").limit(1).count()
     if twice:
         raise RuntimeError("an id would be written twice; nothing was committed")
     if taken_over:
         # The given state need not agree with the stored points, so count them.
-        others = store.read_rows(spark, collection).join(rows.select("id"), "id", "left_anti").count()
+        others = store.read_rows(spark, collection, options.broadcast_rows).join(rows.select("id"), "id", "left_anti").count()
         total = others + tally.upserted
     else:
         total = collection.points + counts.inserted - tally.deleted
     collection = store.commit_changes(
         spark, collection, data, tally.upserted, tally.deleted, total,
-        options.compact_fraction, options.max_deltas,
+        options.compact_fraction, options.max_deltas, buckets, options.broadcast_rows,
     )
     return rows.where("NOT deleted").drop("deleted"), tally.upserted, tally.deleted, collection

@@ -28,7 +28,25 @@ def materialise(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _filesystem(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a scratch path made by :func:`shared_folder`."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+    target, filesystem = _filesystem(spark, path)
+    filesystem.delete(target, True)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its scheme."""
+    target, filesystem = _filesystem(spark, path)
+    return filesystem.makeQualified(target).toString()
+
+
+def children(spark: SparkSession, path: str) -> list[tuple[str, float]]:
+    """Names of what lies directly in a folder, with the time of the last change in seconds."""
+    target, filesystem = _filesystem(spark, path)
+    found = filesystem.listStatus(target) if filesystem.exists(target) else []
+    return [(f.getPath().getName(), f.getModificationTime() / 1000) for f in found]
