@@ -407,3 +407,75 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="checkpoint"):
         scratch.shared_folder(Other())
+
+
+@pytest.fixture
+def picky():
+    """Refuses whole batches with a question that starts with ``bad``."""
+    def factory():
+        def encoder(texts):
+            if any(t.startswith("bad") for t in texts):
+                raise ValueError("cannot read this")
+            return np.array([[len(t)] * 8 for t in texts], dtype=np.float32)
+        return encoder
+    return factory
+
+
+def test_rows_the_encoder_fails_on_are_skipped(spark, corpus, tmp_path, picky):
+    path = tmp_path / "store"
+    options = SyncOptions(**FAST, change_key="content", on_row_error="skip", encoder=picky)
+    write(corpus, "docs/more.json", [qa(f"q{i}") for i in range(10, 40)] + [qa("bad 1"), qa("bad 2")])
+    first = sync(spark, str(corpus), str(path), options)
+    assert some(report(first), "to_upsert", "upserted", "upsert_failed", "points") == (35, 33, 2, 33)
+    assert {(r.question, r.source, r.op, r.error) for r in first.failed.collect()} == {
+        (f"bad {i}", "docs/more.json", "insert", "ValueError: cannot read this") for i in (1, 2)}
+    assert count_points(spark, first.collection) == 33
+    # The next run tries them again; what was indexed before an update that fails stays as it was.
+    again = sync(spark, str(corpus), str(path), options)
+    assert some(report(again), "inserted", "unchanged", "upserted", "upsert_failed", "points", "version") == (2, 33, 0, 2, 33, report(first)["version"])
+    sound = run(spark, corpus, path, change_key="content")
+    assert some(sound, "inserted", "upserted", "points") == (2, 2, 35)
+    write(corpus, "docs/more.json", [qa(f"q{i}") for i in range(10, 40)] + [qa("bad 1", "new answer")])
+    update = sync(spark, str(corpus), str(path), options)
+    assert some(report(update), "updated", "upserted", "upsert_failed", "deleted", "points") == (1, 0, 1, 1, 34)
+    kept = {r.payload.question: r.payload.answer for r in read_points(spark, update.collection).collect()}
+    assert kept["bad 1"] == ["a"] and len(kept) == update.collection.points == 34
+
+
+def test_too_many_failures_stop_the_run(spark, corpus, tmp_path, picky):
+    write(corpus, "docs/more.json", [qa("bad 1"), qa("bad 2")])
+    with pytest.raises(ValueError, match="failed on 2 of 5"):
+        run(spark, corpus, tmp_path / "store", on_row_error="skip", encoder=picky, max_failed_fraction=0.3)
+    assert open_collection(spark, str(tmp_path / "store"), "qa-points-v1").points == 0
+    dry = run(spark, corpus, tmp_path / "store", on_row_error="skip", encoder=picky, dry_run=True)
+    assert some(dry, "to_upsert", "upsert_failed", "upserted") == (5, 2, None)
+
+
+def test_a_wrong_shape_is_an_error_of_its_rows(spark):
+    from tidemark import encode_apart
+
+    def factory():
+        return lambda texts: np.ones((len(texts), 3 if any(len(t) > 9 for t in texts) else 2))
+
+    rows = [(i, None if i == 7 else "x" * (20 if i in (3, 40) else i % 9 + 1)) for i in range(60)]
+    found = encode_apart(spark.createDataFrame(rows, "i int, t string").repartition(3), "t", factory, 2, batch_size=16).collect()
+    assert {r.i for r in found if r.error} == {3, 40} and all("(1, 3)" in r.error for r in found if r.error)
+    assert {r.i for r in found if r.vector is None} == {3, 7, 40} and len(found) == 60
+
+
+def test_batches_of_like_length(spark):
+    from tidemark import encode
+    from tidemark.functions.encoding import batches_by_length
+
+    texts = ["x" * n for n in (900, 3, 5, 800, 1, 40, 7, 41, 2, 0, 3000)]
+    batches = list(batches_by_length(texts, 4, 1000))
+    assert sorted(i for b in batches for i in b) == list(range(11)) and max(map(len, batches)) == 4
+    assert all(len(b) == 1 or len(b) * max(len(texts[i]) for i in b) <= 1000 for b in batches)
+    padded = sum(len(b) * max(len(texts[i]) for i in b) for b in batches)
+    in_order = sum(len(b) * max(map(len, b)) for b in (texts[i : i + 4] for i in range(0, 11, 4)))
+    assert padded < 0.6 * in_order and list(batches_by_length([], 4)) == []
+    frame = spark.createDataFrame([(i, t + f" {i}") for i, t in enumerate(texts)], "i int, t string")
+    one, other = (
+        {r.i: r.vector for r in encode(frame, "t", dim=8, batch_size=n, batch_chars=c).collect()} for n, c in ((64, None), (2, 50))
+    )
+    assert one == other

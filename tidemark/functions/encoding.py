@@ -18,6 +18,9 @@ from tidemark.options import check_positive
 
 Encoder = Callable[[list[str]], Any]
 
+# Characters of an error that are kept.
+ERROR_CHARS = 500
+
 
 def hashing_encoder(dim: int) -> Callable[[], Encoder]:
     """Factory of a deterministic bag-of-words encoder, the stand-in for a model.
@@ -53,40 +56,103 @@ def _sum_buckets(texts: list[str], lookup: Callable[[str], tuple[int, int]], dim
     return np.divide(sums, norm, out=np.zeros_like(sums), where=norm > 0).astype(np.float32)
 
 
+def batches_by_length(texts: list[str], batch_size: int, batch_chars: int | None = None) -> Iterator[list[int]]:
+    """Positions of ``texts`` in batches of like length, since a model pads a batch to its longest text.
+
+    A batch has at most ``batch_size`` texts and, all as long as its longest, ``batch_chars`` characters; a longer
+    text is a batch of its own.
+    """
+    batch: list[int] = []
+    for i in sorted(range(len(texts)), key=lambda i: len(texts[i])):
+        full = batch_chars is not None and (len(batch) + 1) * len(texts[i]) > batch_chars
+        if batch and (full or len(batch) == batch_size):
+            yield batch
+            batch = []
+        batch.append(i)
+    if batch:
+        yield batch
+
+
+def _matrix(encoder: Encoder, part: list[str], dim: int) -> np.ndarray:
+    matrix = np.asarray(encoder(part), dtype=np.float32)
+    if matrix.shape != (len(part), dim):
+        raise ValueError(f"encoder returned shape {matrix.shape} for {len(part)} texts of dimension {dim}")
+    return matrix
+
+
+def _isolated(encoder: Encoder, part: list[str], dim: int) -> Iterator[tuple[np.ndarray | None, str | None]]:
+    """Vector or error of each text: a batch that fails is halved down to the texts that fail alone."""
+    try:
+        yield from ((v, None) for v in _matrix(encoder, part, dim))
+    except Exception as failure:
+        if len(part) == 1:
+            yield None, f"{type(failure).__name__}: {failure}"[:ERROR_CHARS]
+            return
+        half = len(part) // 2
+        yield from _isolated(encoder, part[:half], dim)
+        yield from _isolated(encoder, part[half:], dim)
+
+
 def encode_column(
-    text: Column, factory: Callable[[], Encoder], dim: int, batch_size: int = 64
+    text: Column, factory: Callable[[], Encoder], dim: int, batch_size: int = 64, batch_chars: int | None = None,
+    isolate: bool = False,
 ) -> Column:
-    """``array<float>`` of length ``dim`` per text; any mismatch fails the job."""
+    """``array<float>`` of length ``dim`` per text; any mismatch fails the job.
+
+    With ``isolate`` a struct of ``vector`` and ``error`` instead: a text that the encoder fails on has
+    an error and no vector, and the others of its batch keep theirs.
+    """
     check_positive("dim", dim)
     check_positive("batch_size", batch_size)
 
+    def run(encoder: Encoder, texts: pd.Series) -> list[tuple[np.ndarray | None, str | None]]:
+        # A null text has no vector; the encoder doesn't see it.
+        places = [i for i, t in enumerate(texts) if t is not None]
+        values = [texts.iloc[i] for i in places]
+        found: list[tuple[np.ndarray | None, str | None]] = [(None, None)] * len(texts)
+        for batch in batches_by_length(values, batch_size, batch_chars):
+            part = [values[i] for i in batch]
+            rows = _isolated(encoder, part, dim) if isolate else ((v, None) for v in _matrix(encoder, part, dim))
+            for i, row in zip(batch, rows):
+                found[places[i]] = row
+        return found
+
+    if isolate:
+
+        @F.pandas_udf("vector array<float>, error string")
+        def encode_apart(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            encoder = factory()
+            for texts in batches:
+                yield pd.DataFrame(run(encoder, texts), columns=["vector", "error"], index=texts.index, dtype=object)
+
+        return encode_apart(text)
+
     @F.pandas_udf("array<float>")
     def encode_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = factory()
         for texts in batches:
-            # A null text has no vector; the encoder doesn't see it.
-            values = [t for t in texts.tolist() if t is not None]
-            vectors: list[np.ndarray] = []
-            for start in range(0, len(values), batch_size):
-                part = values[start : start + batch_size]
-                matrix = np.asarray(encoder(part), dtype=np.float32)
-                if matrix.shape != (len(part), dim):
-                    raise ValueError(
-                        f"encoder returned shape {matrix.shape} for {len(part)} texts of dimension {dim}"
-                    )
-                vectors.extend(matrix)
-            found = iter(vectors)
-            yield pd.Series([None if t is None else next(found) for t in texts], index=texts.index, dtype=object)
+            yield pd.Series([v for v, _ in run(encoder, texts)], index=texts.index, dtype=object)
 
     return encode_batches(text)
 
 
 def encode(
     df: DataFrame, col: str, factory: Callable[[], Encoder] | None = None, dim: int = 384,
-    batch_size: int = 64, out: str = "vector",
+    batch_size: int = 64, out: str = "vector", batch_chars: int | None = None,
 ) -> DataFrame:
     """Add the vector of ``col`` as ``out``. Filter first: every row of ``df`` is encoded."""
-    return df.withColumn(out, encode_column(F.col(col), factory or hashing_encoder(dim), dim, batch_size))
+    return df.withColumn(out, encode_column(F.col(col), factory or hashing_encoder(dim), dim, batch_size, batch_chars))
+
+
+def encode_apart(
+    df: DataFrame, col: str, factory: Callable[[], Encoder] | None = None, dim: int = 384,
+    batch_size: int = 64, out: str = "vector", error: str = "error", batch_chars: int | None = None,
+) -> DataFrame:
+    """:func:`encode` that goes on after failures: rows the encoder fails on have no vector and an ``error``."""
+    found = encode_column(F.col(col), factory or hashing_encoder(dim), dim, batch_size, batch_chars, isolate=True)
+    # One column, so that Spark does not run the encoder once for each of the two below.
+    both = df.withColumn("_encoded", found)
+    return both.select(*df.columns, F.col("_encoded.vector").alias(out), F.col("_encoded.error").alias(error))
 
 
 def vector_fault(v: Column, dim: int) -> Column:

@@ -59,7 +59,9 @@ class SyncOptions:
     ``encoder`` is a factory called once per task that returns
     ``list[str] -> array(n, dim)``; ``None`` uses the hashing encoder.
     ``broadcast_rows`` bounds how many narrow keys may be broadcast; beyond it
-    the same join runs shuffled.
+    the same join runs shuffled. ``on_row_error="skip"`` leaves out the items the encoder
+    fails on: they are listed, keep what was indexed before, and are tried again by the next run; more than
+    ``max_failed_fraction`` of them stop the run. ``batch_chars`` bounds the characters of an encoder's batch.
     """
 
     collection: str = "qa-points-v1"
@@ -77,6 +79,9 @@ class SyncOptions:
     on_bad_file: str = "drop"
     max_delete_fraction: float | None = None
     on_mismatch: str = "warn"
+    on_row_error: str = "fail"
+    max_failed_fraction: float | None = None
+    batch_chars: int | None = None
     broadcast_rows: int = 1_000_000
     rows_per_task: int = 20_000
     compact_fraction: float = 0.25
@@ -92,7 +97,11 @@ class SyncOptions:
         check_choice("change_key", self.change_key, CHANGE_KEYS)
         check_choice("on_bad_file", self.on_bad_file, ("drop", "keep"))
         check_choice("on_mismatch", self.on_mismatch, ("warn", "error"))
-        if self.max_delete_fraction is not None and not 0 <= self.max_delete_fraction <= 1:
-            raise ValueError("max_delete_fraction must lie between 0 and 1")
+        check_choice("on_row_error", self.on_row_error, ("fail", "skip"))
+        for name in ("max_delete_fraction", "max_failed_fraction"):
+            if getattr(self, name) is not None and not 0 <= getattr(self, name) <= 1:
+                raise ValueError(f"{name} must lie between 0 and 1")
+        if self.batch_chars is not None:
+            check_positive("batch_chars", self.batch_chars)
         if self.broadcast_rows < 0:
             raise ValueError("broadcast_rows must not be negative")

@@ -175,6 +175,24 @@ def _windows(text: str, size: int, overlap: int) -> str:
     return f"list_transform(range(0, {count}), lambda i: substr({text}, 1 + i * {step}, {size}))"
 
 
+def _vectors(texts: str, dim: int) -> str:
+    """CTEs ending in ``vectors(key, digest)`` for ``texts(key, body)``: the hashed words, in whole millionths."""
+    return f"""
+tokens AS (
+  SELECT key, md5(token) AS h FROM (
+    SELECT key, unnest(regexp_split_to_array(body, '\\s+')) AS token FROM ({texts})) WHERE token <> ''),
+cells AS (
+  SELECT key, ('0x' || substr(h, 1, 8))::BIGINT % {dim} AS bucket,
+         sum(CASE WHEN ('0x' || substr(h, 9, 1))::BIGINT % 2 = 0 THEN 1 ELSE -1 END)::DOUBLE AS s
+  FROM tokens GROUP BY ALL),
+norms AS (SELECT key, sqrt(sum(s * s)) AS norm FROM cells GROUP BY key),
+vectors AS (
+  SELECT k AS key, sha256(string_agg(CAST(CAST(floor(
+      CASE WHEN norm > 0 THEN CAST(CAST(coalesce(s, 0) / norm AS FLOAT) AS DOUBLE) ELSE 0 END * 1e6) AS BIGINT) AS VARCHAR), ',' ORDER BY i)) AS digest
+  FROM (SELECT key AS k, norm, unnest(range(0, {dim})) AS i FROM norms) LEFT JOIN cells ON cells.key = k AND bucket = i
+  GROUP BY k)"""
+
+
 _DIGEST_OF_TWO_RUNS = f"""WITH {_ITEMS}, {_EARLIER_ITEMS},
 {_last('c', 'items', _CONTENT_HASH)},
 {_last('p', 'earlier_items', _CONTENT_HASH)}
@@ -302,6 +320,18 @@ SELECT (SELECT count(*) FROM items) AS items_valid, (SELECT count(*) FROM items)
 FROM compared""",
     "sync_state": f"""WITH {_ITEMS}, {_last('c', 'items', _CONTENT_HASH)}
 SELECT point_id, source AS source_file, question_hash FROM c""",
-    "sync_points": f"""WITH {_ITEMS}, {_last('c', 'items', _CONTENT_HASH)}
-SELECT point_id AS id, q AS question, product, source, CAST(64 AS BIGINT) AS dim FROM c""",
+    "sync_points": f"""WITH RECURSIVE {_ITEMS}, {_last('c', 'items', _CONTENT_HASH)}, {_recursive_chunks(
+        "SELECT point_id AS key, a AS body FROM c", 1000, 150)},
+answers AS (SELECT key, string_agg(chunk, chr(30) ORDER BY chunk_no) AS answer FROM chunks GROUP BY key), {_vectors(
+        "SELECT point_id AS key, q AS body FROM c", 64)}
+SELECT point_id AS id, q AS question, product, source, CAST(64 AS BIGINT) AS dim,
+       coalesce(array_to_string(keywords, '|'), '') AS keywords, answer, digest AS vector_digest
+FROM c JOIN answers ON answers.key = point_id JOIN vectors ON vectors.key = point_id""",
+    "sync_idle": f"""WITH {_ITEMS}, {_last('c', 'items', _CONTENT_HASH)}
+SELECT CAST(sum(copies) AS BIGINT) AS evaluated, CAST(0 AS BIGINT) AS to_upsert, count(*) AS unchanged, CAST(0 AS BIGINT) AS to_delete,
+       CAST(0 AS BIGINT) AS upserted, CAST(0 AS BIGINT) AS deleted, count(*) AS points, TRUE AS same_version FROM c""",
+    "sync_skips": f"""WITH {_ITEMS}, {_last('c', 'items', _CONTENT_HASH)}, {_vectors("SELECT point_id AS key, q AS body FROM c", 64)}
+SELECT point_id, source AS source_file, CASE WHEN odd THEN 'insert' ELSE 'unchanged' END AS op,
+       CASE WHEN odd THEN 'ValueError: odd length' END AS error, CASE WHEN NOT odd THEN digest END AS stored
+FROM (SELECT *, length(q) % 17 = 0 AS odd FROM c) JOIN vectors ON key = point_id""",
 }

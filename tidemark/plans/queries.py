@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.chunking import chunk, explode_chunks, fixed_windows
-from tidemark.functions.encoding import encode, vector_fault
+from tidemark.functions.encoding import encode, hashing_encoder, vector_fault
 from tidemark.functions.identity import content_hash, with_identity
 from tidemark.operators import diff as d
 from tidemark.operators.export import export_batches, export_counts
@@ -282,15 +284,62 @@ def sync_state(spark: SparkSession, folder: str) -> DataFrame:
     return store.read_state(spark, result.collection)
 
 
+def _millionths(vector: str) -> Column:
+    """Digest of a vector: its components in whole millionths."""
+    parts = F.transform(vector, lambda x: F.floor(x.cast("double") * F.lit(1e6)).cast("string"))
+    return F.sha2(F.array_join(parts, ","), 256)
+
+
 def sync_points(spark: SparkSession, folder: str) -> DataFrame:
     _, result = _two_runs(spark, folder)
     points = store.read_points(spark, result.collection)
     return points.select(
         "id", F.col("payload.question").alias("question"), F.col("payload.product").alias("product"),
         F.col("payload.source").alias("source"), F.size("vector").cast("bigint").alias("dim"),
+        F.array_join("payload.keywords", "|").alias("keywords"), F.array_join("payload.answer", "\x1e").alias("answer"),
+        _millionths("vector").alias("vector_digest"),
     )
 
 
+def sync_idle(spark: SparkSession, folder: str) -> DataFrame:
+    """A run that finds nothing to do makes no new version."""
+    path, options = scratch.shared_folder(spark), SyncOptions(dim=64, change_key="content")
+    items = t.current_items(spark, folder)
+    first = sync(spark, items, path, options)
+    again = sync(spark, items, path, options)
+    return again.report.select(
+        "evaluated", "to_upsert", "unchanged", "to_delete", "upserted", "deleted", "points",
+        (F.col("version") == first.collection.version).alias("same_version"),
+    )
+
+
+#: Questions of so many characters, or a multiple of it, are too much for the encoder of ``sync_skips``.
+ODD_LENGTH = 17
+
+
+def _failing_encoder() -> Callable[[list[str]], Any]:
+    encoder = hashing_encoder(64)()
+
+    def encode_all(texts: list[str]) -> Any:
+        if any(len(text) % ODD_LENGTH == 0 for text in texts):
+            raise ValueError("odd length")
+        return encoder(texts)
+
+    return encode_all
+
+
+def sync_skips(spark: SparkSession, folder: str) -> DataFrame:
+    """A run whose encoder fails on some items, and what the next one, with a sound encoder, makes of each item."""
+    path, items = scratch.shared_folder(spark), t.current_items(spark, folder)
+    options = SyncOptions(dim=64, change_key="content", on_row_error="skip", encoder=_failing_encoder)
+    first = sync(spark, items, path, options)
+    stored = store.read_rows(spark, first.collection).select(F.col("id").alias("point_id"), _millionths("vector").alias("stored"))
+    second = sync(spark, items, path, replace(options, encoder=None))
+    return second.changes.select("point_id", "source_file", "op").join(
+        first.failed.select("point_id", "error"), "point_id", "left"
+    ).join(stored, "point_id", "left")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -299,6 +348,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         change_totals, force_totals, force_plan, diff_insert, diff_changed, diff_unchanged, diff_deleted,
         keep_unread, next_state, state_roundtrip, state_repair, applied_changes, chunk_fixed,
         chunk_fixed_stats, chunk_recursive, chunk_recursive_small, chunk_without_overlap, payload_build,
-        encode_hashed, vector_checks, export_totals, sync_report, sync_state, sync_points,
+        encode_hashed, vector_checks, export_totals, sync_report, sync_state, sync_points, sync_idle, sync_skips,
     )
 }

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.chunking import chunk
-from tidemark.functions.encoding import encode, vector_fault
+from tidemark.functions.encoding import encode, encode_apart, vector_fault
 from tidemark.functions.identity import with_identity
 from tidemark.operators.diff import compare, current_points, keep_sources
 from tidemark.operators.points import build_points
@@ -33,10 +33,12 @@ REPORT_SCHEMA = (
     "deleted bigint, delete_failed bigint, simulated_force_deletes bigint, points bigint, duration_s double"
 )
 
+FAILED_SCHEMA = "point_id string, source string, pos bigint, question string, op string, error string"
+
 
 class SyncResult(NamedTuple):
     """``report`` has one row; ``changes`` is the comparison; ``rejects`` and ``errors``
-    list the dropped items and files.
+    list the dropped items and files, ``failed`` the items that the encoder failed on.
 
     ``points`` are the upserts of this run and ``delete_ids`` the ids it removed. ``collection`` is None after a dry run
     on a collection that does not exist. Call :meth:`close` when the DataFrames are
@@ -48,6 +50,7 @@ class SyncResult(NamedTuple):
     rejects: DataFrame
     files: DataFrame
     errors: DataFrame
+    failed: DataFrame
     points: DataFrame
     delete_ids: DataFrame
     collection: store.Collection | None
@@ -101,7 +104,7 @@ def _changed_items(
     tasks = encoder_tasks(spark, count, options)
     keys = wanted.select(
         F.col("source_file").alias("source"), "pos",
-        F.col("point_id").alias("wanted_id"), F.col("question_hash").alias("wanted_hash"),
+        F.col("point_id").alias("wanted_id"), F.col("question_hash").alias("wanted_hash"), "op",
     )
     few = count <= options.broadcast_rows
     sources = keys.select("source").distinct() if few else None
@@ -172,26 +175,27 @@ def _sync(
     todo = _changed_items(spark, source, changes.where(process), counts.to_upsert, options)
     dim = options.dim if collection is None else collection.dim
     todo = chunk(todo, "a", options.chunk_size, options.chunk_overlap)
-    todo = encode(todo, "q", options.encoder, dim, encoder_batch(options.batch_size))
-    upserts = build_points(todo.select("point_id", "q", "a", "product", "keywords", "source", "chunks",
-                                       "vector", "question_hash"))
+    built, failed, lost = _encoded(todo, dim, options, f"{scratch_path}/encoded")
     gone = changes.where("op = 'delete'").select(F.col("point_id").alias("id"))
+    expected = counts.to_upsert - lost.rows
+    if options.max_failed_fraction is not None and lost.rows > options.max_failed_fraction * counts.to_upsert:
+        raise ValueError(f"the encoder failed on {lost.rows} of {counts.to_upsert} items; nothing was changed")
 
     if options.dry_run:
         # The points are worked out in full, as a real run would, and kept aside.
-        points = scratch.materialise(upserts, f"{scratch_path}/points")
+        points = scratch.materialise(built, f"{scratch_path}/points")
         tally = points.agg(F.count("*").alias("n"), F.count_if(vector_fault(F.col("vector"), dim)).alias("faults")).first()
-        _check_written(tally.n, counts.to_upsert, tally.faults)
+        _check_written(tally.n, expected, tally.faults)
         upserted, deleted = None, None
     else:
         points, upserted, deleted, collection = _write(
-            spark, collection, upserts, gone, counts, taken_over, options
+            spark, collection, built, gone, counts, lost, taken_over, options
         )
 
     values = {
         "collection": options.collection, "version": None if collection is None else collection.version,
         "dry_run": options.dry_run, "forced": options.force, **found.asDict(), **counts.asDict(),
-        "upserted": upserted, "deleted": deleted, "upsert_failed": 0, "delete_failed": 0,
+        "upserted": upserted, "deleted": deleted, "upsert_failed": lost.rows, "delete_failed": 0,
         # What a forced dry run would announce: every previous point.
         "simulated_force_deletes": counts.previous_points if options.force and options.dry_run else None,
         "points": None if collection is None else collection.points,
@@ -201,10 +205,33 @@ def _sync(
     report = spark.createDataFrame([tuple(values[c] for c in columns)], REPORT_SCHEMA)
     return SyncResult(
         report, changes, corpus_source.rejected_items(ledger), files, corpus_source.file_errors(ledger),
-        points.drop("question_hash"), gone, collection, scratch_path,
+        failed, points.drop("question_hash"), gone, collection, scratch_path,
     )
 
 
+class _Lost(NamedTuple):
+    """Items the encoder failed on, and those of them that were not indexed before."""
+
+    rows: int = 0
+    inserts: int = 0
+
+
+def _encoded(todo: DataFrame, dim: int, options: SyncOptions, path: str) -> tuple[DataFrame, DataFrame, _Lost]:
+    """The points of ``todo``, and the items without a vector: listed with their errors, and counted."""
+    kept = ("point_id", "q", "a", "product", "keywords", "source", "chunks", "vector", "question_hash")
+    batch = encoder_batch(options.batch_size)
+    if options.on_row_error == "fail":
+        points = build_points(encode(todo, "q", options.encoder, dim, batch, batch_chars=options.batch_chars).select(*kept))
+        return points, todo.sparkSession.createDataFrame([], FAILED_SCHEMA), _Lost()
+    apart = encode_apart(todo, "q", options.encoder, dim, batch, batch_chars=options.batch_chars)
+    # Written, as the encoder should not run again for the counts and the list.
+    rows = scratch.materialise(apart, path)
+    wrong = F.col("error").isNotNull()
+    lost = rows.agg(F.count_if(wrong).alias("rows"), F.count_if(wrong & (F.col("op") == "insert")).alias("inserts")).first()
+    failed = rows.where(wrong).select("point_id", "source", "pos", F.col("q").alias("question"), "op", "error")
+    return build_points(rows.where(~wrong).select(*kept)), failed, _Lost(lost.rows, lost.inserts)
+
+
 def _guard_deletes(to_delete: int, previous_points: int, options: SyncOptions) -> None:
     """A broken scan looks like a mass deletion; stop before it is written."""
     limit = options.max_delete_fraction
@@ -223,7 +250,7 @@ def _check_written(written: int, expected: int, faults: int = 0) -> None:
 
 
 def _write(
-    spark: SparkSession, collection: store.Collection, upserts: DataFrame, gone: DataFrame, counts: Row,
+    spark: SparkSession, collection: store.Collection, upserts: DataFrame, gone: DataFrame, counts: Row, lost: _Lost,
     taken_over: bool, options: SyncOptions,
 ) -> tuple[DataFrame, int, int, store.Collection]:
     """Write upserts and deletes as one commit; returns the points and what was written."""
@@ -239,7 +266,7 @@ def _write(
         F.count_if(~F.col("deleted")).alias("upserted"), F.count_if("deleted").alias("deleted"),
         F.count_if(~F.col("deleted") & vector_fault(F.col("vector"), collection.dim)).alias("faults"),
     ).first()
-    _check_written(tally.upserted, counts.to_upsert, tally.faults)
+    _check_written(tally.upserted, counts.to_upsert - lost.rows, tally.faults)
     # Bucket by bucket, so nothing is exchanged where there are buckets.
     twice = rows.groupBy("id").count().where("count > 1").limit(1).count()
     if twice:
@@ -249,7 +276,7 @@ def _write(
         others = store.read_rows(spark, collection, options.broadcast_rows).join(rows.select("id"), "id", "left_anti").count()
         total = others + tally.upserted
     else:
-        total = collection.points + counts.inserted - tally.deleted
+        total = collection.points + counts.inserted - lost.inserts - tally.deleted
     collection = store.commit_changes(
         spark, collection, data, tally.upserted, tally.deleted, total,
         options.compact_fraction, options.max_deltas, buckets, options.broadcast_rows,
