@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,3 +29,8 @@ def is_single_value(text: Column) -> Column:
         F.size(F.map_keys(F.from_json(in_object, "map<string,string>", STRICT_OPTIONS))),
     )
     return F.coalesce((items == 1) & (keys == 1), F.lit(False))
+
+
+def strict_value(text: str):
+    """The value of one JSON text by the same rules, for text that no Spark value can hold parsed; else ``ValueError``."""
+    return json.loads(text.strip(" \t\r\n"))

@@ -33,6 +33,9 @@ REPORT_SCHEMA = (
     "deleted bigint, delete_failed bigint, simulated_force_deletes bigint, points bigint, duration_s double"
 )
 
+# Files that the second scan reads by their names, without listing the others.
+ONLY = 1_000
+
 FAILED_SCHEMA = "point_id string, source string, pos bigint, question string, op string, error string"
 
 
@@ -60,17 +63,30 @@ class SyncResult(NamedTuple):
         scratch.discard(self.report.sparkSession, self.scratch_path)
 
 
-def _exploded(spark: SparkSession, source: str | DataFrame, sources: DataFrame | None = None) -> DataFrame:
+def _exploded(
+    spark: SparkSession, source: str | DataFrame, sources: DataFrame | None = None, large: list[str] | None = None
+) -> DataFrame:
     """Item rows of a folder of JSON files, or of a DataFrame of items or of files.
 
-    ``sources``, when given, is small: files it does not name are not parsed.
+    ``sources``, when given, is small: files it does not name are not parsed, and not read if it names few. ``large`` names
+    files, given by their contents, with items that no variant can hold.
     """
     if isinstance(source, str):
-        source = corpus_source.read_files(spark, source)
+        only = None
+        if sources is not None:
+            found = [r.source for r in sources.limit(ONLY + 1).collect()]
+            only = found if len(found) <= ONLY else None
+        if only is not None or sources is None:
+            return corpus_source.read_exploded(spark, source, only=only)
+        return corpus_source.read_exploded(spark, source).join(F.broadcast(sources), "source", "left_semi")
     if "content" in source.columns:
         if sources is not None:
             source = source.join(F.broadcast(sources), "source", "left_semi")
-        return corpus_source.explode_items(corpus_source.parse_files(source))
+        if not large:
+            return corpus_source.explode_items(corpus_source.parse_files(source))
+        huge, others = source.where(F.col("source").isin(large)), source.where(~F.col("source").isin(large))
+        cut = corpus_source.large_items(spark, lambda states: corpus_source.content_pieces(huge, states))
+        return corpus_source.explode_items(corpus_source.parse_files(others)).unionByName(cut)
     return corpus_source.check_items(source)
 
 
@@ -93,7 +109,8 @@ def encoder_tasks(spark: SparkSession, count: int, options: SyncOptions) -> int:
 
 
 def _changed_items(
-    spark: SparkSession, source: str | DataFrame, wanted: DataFrame, count: int, options: SyncOptions
+    spark: SparkSession, source: str | DataFrame, wanted: DataFrame, count: int, options: SyncOptions,
+    large: list[str] | None = None,
 ) -> DataFrame:
     """Whole items for the ``count`` positions in ``wanted``.
 
@@ -108,7 +125,7 @@ def _changed_items(
     )
     few = count <= options.broadcast_rows
     sources = keys.select("source").distinct() if few else None
-    items = corpus_source.valid_items(_exploded(spark, source, sources))
+    items = corpus_source.valid_items(_exploded(spark, source, sources, large))
     # The encoder gets the same number of tasks whichever way the rows were found.
     found = items.join(F.broadcast(keys) if few else keys, ["source", "pos"]).repartition(tasks, "wanted_id")
     agrees = (F.col("point_id") == F.col("wanted_id")) & (F.col("question_hash") == F.col("wanted_hash"))
@@ -155,9 +172,14 @@ def _sync(
     ledger = scratch.materialise(_ledger(_exploded(spark, source), options), f"{scratch_path}/ledger")
     files = corpus_source.file_stats(ledger)
     found = corpus_counts(files).first()
+    large: list[str] = []
     if found.files_too_large:
-        # Dropping such a file would delete its points although nothing is wrong with it.
-        raise ValueError(f"{found.files_too_large} files hold an item above the size limit; nothing was changed")
+        # Items beyond what a variant holds: such a file has 128 MB at least, so these are few.
+        large = [r.source for r in ledger.where("status = 'too_large'").select("source").distinct().collect()]
+        rest = _ledger(_exploded(spark, source.where(F.col("source").isin(large)), large=large), options)
+        ledger = scratch.materialise(ledger.where("status <> 'too_large'").unionByName(rest), f"{scratch_path}/whole")
+        files = corpus_source.file_stats(ledger)
+        found = corpus_counts(files).first()
 
     compared = compare(current_points(ledger.where("point_id IS NOT NULL")), previous)
     if options.on_bad_file == "keep" and found.files_failed:
@@ -172,7 +194,7 @@ def _sync(
     _guard_deletes(counts.to_delete, counts.previous_points, options)
 
     process = "pos IS NOT NULL" if options.force else "op IN ('insert', 'update')"
-    todo = _changed_items(spark, source, changes.where(process), counts.to_upsert, options)
+    todo = _changed_items(spark, source, changes.where(process), counts.to_upsert, options, large)
     dim = options.dim if collection is None else collection.dim
     todo = chunk(todo, "a", options.chunk_size, options.chunk_overlap)
     built, failed, lost = _encoded(todo, dim, options, f"{scratch_path}/encoded")
