@@ -170,3 +170,61 @@ def test_huge_items_given_by_content(spark, tmp_path, monkeypatch):
     result = sync(spark, frame, str(tmp_path), SyncOptions(dim=8))
     assert {r.payload.question for r in result.points.collect()} == {"Wo?", "b1", "b2"}
     assert sync(spark, frame, str(tmp_path), SyncOptions(dim=8)).report.first().unchanged == 3
+
+
+def entries(n):
+    return {f"id{i:06d}": {"source_file": f'dir/"{i % 7}".json', "question_hash": f"{i:064x}"} for i in range(n)}
+
+
+@pytest.mark.parametrize("piece", [50, 1 << 20])
+def test_large_states_are_read_like_small_ones(spark, tmp_path, monkeypatch, piece):
+    from tidemark import load_state
+
+    good = {"version": "0.9", "last_run_utc": "then", "extra": [1, [2]], "indexed_points": entries(40) | {"bare": {}, "null": None}, "more": {"a": {}}}
+    texts = {
+        "good": json.dumps(good, indent=2), "compact": json.dumps(good, separators=(",", ":")), "cut": json.dumps(good)[:-1],
+        "twice": json.dumps(good) + "{}", "list": json.dumps([good]), "none": json.dumps({"version": "1.0", "x": "y" * 300}),
+        "empty": json.dumps({"indexed_points": {}, "x": "y" * 300}), "broken": json.dumps(good).replace('"bare"', "bare"),
+        "kind": json.dumps({"indexed_points": [1, 2], "x": "y" * 300}), "bytes": json.dumps(good | {"x": "é"}, ensure_ascii=False).encode("latin-1"),
+    }
+    for name, text in texts.items():
+        write(tmp_path, name, text)
+
+    def read():
+        states = {name: load_state(spark, str(tmp_path / name)) for name in texts}
+        return {n: (sorted(map(tuple, s.points.collect()), key=repr), [tuple(r) for r in s.runs.collect()]) for n, s in states.items()}
+
+    whole = read()
+    assert len(whole["good"][0]) == 42 and whole["cut"][0] == whole["list"][0] == []
+    monkeypatch.setattr(source, "LARGE", 100)
+    monkeypatch.setattr(pieces, "PIECE", piece)
+    assert read() == whole
+
+
+def test_a_state_of_300_mb(spark, tmp_path):
+    from tidemark import load_state
+    from tidemark.sources.state import replace_state
+
+    rows = spark.range(2_200_000).selectExpr(
+        "uuid(7) AS point_id", "concat('folder/', id % 1000, '/file.json') AS source_file", "sha2(cast(id AS string), 256) AS question_hash")
+    rows = rows.selectExpr("sha2(question_hash, 256) AS point_id", "source_file", "question_hash")
+    path = str(tmp_path / "state.json")
+    assert replace_state(rows, path) == 2_200_000 and os.path.getsize(path) > 300_000_000
+    found = load_state(spark, path)
+    assert found.points.exceptAll(rows).count() == 0 and found.points.count() == 2_200_000
+    assert found.runs.first().version == "1.0"
+
+
+def test_a_state_file_is_replaced_in_place(spark, tmp_path):
+    from tidemark import load_state
+    from tidemark.sources.state import replace_state
+
+    path, schema = tmp_path / "state.json", "point_id string, source_file string, question_hash string"
+    for rows in ([("b", 'x"\\ü', "1"), ("a", None, None), ("c", "z", "3")], [("q", "s", "h")], []):
+        frame = spark.createDataFrame(rows, schema)
+        assert replace_state(frame, str(path)) == len(rows)
+        document = json.loads(path.read_text("utf-8"))
+        assert document["version"] == "1.0" and document["last_run_utc"].endswith("+00:00")
+        assert {(k, v.get("source_file"), v.get("question_hash")) for k, v in document["indexed_points"].items()} == set(rows)
+        assert sorted(map(tuple, load_state(spark, str(path)).points.collect())) == sorted(rows)
+    assert [p for p in os.listdir(tmp_path) if not p.startswith(".")] == ["state.json"]

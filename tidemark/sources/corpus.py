@@ -91,7 +91,7 @@ def read_exploded(spark: SparkSession, root: str, strict: bool = True, only: lis
     large = tree_files.tree(spark, prefix, "large", only=only, large=LARGE)
     if large.isEmpty():
         return rows
-    return rows.unionByName(large_items(spark, lambda states: _file_pieces(large, prefix, states)))
+    return rows.unionByName(large_items(spark, lambda states: file_pieces(large, prefix, states)))
 
 
 def folder_prefix(spark: SparkSession, root: str) -> str:
@@ -189,7 +189,7 @@ def _checked(rows: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def _file_pieces(files: DataFrame, prefix: str, states: DataFrame | None) -> DataFrame:
+def file_pieces(files: DataFrame, prefix: str, states: DataFrame | None) -> DataFrame:
     """Pieces of the files ``source, size`` below ``prefix``, of ``states`` when given; read by the tasks that need them."""
     length = cutting.PIECE
     if states is None:
@@ -252,9 +252,9 @@ def large_items(spark: SparkSession, pieces: Callable[[DataFrame | None], DataFr
     seen = rows.groupBy("source").agg(
         F.min("utf8").alias("utf8"), F.min(F.coalesce("valid", F.lit(False))).alias("valid"), F.count(F.lit(1)).alias("n"), F.max("blank").alias("blank")
     )
-    frame = F.decode("data", "utf-8")
+    frame = F.make_valid_utf8(F.col("data").cast("string"))
     status = (
-        F.when(~frame.rlike(r"\A[ \t\r\n]*\["), "not_array").when(~frame.rlike(r"\A[ \t\r\n]*\[0\][ \t\r\n]*\z"), "malformed")
+        F.when(~F.is_valid_utf8(F.col("data").cast("string")), "not_utf8").when(~frame.rlike(r"\A[ \t\r\n]*\["), "not_array").when(~frame.rlike(r"\A[ \t\r\n]*\[0\][ \t\r\n]*\z"), "malformed")
         .when(~F.col("utf8"), "not_utf8").when((F.col("n") == 1) & F.col("blank"), "empty").when(~F.col("valid"), "malformed")
         .otherwise("ok")
     )

@@ -50,3 +50,21 @@ def children(spark: SparkSession, path: str) -> list[tuple[str, float]]:
     target, filesystem = _filesystem(spark, path)
     found = filesystem.listStatus(target) if filesystem.exists(target) else []
     return [(f.getPath().getName(), f.getModificationTime() / 1000) for f in found]
+
+
+def file_sizes(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Full names and sizes of a file, or of the files directly in a folder but for markers; none for a path that is not there."""
+    target, filesystem = _filesystem(spark, path)
+    if not filesystem.exists(target):
+        return []
+    found = [f for f in filesystem.listStatus(target) if f.isFile() and not f.getPath().getName().startswith(("_", "."))]
+    return sorted((f.getPath().toString(), f.getLen()) for f in found)
+
+
+def take_place(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file to ``target``, in one step where the store can, replacing what is there."""
+    jvm, hadoop = spark._jvm, spark._jvm.org.apache.hadoop.fs
+    overwrite = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    overwrite[0] = jvm.java.lang.Enum.valueOf(jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename"), "OVERWRITE")
+    context = hadoop.FileContext.getFileContext(hadoop.Path(source).toUri(), spark._jsparkSession.sessionState().newHadoopConf())
+    context.rename(hadoop.Path(source), context.makeQualified(hadoop.Path(target)), overwrite)

@@ -6,14 +6,17 @@ File form: ``{"version", "last_run_utc", "indexed_points": {id: {"source_file",
 
 from __future__ import annotations
 
+import uuid
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.json import STRICT_OPTIONS, is_single_value
 from tidemark.options import STATE_VERSION
+from tidemark.sources import corpus
+from tidemark.sources.pieces import elements_of, frames_of, parts_of
+from tidemark.sources.scratch import discard, file_sizes, materialise, shared_folder, take_place
 
 STATE_SCHEMA = "point_id string, source_file string, question_hash string"
 _ENTRY = "struct<source_file:string,question_hash:string>"
@@ -68,15 +71,54 @@ def empty_state(spark: SparkSession) -> DataFrame:
 
 
 def load_state(spark: SparkSession, path: str) -> State:
-    """Read a state file, or a folder of them; a missing path is the empty state."""
-    try:
-        documents = spark.read.text(path, wholetext=True)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        documents = spark.createDataFrame([], "value string")
+    """Read a state file, or a folder of them; a missing path is the empty state.
+
+    Files beyond ``LARGE`` bytes are cut into pieces and read by several tasks.
+    """
+    found = file_sizes(spark, path)
+    small = [name for name, size in found if size <= corpus.LARGE]
+    large = [(name, size) for name, size in found if size > corpus.LARGE]
+    documents = spark.read.text(small, wholetext=True) if small else spark.createDataFrame([], "value string")
     parsed = parse_state(documents)
-    return State(unique_state(state_points(parsed)), parsed.drop("indexed_points"))
+    points, runs = state_points(parsed), parsed.drop("indexed_points")
+    for name, size in large:
+        cut = large_state(spark, name, size)
+        points, runs = points.unionByName(cut.points), runs.unionByName(cut.runs)
+    return State(unique_state(points), runs)
+
+
+def large_state(spark: SparkSession, path: str, size: int) -> State:
+    """One state file, cut into the entries of its points; like :func:`parse_state`, it counts as empty if any of it is no JSON."""
+    folder, _, name = path.rpartition("/")
+    files = spark.createDataFrame([(name, size)], "source string, size bigint")
+    parts = parts_of(lambda states: corpus.file_pieces(files, folder, states), shared_folder(spark), 2)
+    # One row: the document with a number in place of what each inner object or list holds.
+    plain = F.col("data").cast("string")
+    frame = frames_of(parts).select(F.when(F.is_valid_utf8(plain), plain).alias("value"))
+    inner = "struct<version:string,last_run_utc:string,indexed_points:map<string,bigint>>"
+    doc = F.when(is_single_value(F.col("value")), F.from_json("value", inner, STRICT_OPTIONS))
+    about = frame.select(doc.alias("doc")).select("doc.*").first()
+    entries = elements_of(parts).select("container", F.when(F.is_valid_utf8(plain), plain).alias("text"))
+    entry, item = F.concat(F.lit("{"), "text", F.lit("}")), F.concat(F.lit("["), "text", F.lit("]"))
+    empty = F.col("text").rlike(r"\A[ \t\r\n]*\z")
+    own = (about.indexed_points or {}).get("#", -1) if about else -1
+    sound = empty | is_single_value(entry) | ((F.col("container") != own) & is_single_value(item))
+    if about is None or entries.where(~F.coalesce(sound, F.lit(False))).limit(1).count():
+        own, about = -1, None
+    rows = entries.where((F.col("container") == own) & ~empty).select(
+        F.explode(F.from_json(entry, f"map<string,{_ENTRY}>", STRICT_OPTIONS)).alias("point_id", "entry")
+    )
+    version = (about.version if about else None) or STATE_VERSION
+    run = (version, about.last_run_utc if about else None, version != STATE_VERSION)
+    return State(
+        rows.select("point_id", "entry.source_file", "entry.question_hash"),
+        spark.createDataFrame([run], "version string, last_run_utc string, version_mismatch boolean"),
+    )
+
+
+def _stamp(moment: Column | None) -> Column:
+    utc = F.to_utc_timestamp(moment if moment is not None else F.current_timestamp(), F.current_timezone())
+    return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
 
 
 def state_documents(
@@ -87,9 +129,7 @@ def state_documents(
     Rows are spread by a hash of the unique id, so each text stays near
     ``rows / files`` entries however the sources are skewed.
     """
-    moment = last_run_utc if last_run_utc is not None else F.current_timestamp()
-    utc = F.to_utc_timestamp(moment, F.current_timezone())
-    stamp = F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    stamp = _stamp(last_run_utc)
     entry = F.struct("source_file", "question_hash")
     return (
         state.groupBy(F.pmod(F.xxhash64("point_id"), F.lit(files)).cast("int").alias("part"))
@@ -108,13 +148,51 @@ def state_documents(
 def save_state(state: DataFrame, path: str, rows_per_file: int = 50_000) -> int:
     """Write the state as JSON files of about ``rows_per_file`` entries; returns the row count.
 
-    A corpus of ordinary size gives a single file. ``path`` must be new: it becomes a
-    folder that :func:`load_state` reads back, and its ``_SUCCESS`` marker appears last,
+    A corpus of ordinary size gives a single file; for one file whatever the size, see :func:`replace_state`.
+    ``path`` must be new: it becomes a folder that :func:`load_state` reads back, and its ``_SUCCESS`` marker appears last,
     so an earlier export is never half replaced.
     """
-    total = state.count()
+    spark, scratch = state.sparkSession, shared_folder(state.sparkSession)
+    rows = materialise(state.select("point_id", "source_file", "question_hash"), scratch)
+    total = rows.count()
     files = max(1, -(-total // rows_per_file))
-    texts = state_documents(state, files=files).select("value")
+    texts = state_documents(rows, files=files).select("value")
     # A reader takes a file for one document, so no two of them may share one.
     texts.write.mode("errorifexists").option("maxRecordsPerFile", 1).text(path)
+    discard(spark, scratch)
     return total
+
+
+def replace_state(state: DataFrame, path: str, last_run_utc: Column | None = None) -> int:
+    """Write the state as the one JSON file ``path``, in place of what is there; returns the row count.
+
+    One document is one file, so one task writes it, an entry a line, as they come; no more than a
+    line is held. The file is finished beside ``path`` and then takes its name in one step.
+    """
+    spark, scratch = state.sparkSession, shared_folder(state.sparkSession)
+    rows = materialise(state.select("point_id", "source_file", "question_hash").where("point_id IS NOT NULL"), scratch)
+    tally = rows.agg(F.count(F.lit(1)).alias("n"), F.min("point_id").alias("first")).first()
+    head = F.concat(
+        F.lit('{"version": '), F.to_json(F.array(F.lit(STATE_VERSION))).substr(2, len(STATE_VERSION) + 2), F.lit(', "last_run_utc": "'),
+        _stamp(last_run_utc), F.lit('", "indexed_points": {'),
+    )
+    pair = F.to_json(F.map_from_arrays(F.array("point_id"), F.array(F.struct("source_file", "question_hash"))))
+    # Without the braces around it.
+    line = F.substring(pair, F.lit(2), F.length(pair) - 2)
+    entries = rows.select(
+        F.lit(1).alias("place"), "point_id", F.when(F.col("point_id") == tally.first, line).otherwise(F.concat(F.lit(","), line)).alias("value")
+    )
+    no_id = F.lit(None).cast("string").alias("point_id")
+    frame = spark.range(1).select(F.lit(0).alias("place"), no_id, head.alias("value")).unionByName(
+        spark.range(1).select(F.lit(2).alias("place"), no_id, F.lit("}}").alias("value"))
+    )
+    lines = entries.unionByName(frame).repartition(1).sortWithinPartitions("place", "point_id").select("value")
+    beside = f"{path}.{uuid.uuid4().hex}"
+    lines.write.text(beside)
+    written = [name for name, _ in file_sizes(spark, beside)]
+    if len(written) != 1:
+        raise RuntimeError(f"the state was written to {len(written)} files")
+    take_place(spark, written[0], path)
+    discard(spark, beside)
+    discard(spark, scratch)
+    return tally.n
