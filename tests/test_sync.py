@@ -480,3 +480,43 @@ def test_batches_of_like_length(spark):
         {r.i: r.vector for r in encode(frame, "t", dim=8, batch_size=n, batch_chars=c).collect()} for n, c in ((64, None), (2, 50))
     )
     assert one == other
+
+
+def test_upserts_only_look_the_state_up(spark, tmp_path, monkeypatch):
+    """A small batch against a larger state: no full join, no exchange of the state, few buckets read."""
+    from tidemark.operators import diff
+
+    path = str(tmp_path)
+    rows = [("f", i, f"q{i}", "a", "p", []) for i in range(900)]
+    settings = SyncOptions(**FAST, apply_deletes=False)
+    sync(spark, spark.createDataFrame(rows, ITEM), path, settings).close()
+    plans = []
+    lookup = plan.compare_upserts
+
+    def watched(current, previous, small=False):
+        compared = lookup(current, previous, small)
+        plans.append((compared._jdf.queryExecution().executedPlan().toString(), small))
+        return compared
+
+    monkeypatch.setattr(plan, "compare_upserts", watched)
+    batch = spark.createDataFrame([rows[3], rows[5], ("f", 5000, "new", "a", "p", [])], ITEM)
+    found = sync(spark, batch, path, settings)
+    assert some(report(found), "evaluated", "inserted", "unchanged", "to_delete", "points") == (3, 1, 2, 0, 901)
+    text, small = plans[-1]
+    state = [line for line in text.splitlines() if "FileScan" in line and "payload" in line]
+    assert small and "FullOuter" not in text and len(state) == 1 and "In(id, " in state[0]
+    assert "Exchange hashpartitioning" not in text
+    # A batch that is replayed finds its ids present and unchanged.
+    again = sync(spark, batch, path, settings)
+    assert some(report(again), "inserted", "unchanged", "version") == (0, 3, report(found)["version"])
+    # More ids than are looked up one by one, with and without a broadcast.
+    monkeypatch.setattr(store, "LOOKED_UP", 2)
+    for limit in (1000, 0):
+        more = sync(spark, spark.createDataFrame(rows[:40] + [("f", 7000 + limit, f"more{limit}", "a", "p", [])], ITEM), path,
+                    SyncOptions(**FAST, apply_deletes=False, broadcast_rows=limit))
+        assert some(report(more), "evaluated", "inserted", "unchanged") == (41, 1, 40)
+        assert "FullOuter" not in plans[-1][0]
+    current = diff.current_points(spark.createDataFrame([("x", "s", 0, "h"), ("y", "s", 1, "h")], "point_id string, source string, pos bigint, question_hash string"))
+    state = spark.createDataFrame([("x", "s", "old"), ("z", "s", "h")], "point_id string, source_file string, question_hash string")
+    for small in (True, False):
+        assert {(r.point_id, r.op) for r in diff.compare_upserts(current, state, small).collect()} == {("x", "update"), ("y", "insert")}

@@ -59,8 +59,24 @@ def compare(current: DataFrame, previous: DataFrame) -> DataFrame:
     delete the current columns are null. An entry without source and hash counts
     as new although its id was known.
     """
+    return _classified(current, previous, "full_outer")
+
+
+def compare_upserts(current: DataFrame, previous: DataFrame, small: bool = False) -> DataFrame:
+    """:func:`compare` without the ids that only ``previous`` has, which is then only looked up.
+
+    ``small`` says the caller has counted ``current`` and its ids fit a broadcast: ``previous`` is scanned and
+    not exchanged, and what it knows of these ids is as small.
+    """
+    if small:
+        known = previous.join(F.broadcast(current.select("point_id")), "point_id", "left_semi")
+        return _classified(current, F.broadcast(known), "left")
+    return _classified(current, previous, "left")
+
+
+def _classified(current: DataFrame, previous: DataFrame, how: str) -> DataFrame:
     c, p = current.alias("c"), previous.alias("p")
-    return c.join(p, F.col("c.point_id") == F.col("p.point_id"), "full_outer").select(
+    return c.join(p, F.col("c.point_id") == F.col("p.point_id"), how).select(
         F.coalesce("c.point_id", "p.point_id").alias("point_id"),
         _operation().alias("op"),
         F.col("c.source_file").alias("source_file"),

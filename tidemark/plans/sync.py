@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.chunking import chunk
 from tidemark.functions.encoding import encode, encode_apart, vector_fault
 from tidemark.functions.identity import with_identity
-from tidemark.operators.diff import compare, current_points, keep_sources
+from tidemark.operators.diff import compare, compare_upserts, current_points, keep_sources
 from tidemark.operators.points import build_points
 from tidemark.options import SyncOptions, encoder_batch
 from tidemark.plans.report import change_counts, corpus_counts
@@ -164,10 +164,7 @@ def _sync(
             spark, store_path, options.collection, options.dim, options.metric, on_mismatch=options.on_mismatch
         )
     taken_over = previous is not None
-    if taken_over:
-        previous = unique_state(previous)
-    else:
-        previous = empty_state(spark) if collection is None else store.read_state(spark, collection, options.broadcast_rows)
+    previous = unique_state(previous) if taken_over else None
 
     ledger = scratch.materialise(_ledger(_exploded(spark, source), options), f"{scratch_path}/ledger")
     files = corpus_source.file_stats(ledger)
@@ -181,17 +178,24 @@ def _sync(
         files = corpus_source.file_stats(ledger)
         found = corpus_counts(files).first()
 
-    compared = compare(current_points(ledger.where("point_id IS NOT NULL")), previous)
-    if options.on_bad_file == "keep" and found.files_failed:
-        bad = corpus_source.file_errors(ledger)
-        compared = keep_sources(compared, bad, small=found.files_failed <= options.broadcast_rows)
-    if not options.apply_deletes:
-        compared = compared.where("op <> 'delete'")
+    current = current_points(ledger.where("point_id IS NOT NULL"))
+    if options.apply_deletes:
+        known = previous if taken_over else _state(spark, collection, options)
+        compared = compare(current, known)
+        if options.on_bad_file == "keep" and found.files_failed:
+            bad = corpus_source.file_errors(ledger)
+            compared = keep_sources(compared, bad, small=found.files_failed <= options.broadcast_rows)
+    else:
+        compared = _compare_batch(spark, current, found.items_valid, previous, collection, options, f"{scratch_path}/current")
     changes = scratch.materialise(compared, f"{scratch_path}/changes")
     counts = change_counts(changes, options.force).first()
     if counts.evaluated != found.items_valid:
         raise RuntimeError(f"{found.items_valid} valid items, but {counts.evaluated} compared; nothing was changed")
-    _guard_deletes(counts.to_delete, counts.previous_points, options)
+    before = counts.previous_points
+    if not options.apply_deletes:
+        # Only what the batch names has been looked up.
+        before = previous.count() if taken_over else 0 if collection is None else collection.points
+    _guard_deletes(counts.to_delete, before, options)
 
     process = "pos IS NOT NULL" if options.force else "op IN ('insert', 'update')"
     todo = _changed_items(spark, source, changes.where(process), counts.to_upsert, options, large)
@@ -219,7 +223,7 @@ def _sync(
         "dry_run": options.dry_run, "forced": options.force, **found.asDict(), **counts.asDict(),
         "upserted": upserted, "deleted": deleted, "upsert_failed": lost.rows, "delete_failed": 0,
         # What a forced dry run would announce: every previous point.
-        "simulated_force_deletes": counts.previous_points if options.force and options.dry_run else None,
+        "simulated_force_deletes": before if options.force and options.dry_run else None,
         "points": None if collection is None else collection.points,
         "duration_s": time.monotonic() - started,
     }
@@ -231,6 +235,29 @@ def _sync(
     )
 
 
+def _state(
+    spark: SparkSession, collection: store.Collection | None, options: SyncOptions, ids: list[str] | None = None
+) -> DataFrame:
+    return empty_state(spark) if collection is None else store.read_state(spark, collection, options.broadcast_rows, ids)
+
+
+def _compare_batch(
+    spark: SparkSession, current: DataFrame, items: int, previous: DataFrame | None, collection: store.Collection | None,
+    options: SyncOptions, path: str,
+) -> DataFrame:
+    """The comparison of a run that deletes nothing, of ``items`` items: the state is only looked up.
+
+    Few ids are looked up in their buckets; ids that fit a broadcast leave the state where it is; beyond
+    that the state meets them bucket by bucket.
+    """
+    ids = None
+    if previous is None and items <= store.LOOKED_UP:
+        current = scratch.materialise(current, path)
+        ids = [r.point_id for r in current.select("point_id").collect()]
+    known = previous if previous is not None else _state(spark, collection, options, ids)
+    return compare_upserts(current, known, small=items <= options.broadcast_rows)
+
+
 class _Lost(NamedTuple):
     """Items the encoder failed on, and those of them that were not indexed before."""
 
