@@ -53,6 +53,16 @@ def test_equals_brute_force(spark, scratch, monkeypatch, hot, piece):
     assert [tuple(r)[1:] for r in found.orderBy("i").collect()] == brute([(t or "").encode() for t in texts])
 
 
+@pytest.mark.parametrize("length, hot", [(250, s.HOT), (60, s.HOT), (60, 3)])
+def test_other_lengths(spark, scratch, monkeypatch, length, hot):
+    monkeypatch.setattr(s.repeated_spans, "__defaults__", (hot,))
+    texts = corpus()
+    rows, gone = s.removals(documents(spark, texts).repartition(3), scratch, length=length)
+    kept = F.when(F.coalesce("whole", F.lit(False)), F.lit(b"")).otherwise(F.coalesce("kept", "data"))
+    found = rows.join(gone, "key", "left").select(F.col("row.doc_id").alias("i"), F.sha2(kept, 256)).orderBy("i").collect()
+    assert [r[1] for r in found] == [x[3] for x in brute([(t or "").encode() for t in texts], length)]
+
+
 def test_empty_table(spark, scratch):
     rows, gone = s.removals(documents(spark, []), scratch)
     assert rows.count() == 0 and gone.count() == 0

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, release, row_slices
+from tidemark.llm.common import discard, materialise, release, row_slices
 
 SEED = 42
 #: Largest number of nodes that are paired up within one block key.
@@ -296,9 +296,10 @@ def similar_groups(
     ``rows``: ``key`` (equal for equal texts only), ``id``, ``text``. Groups are the components of links
     between texts with at least that similarity of their shingles.
 
-    Texts that share a prefix key of at most ``bucket`` texts are paired up. Those of a crowded key meet one of
-    them in each of ROUNDS rounds; then all that are still in different groups are paired up, which takes
-    rows with the square of their number only where many texts share a rare part and yet are not similar.
+    Texts of a key that more than ``bucket`` texts share meet one of them in each of ROUNDS rounds, which brings large groups together.
+    Texts that share smaller keys are paired up where they are in different groups. What is left of the
+    crowded keys is paired up last, which takes rows with the square of their number only where many texts share
+    a rare part and yet are not similar.
     """
     spark = rows.sparkSession
     common = spark.sparkContext.broadcast(common_shingles(rows, scratch, words))
@@ -311,6 +312,7 @@ def similar_groups(
         .withColumn("node", F.monotonically_increasing_id()),
         f"{scratch}/nodes",
     )
+    discard(spark, f"{scratch}/prints")
     keyed = nodes.select("node", "n", F.explode("keys").alias("h"))
     sizes = materialise(keyed.groupBy("h").agg(F.count("*").alias("many")).where("many > 1"), f"{scratch}/sizes")
     met = materialise(keyed.join(sizes, "h"), f"{scratch}/met")
@@ -331,24 +333,35 @@ def similar_groups(
         roots = components(links, f"{scratch}/{name}")
         return nodes.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
-    # All keys that a pair shares are small here, or else its crowded ones bring it together below.
-    small = met.where(F.col("many") <= bucket)
-    pairs = small.select("h", F.col("node").alias("a"), F.col("n").alias("a_n")).join(
-        small.select("h", F.col("node").alias("b"), F.col("n").alias("b_n")), "h"
-    ).where("a < b").groupBy("a", "b").agg(F.first("a_n").alias("a_n"), F.first("b_n").alias("b_n"), F.count("*").alias("shared"))
-    found = verified(pairs.where(_may_be_similar("a_", "b_", similarity, F.col("shared"))), "small")
-
     shared = met.groupBy("node").agg(F.count("*").alias("shared"))
     crowded = materialise(met.where(F.col("many") > bucket).join(shared, "node").select("h", "node", "n", "shared"), f"{scratch}/crowded")
     may = _may_be_similar("a_", "b_", similarity, F.least("a_shared", "b_shared"))
+    found = materialise(spark.createDataFrame([], "a long, b long"), f"{scratch}/none")
+
+    def small_pairs(roots: DataFrame) -> DataFrame:
+        # All keys that a pair shares are small here, or else its crowded ones bring it together.
+        few = met.where(F.col("many") <= bucket)
+        sides = [few.select("h", F.col("node").alias(s), F.col("n").alias(f"{s}_n")) for s in "ab"]
+        pairs = sides[0].join(sides[1], "h").where("a < b").groupBy("a", "b").agg(
+            F.first("a_n").alias("a_n"), F.first("b_n").alias("b_n"), F.count("*").alias("shared")
+        ).where(_may_be_similar("a_", "b_", similarity, F.col("shared")))
+        for s in "ab":
+            pairs = pairs.join(roots.select(F.col("node").alias(s), F.col("root").alias(f"{s}_root")), s)
+        return pairs.where("a_root <> b_root").select("a", "b")
+
     for i in range(ROUNDS + 1):
+        last = i == ROUNDS
+        if last:
+            more = verified(small_pairs(rooted(found, "c")), "small")
+            found = materialise(found.unionByName(more), f"{scratch}/linked")
         members = crowded.join(rooted(found, f"c{i}"), "node")
         open_keys = members.groupBy("h").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("h")
         crowded = members = materialise(members.join(open_keys, "h", "left_semi"), f"{scratch}/open{i}")
         if members.isEmpty():
-            break
+            crowded = crowded.drop("root")
+            continue
         sides = [members.select("h", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "n", "shared", "root")]) for s in "ab"]
-        if i < ROUNDS:  # by a hash of the round, so that the same text tends to stand for all keys of its group
+        if not last:  # by a hash of the round, so that the same text tends to stand for all keys of its group
             hub = F.min_by(F.struct(*[c for c in sides[0].columns if c != "h"]), F.xxhash64("a_node", F.lit(i)))
             sides[0] = sides[0].groupBy("h").agg(hub.alias("x")).select("h", "x.*")
         apart = sides[0].join(sides[1], "h").where((F.col("a_root") != F.col("b_root")) & may)

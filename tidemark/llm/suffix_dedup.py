@@ -1,11 +1,11 @@
 """Removal of repeated byte strings by a distributed merge sort of suffixes.
 
-A byte is removed if a string of LENGTH (400) bytes that covers it also starts anywhere else in the
-corpus. Strings are judged on the input, and never cross texts.
+A byte is removed if a string of ``length`` bytes (LENGTH, 400, unless the caller says otherwise) that covers it also starts anywhere
+else in the corpus. Strings are judged on the input, and never cross texts.
 
-1. Sampling. In each LENGTH-byte window the CORE-byte string with the least hash is the window's anchor.
+1. Sampling. In each window of that length the core, a string of a third of it, with the least hash is the window's anchor.
    It depends on the window's bytes alone, so equal windows have equal anchors at the same offset, and
-   about one position in 140 becomes an anchor, which serves a range of windows around it. Anchors whose
+   about one position in 140 (for 400 bytes) becomes an anchor, which serves a range of windows around it. Anchors whose
    core occurs once cannot lie in a repeated window and are left out (the hash only ever lets too many through).
 2. Runs. A task cuts the suffix at each remaining anchor (as long as any of its windows needs) and the bytes
    before it, sorts them, and front-codes the run: length of the prefix shared with the suffix before,
@@ -23,7 +23,7 @@ sort as one text. A core at HOT places or more, in however many texts, is not ga
 anchors serve, and where these are unique their windows, are sorted as strings of their own, spread by
 their own hash, one per run and string, and only verdicts travel back to where they occur.
 
-Defined cases: null and empty texts, and texts under LENGTH bytes, lose nothing; a null id is no special
+Defined cases: null and empty texts, and texts shorter than ``length``, lose nothing; a null id is no special
 id; repeated rows are copies of each other; long texts are sampled in pieces of PIECE windows.
 """
 
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialise, release, row_slices
 
-LENGTH, CORE = 400, 128
+LENGTH = 400
 #: Windows sampled at once, places from which a core counts as hot (a group of so many takes some 20 MB), suffixes aimed at per
 #: exchange bucket, and bytes of suffixes in a run.
 PIECE, HOT, PER_BUCKET, RUN_BYTES = 1 << 20, 16_384, 10_000, 24 << 20
@@ -73,25 +73,30 @@ def _join(left: np.ndarray, right: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def anchors(data: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, ...]:
+def core_size(length: int) -> int:
+    """Bytes of the strings that anchors are chosen by."""
+    return max(1, length * 8 // 25)
+
+
+def anchors(data: np.ndarray, stops: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
     """Anchors of texts that lie one after the other in ``data`` and end at ``stops``.
 
     Returns text number, position in ``data``, least and largest distance back to a window it serves, core hash.
     """
-    n = len(data) - LENGTH + 1
+    n = len(data) - length + 1
     if n <= 0:
         return (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),)
-    core = hashes(data, CORE)
+    core = hashes(data, core_size(length))
     least = ((core ^ (core >> np.uint64(29))) * _MIX) & ~_PLACE
     least |= np.arange(len(least), dtype=np.uint64)
-    have, width = 1, LENGTH - CORE + 1
+    have, width = 1, length - core_size(length) + 1
     while 2 * have <= width:
         least = np.minimum(least[:-have], least[have:])
         have *= 2
     least = np.minimum(least[:n], least[width - have : width - have + n])
     at = (least & _PLACE).astype(np.int64)
     begins = np.concatenate([[0], stops[:-1]])
-    counts = np.maximum(0, stops - begins - LENGTH + 1)
+    counts = np.maximum(0, stops - begins - length + 1)
     text = np.repeat(np.arange(len(stops)), counts)
     window = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts) + begins[text]
     at = at[window]
@@ -101,12 +106,12 @@ def anchors(data: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, ...]:
     return text[first], place, place - window[last], place - window[first], core[place]
 
 
-def sample_text(data: bytes) -> tuple[np.ndarray, ...]:
+def sample_text(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, ...]:
     """Anchors of one text of any length: position, least and largest distance, core hash."""
     whole, parts = np.frombuffer(data, np.uint8), []
-    for start in range(0, max(1, len(whole) - LENGTH + 1), PIECE):
-        piece = whole[start : start + PIECE + LENGTH - 1]
-        _, place, lo, hi, core = anchors(piece, np.array([len(piece)]))
+    for start in range(0, max(1, len(whole) - length + 1), PIECE):
+        piece = whole[start : start + PIECE + length - 1]
+        _, place, lo, hi, core = anchors(piece, np.array([len(piece)]), length)
         place = place + start
         if parts and len(place) and len(parts[-1][0]) and parts[-1][0][-1] == place[0]:
             before = parts[-1]  # an anchor that serves windows of both pieces
@@ -125,8 +130,8 @@ def unplace(value: int) -> tuple[int, int, int]:
     return value >> 20, value >> 10 & 1023, value & 1023
 
 
-def sampled(texts: DataFrame) -> DataFrame:
-    """``key, core, places`` (of :func:`place`) of each core of each row ``key, data`` with LENGTH bytes or more.
+def sampled(texts: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``key, core, places`` (of :func:`place`) of each core of each row ``key, data`` with ``length`` bytes or more.
 
     A text that repeats itself names a core many times; that is still one row.
     """
@@ -137,11 +142,11 @@ def sampled(texts: DataFrame) -> DataFrame:
             for part in row_slices(batch, "data", PIECE):
                 data = part.column("data").to_pylist()
                 if len(data) == 1:
-                    at, lo, hi, core = sample_text(data[0])
+                    at, lo, hi, core = sample_text(data[0], length)
                     text = np.zeros(len(at), np.int64)
                 else:
                     stops = np.cumsum([len(x) for x in data])
-                    text, at, lo, hi, core = anchors(np.frombuffer(b"".join(data), np.uint8), stops)
+                    text, at, lo, hi, core = anchors(np.frombuffer(b"".join(data), np.uint8), stops, length)
                     at = at - np.concatenate([[0], stops[:-1]])[text]
                 order = np.lexsort((core, text))  # stable: positions stay in order
                 text, core = text[order], core[order]
@@ -229,7 +234,7 @@ def merge(runs: list[Iterator[tuple[int, bytes, object]]]) -> Iterator[tuple[int
             node //= 2
 
 
-def repeated_windows(group: list[tuple[bytes, bytes, int, int]], shared: list[int]) -> list[list[tuple[int, int]]]:
+def repeated_windows(group: list[tuple[bytes, bytes, int, int]], shared: list[int], length: int = LENGTH) -> list[list[tuple[int, int]]]:
     """For each distinct member the ranges of distances (windows start so far before the anchor) that are repeated.
 
     ``group``: suffix, reversed bytes before the anchor, sorted by suffix; ``shared[i]``: common prefix
@@ -241,16 +246,16 @@ def repeated_windows(group: list[tuple[bytes, bytes, int, int]], shared: list[in
         members, shared, depth = todo.pop()
         lefts = [group[i][1] for i in members]
         reach = max(map(len, lefts))
-        if max(shared[1:]) + reach < LENGTH:
+        if max(shared[1:]) + reach < length:
             continue
         deep = common(min(lefts), max(lefts), depth)  # all agree so far to the left
         for t, i in enumerate(members):
             best = max(shared[t] if t else 0, shared[t + 1] if t + 1 < len(members) else 0)
-            start = max(depth, LENGTH - best)
+            start = max(depth, length - best)
             if start <= deep:
                 found[i].append((start, deep))
         classes: dict[int, tuple[list[int], list[int], list[int]]] = {}
-        low = [LENGTH] * 256
+        low = [length] * 256
         for t, i in enumerate(members):
             if t:
                 for key in classes:
@@ -261,7 +266,7 @@ def repeated_windows(group: list[tuple[bytes, bytes, int, int]], shared: list[in
                 into, between, _ = classes.setdefault(key, ([], [], []))
                 between.append(low[key] if into else 0)
                 into.append(i)
-                low[key] = LENGTH
+                low[key] = length
         todo.extend((into, between, deep + 1) for into, between, _ in classes.values() if len(into) > 1)
     return found
 
@@ -296,7 +301,7 @@ def _texts(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
             yield from zip(*(batch.column(n).slice(i, 64).to_pylist() for n in names))
 
 
-def suffix_runs(work: DataFrame, buckets: int) -> DataFrame:
+def suffix_runs(work: DataFrame, buckets: int, length: int = LENGTH) -> DataFrame:
     """Sorted front-coded runs of the suffixes of ``work`` (``key, data, found``: cores with their places).
 
     A run holds each suffix once, with what stands before it and where: ``{(before, lo, hi): [(key, at), ...]}``.
@@ -309,7 +314,7 @@ def suffix_runs(work: DataFrame, buckets: int) -> DataFrame:
             for x in found:
                 bucket = held.setdefault(x["core"] % buckets, {})
                 for at, lo, hi in map(unplace, x["places"]):
-                    suffix, before = data[at : at - lo + LENGTH], data[at - hi : at][::-1]
+                    suffix, before = data[at : at - lo + length], data[at - hi : at][::-1]
                     where = bucket.setdefault(suffix, {}).setdefault((before, lo, hi), [])
                     size += 60 if where else len(suffix) + len(before) + 300
                     where.append((key, at))
@@ -322,7 +327,7 @@ def suffix_runs(work: DataFrame, buckets: int) -> DataFrame:
     return work.select("key", "data", "found").mapInArrow(run, _RUN)
 
 
-def merged_ranges(runs: DataFrame) -> DataFrame:
+def merged_ranges(runs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``key, start, stop``: repeated byte ranges, from merging the runs of each bucket."""
     schema = pa.schema([("key", pa.binary()), ("start", pa.int32()), ("stop", pa.int32())])
 
@@ -330,7 +335,7 @@ def merged_ranges(runs: DataFrame) -> DataFrame:
         # Entries: (suffix, before, lo, hi, places); equal ones of several runs come together.
         once: dict[tuple, int] = {}
         members, between, places = [], [], []
-        least = LENGTH
+        least = length
         for (suffix, before, lo, hi, where), n in zip(group, shared):
             least = min(least, n)
             known = once.get((suffix, before, lo, hi))
@@ -339,22 +344,22 @@ def merged_ranges(runs: DataFrame) -> DataFrame:
                 members.append((suffix, before, lo, hi))
                 between.append(least)
                 places.append(list(where))
-                least = LENGTH
+                least = length
             else:
                 places[known].extend(where)
-        found = repeated_windows(members, [0, *between[1:]]) if len(members) > 1 else [[]]
+        found = repeated_windows(members, [0, *between[1:]], length) if len(members) > 1 else [[]]
         for (_, _, lo, hi), where, spans in zip(members, places, found):
             if len(where) > 1:
                 spans = [(lo, hi)]
             for near, far in spans:
                 for key, at in where:
-                    yield key, at - far, at - near + LENGTH
+                    yield key, at - far, at - near + length
 
     def run(table: pa.Table) -> pa.Table:
         runs = [front_decode(_unpack(n, d)) for n, d in zip(table.column("size").to_pylist(), table.column("run").to_pylist())]
         out, group, shared = [], [], []
         for n, suffix, entries in merge(runs):
-            if n < CORE and group:
+            if n < core_size(length) and group:
                 out.extend(ranges(group, shared))
                 group, shared = [], []
             for (before, lo, hi), where in entries.items():
@@ -418,7 +423,7 @@ def repeated_strings(units: DataFrame, data: DataFrame, buckets: int, scratch: s
 _UNIT = "key binary, start int, stop int, h long, g long, at int, lo int, hi int"
 
 
-def hot_ranges(hot: DataFrame, buckets: int, scratch: str) -> DataFrame:
+def hot_ranges(hot: DataFrame, buckets: int, scratch: str, length: int = LENGTH) -> DataFrame:
     """``key, start, stop`` of the repeated ranges that anchors with hot cores serve.
 
     ``hot``: ``key, data, found`` like :func:`suffix_runs`. First the whole range that an anchor serves
@@ -429,16 +434,16 @@ def hot_ranges(hot: DataFrame, buckets: int, scratch: str) -> DataFrame:
     schema = pa.schema([(n, pa.binary() if n == "key" else pa.int64() if n in "hg" else pa.int32()) for n in names])
 
     def of_anchors(key: bytes, data: np.ndarray, at: int, lo: int, hi: int) -> list[list]:
-        start, stop = at - hi, at - lo + LENGTH
+        start, stop = at - hi, at - lo + length
         h, g = (int(hashes(data[start:stop], stop - start, other).view(np.int64)[0]) for other in (0, 0x5A))
         return [[x] for x in (key, start, stop, h, g, at, lo, hi)]
 
     def of_windows(key: bytes, data: np.ndarray, at: int, lo: int, hi: int) -> list:
-        start, stop = at - hi, at - lo + LENGTH
-        h, g = (hashes(data[start:stop], LENGTH, other).view(np.int64) for other in (0, 0x5A))
+        start, stop = at - hi, at - lo + length
+        h, g = (hashes(data[start:stop], length, other).view(np.int64) for other in (0, 0x5A))
         starts = np.arange(start, start + len(h), dtype=np.int32)
         n = len(h)
-        return [[key] * n, starts, starts + LENGTH, h, g, [at] * n, [lo] * n, [hi] * n]
+        return [[key] * n, starts, starts + length, h, g, [at] * n, [lo] * n, [hi] * n]
 
     def listed(frame: DataFrame, unit) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -476,15 +481,15 @@ def text_key(data: Column) -> Column:
     return F.unhex(F.substring(F.sha2(data, 256), 1, 32))
 
 
-def repeated_spans(texts: DataFrame, scratch: str, hot: int = HOT) -> DataFrame:
+def repeated_spans(texts: DataFrame, scratch: str, hot: int = HOT, *, length: int = LENGTH) -> DataFrame:
     """``key, data, spans`` of the distinct texts with repeated ranges other than by copies of the whole text.
 
     ``texts``: ``key`` (:func:`text_key`), ``data`` (binary), any number of rows per text. ``spans``:
     disjoint ``start, stop`` in order.
     """
     spark = texts.sparkSession
-    long = texts.where(F.octet_length("data") >= LENGTH)
-    flat = materialise(sampled(long), f"{scratch}/samples")
+    long = texts.where(F.octet_length("data") >= length)
+    flat = materialise(sampled(long, length), f"{scratch}/samples")
     ends = [F.xxhash64("key", F.shiftright(F.col("places")[0], 20)), F.xxhash64("key", F.shiftright(F.element_at("places", -1), 20))]
     # Written before the join, so that both its sides come from exchanges and a hot core is split.
     shared = materialise(
@@ -508,10 +513,10 @@ def repeated_spans(texts: DataFrame, scratch: str, hot: int = HOT) -> DataFrame:
         F.sum(F.aggregate("x", F.lit(0).cast("long"), lambda n, x: n + F.size(x["places"]))), F.sum(F.exists("x", lambda x: x["hot"]).cast("int"))
     ).first()
     buckets = max(1, -(-(suffixes or 0) // PER_BUCKET))
-    runs = materialise(suffix_runs(cold, buckets), f"{scratch}/runs")
-    ranges = merged_ranges(runs)
+    runs = materialise(suffix_runs(cold, buckets, length), f"{scratch}/runs")
+    ranges = merged_ranges(runs, length)
     if hot_texts:
-        ranges = ranges.unionByName(hot_ranges(many.select("key", "data", "found"), buckets, scratch))
+        ranges = ranges.unionByName(hot_ranges(many.select("key", "data", "found"), buckets, scratch, length))
     ranges = materialise(ranges, f"{scratch}/ranges")
     release(spark)
     spans = ranges.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("r"))
@@ -558,7 +563,7 @@ def readable(data: Column) -> Column:
     return decode(data)
 
 
-def removals(docs: DataFrame, scratch: str, text: str = "text") -> tuple[DataFrame, DataFrame]:
+def removals(docs: DataFrame, scratch: str, text: str = "text", length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
     """The columns of ``docs`` as struct ``row`` with ``key`` and ``data``, and per key what goes.
 
     The second frame has ``key, whole`` (the text is a copy: all goes), ``n_removed, n_spans, kept``.
@@ -567,10 +572,10 @@ def removals(docs: DataFrame, scratch: str, text: str = "text") -> tuple[DataFra
         "data", F.coalesce(F.col("row")[text].cast("binary"), F.lit(b""))
     ).withColumn("key", text_key(F.col("data")))
     copies = materialise(
-        rows.where(F.octet_length("data") >= LENGTH).groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.lit(True).alias("whole")),
+        rows.where(F.octet_length("data") >= length).groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.lit(True).alias("whole")),
         f"{scratch}/copies",
     )
-    spans = repeated_spans(rows.select("key", "data"), scratch)
+    spans = repeated_spans(rows.select("key", "data"), scratch, length=length)
     size = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + (x["stop"] - x["start"]))
     partial = materialise(
         spans.select("key", size.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), cut(F.col("data"), F.col("spans")).alias("kept")),
