@@ -12,9 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, decontam, risk_rules, simhash, suffix_dedup
-from tidemark.llm.common import materialise, shared_folder
+from tidemark.llm.common import discard, materialise, shared_folder
 from tidemark.plans.tables import table
 
+#: Bytes of a passage that may not occur twice: less than 50 words of any language here take.
+PASSAGE = 250
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the risk-controlled cutoffs of their language."""
@@ -36,7 +39,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         suffix_dedup.text_key(F.coalesce(F.col("row.text"), F.lit("")).cast("binary")).alias("key"),
         F.col("row.doc_id").alias("id"), F.col("row.text").alias("text"), "row",
     )
-    kept = simhash.similar_groups(rows.select("key", "id", "text"), shared_folder(spark))
+    scratch = shared_folder(spark)
+    kept = simhash.similar_groups(rows.select("key", "id", "text"), f"{scratch}/work")
+    kept = materialise(kept, f"{scratch}/kept")
+    discard(spark, f"{scratch}/work")
     chosen = rows.select("key", "id", "row").join(
         kept.select(F.col("key").alias("k"), F.col("id").alias("i")), (F.col("key") == F.col("k")) & F.col("id").eqNullSafe(F.col("i"))
     )
@@ -45,11 +51,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without strings of 400 bytes that also start elsewhere; characters cut in half go too."""
-    rows, gone = suffix_dedup.removals(docs, shared_folder(spark))
+    """Documents without strings of PASSAGE bytes that also start elsewhere; characters cut in half go too.
+
+    All copies of a passage go, as a document that has it is none the worse without; copies of whole texts are gone by now.
+    """
+    scratch = shared_folder(spark)
+    rows, gone = suffix_dedup.removals(docs, f"{scratch}/work", length=PASSAGE)
     gone = gone.select(
         F.col("key"), F.when(F.coalesce("whole", F.lit(False)), F.lit(b"")).otherwise(F.col("kept")).alias("kept")
     )
+    gone = materialise(gone, f"{scratch}/gone")
+    discard(spark, f"{scratch}/work")
     text = F.coalesce(suffix_dedup.readable(F.col("kept")), F.col("row.text"))
     changed = rows.join(gone, "key", "left").select(F.col("row").withField("text", text).alias("row"))
     if "n_chars" in docs.columns:
