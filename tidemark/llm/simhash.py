@@ -349,16 +349,19 @@ def similar_groups(
             pairs = pairs.join(roots.select(F.col("node").alias(s), F.col("root").alias(f"{s}_root")), s)
         return pairs.where("a_root <> b_root").select("a", "b")
 
+    done = False  # no crowded key has members of different groups any more
     for i in range(ROUNDS + 1):
         last = i == ROUNDS
         if last:
             more = verified(small_pairs(rooted(found, "c")), "small")
             found = materialise(found.unionByName(more), f"{scratch}/linked")
+        if done:
+            continue
         members = crowded.join(rooted(found, f"c{i}"), "node")
         open_keys = members.groupBy("h").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("h")
         crowded = members = materialise(members.join(open_keys, "h", "left_semi"), f"{scratch}/open{i}")
-        if members.isEmpty():
-            crowded = crowded.drop("root")
+        done = members.isEmpty()
+        if done:
             continue
         sides = [members.select("h", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "n", "shared", "root")]) for s in "ab"]
         if not last:  # by a hash of the round, so that the same text tends to stand for all keys of its group
