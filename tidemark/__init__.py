@@ -10,10 +10,11 @@ from tidemark.functions.identity import content_hash, point_id, text_hash, uuid5
 from tidemark.operators.diff import dedup_last, diff, next_state, op_counts
 from tidemark.operators.export import export_batches, export_changes, export_counts
 from tidemark.operators.points import apply_changes, build_points
+from tidemark.operators.search import nearest
 from tidemark.options import SyncOptions, normalise_metric
 from tidemark.plans.sync import SyncResult, sync
 from tidemark.sources.corpus import read_qas
-from tidemark.sources.state import load_state, save_state
+from tidemark.sources.state import load_state, replace_state, save_state
 from tidemark.sources.store import (
     count_points, ensure_collection, open_collection, read_points, read_state, vacuum,
 )
@@ -23,8 +24,8 @@ __all__ = [
     "SyncOptions", "SyncResult", "apply_changes", "build_points", "chunk", "content_hash", "count_points",
     "dedup_last", "diff", "encode", "encode_apart", "ensure_collection", "explode_chunks", "export_batches",
     "export_changes", "export_counts",
-    "fixed_windows", "hashing_encoder", "load_state", "next_state", "normalise_metric", "op_counts",
-    "open_collection", "point_id", "read_points", "read_qas", "read_state", "save_state", "start_ingest",
+    "fixed_windows", "hashing_encoder", "load_state", "nearest", "next_state", "normalise_metric", "op_counts",
+    "open_collection", "point_id", "read_points", "read_qas", "read_state", "replace_state", "save_state", "start_ingest",
     "sync", "text_hash", "uuid5", "vacuum", "vector_faults", "with_identity",
 ]
 

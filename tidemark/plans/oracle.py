@@ -334,4 +334,16 @@ SELECT CAST(sum(copies) AS BIGINT) AS evaluated, CAST(0 AS BIGINT) AS to_upsert,
 SELECT point_id, source AS source_file, CASE WHEN odd THEN 'insert' ELSE 'unchanged' END AS op,
        CASE WHEN odd THEN 'ValueError: odd length' END AS error, CASE WHEN NOT odd THEN digest END AS stored
 FROM (SELECT *, length(q) % 17 = 0 AS odd FROM c) JOIN vectors ON key = point_id""",
+    "nearest_exact": """
+WITH v AS (SELECT vec_id AS id, [floor(CAST(x AS DOUBLE) * 256) FOR x IN embedding] AS v FROM embeddings)
+SELECT query, id, distance, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query ORDER BY distance, id) AS rank FROM (
+    SELECT q.id AS query, p.id, sqrt(list_sum([(q.v[i] - p.v[i]) * (q.v[i] - p.v[i]) FOR i IN range(1, 65)])) AS distance
+    FROM v q JOIN v p ON q.id % 20 = 0 AND p.id <> q.id)) WHERE rank <= 10""",
+    "nearest_filtered": """
+WITH v AS (SELECT vec_id AS id, label, [floor(CAST(x AS DOUBLE) * 256) FOR x IN embedding] AS v FROM embeddings)
+SELECT query, id, distance, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query ORDER BY distance, id) AS rank FROM (
+    SELECT q.id AS query, p.id, -list_sum([q.v[i] * p.v[i] FOR i IN range(1, 65)]) AS distance
+    FROM v q JOIN v p ON q.id % 20 = 0 AND p.label = 1)) WHERE rank <= 10""",
 }

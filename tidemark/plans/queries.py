@@ -15,6 +15,7 @@ from tidemark.functions.identity import content_hash, with_identity
 from tidemark.operators import diff as d
 from tidemark.operators.export import export_batches, export_counts
 from tidemark.operators.points import apply_changes, build_points
+from tidemark.operators.search import nearest
 from tidemark.options import SyncOptions
 from tidemark.plans import tables as t
 from tidemark.plans.report import change_counts, corpus_counts
@@ -340,6 +341,23 @@ def sync_skips(spark: SparkSession, folder: str) -> DataFrame:
     ).join(stored, "point_id", "left")
 
 
+def _whole(vector: str) -> Column:
+    """Vectors in whole 256ths, so that distances are exact in any engine."""
+    return F.transform(vector, lambda x: F.floor(x.cast("double") * 256).cast("double"))
+
+
+def nearest_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest by Euclidean distance of every vector whose id is divisible by 20, among all others."""
+    points = t.table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), _whole("embedding").alias("vector"))
+    return nearest(points, points.where("id % 20 = 0"), 10, "Euclid", skip_same=True)
+
+
+def nearest_filtered(spark: SparkSession, folder: str) -> DataFrame:
+    """The same by dot product, among the vectors of one label: the filter comes before the distances."""
+    vectors = t.table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), "label", _whole("embedding").alias("vector"))
+    return nearest(vectors.where("label = 1"), vectors.where("id % 20 = 0"), 10, "Dot")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -349,5 +367,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         keep_unread, next_state, state_roundtrip, state_repair, applied_changes, chunk_fixed,
         chunk_fixed_stats, chunk_recursive, chunk_recursive_small, chunk_without_overlap, payload_build,
         encode_hashed, vector_checks, export_totals, sync_report, sync_state, sync_points, sync_idle, sync_skips,
+        nearest_exact, nearest_filtered,
     )
 }
