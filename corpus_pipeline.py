@@ -17,6 +17,8 @@ from tidemark.plans.tables import table
 
 #: Bytes of a passage that may not occur twice: less than 50 words of any language here take.
 PASSAGE = 250
+#: Words of a shingle and differing bits of near duplicates, as in the operator's own query.
+SHINGLE, DISTANCE = 3, 2
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,18 +36,24 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group with 0.8 or more of their five-word shingles in common: that with the smallest id."""
+    """One document of each group of fingerprints linked at SHINGLE words and DISTANCE bits: that with the smallest id.
+
+    Null ids come last; of rows with one id, that with the smallest key of its text stays.
+    """
     rows = docs.select(F.struct("*").alias("row")).select(
         suffix_dedup.text_key(F.coalesce(F.col("row.text"), F.lit("")).cast("binary")).alias("key"),
         F.col("row.doc_id").alias("id"), F.col("row.text").alias("text"), "row",
     )
     scratch = shared_folder(spark)
-    kept = simhash.similar_groups(rows.select("key", "id", "text"), f"{scratch}/work")
-    kept = materialise(kept, f"{scratch}/kept")
-    discard(spark, f"{scratch}/work")
-    chosen = rows.select("key", "id", "row").join(
-        kept.select(F.col("key").alias("k"), F.col("id").alias("i")), (F.col("key") == F.col("k")) & F.col("id").eqNullSafe(F.col("i"))
+    prints = materialise(
+        rows.select("key", "id", simhash.fingerprint_column(F.col("text"), SHINGLE).alias("fp")), f"{scratch}/prints"
     )
+    found = simhash.near_duplicates(prints, f"{scratch}/work", "id", distance=DISTANCE)
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("kept")
+    kept = prints.join(found.select("fp", "root"), "fp").groupBy("root").agg(first)
+    kept = materialise(kept.select(F.col("kept.key").alias("k"), F.col("kept.id").alias("i")), f"{scratch}/kept")
+    discard(spark, f"{scratch}/work")
+    chosen = rows.select("key", "id", "row").join(kept, (F.col("key") == F.col("k")) & F.col("id").eqNullSafe(F.col("i")))
     # Rows that repeat the chosen one, id and text, are left.
     return chosen.dropDuplicates(["key"]).select("row.*")
 
