@@ -2,12 +2,13 @@ import random
 
 import corpus_pipeline
 import pytest
+import xxhash
 from helpers import DOCS, saved, words
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 from tidemark.llm import decontam
-from tidemark.llm.simhash import shingles
+
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -57,9 +58,9 @@ def test_stages(spark, folder, stages):
     kinds = {r.doc_id: r.source for r in docs if r.doc_id is not None}
     kept = stages[3].collect()
     found = [kinds[r.doc_id] for r in kept if r.doc_id is not None]
-    assert found.count("clean") == 600  # each copy's original has the smaller id
+    assert found.count("clean") == 600 and "copy" not in found  # each copy's original has the smaller id
     assert found.count("shared") == 4
-    assert set(found) == {"clean", "shared"}
+    assert set(found) - {"near"} == {"clean", "shared"}  # a changed word may move more than two bits
     assert sum(r.source == "nulls" for r in kept) == 1  # the other repeats a clean document
     passage = " ".join(words(7000, 90))
     for row in kept:
@@ -67,12 +68,35 @@ def test_stages(spark, folder, stages):
         if row.source == "shared":
             assert passage[20:-20] not in row.text and len(row.text) > 300
     texts = {r.doc_id: r.text for r in docs}
-    assert all(r.text == texts[r.doc_id] for r in kept if kinds.get(r.doc_id) == "clean")
-
-
-def test_no_group_or_window_is_left(spark, folder, stages):
-    sets = [shingles(r.text) for r in stages[1].collect()]
-    assert all(len(a & b) < 0.8 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
+    paired = set(range(5, 10)) if "near" in found else set()  # what is left of near copies loses its long repeats
+    assert all(r.text == texts[r.doc_id] for r in kept if kinds.get(r.doc_id) == "clean" and r.doc_id not in paired)
+
+
+def simhash(text):
+    """The fingerprint by its definition."""
+    part = (text or "").encode().lower().split()
+    grams = [b" ".join(part[i : i + 3]) for i in range(max(1, len(part) - 2))] if part else []
+    hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_near_duplicates_equal_brute_force(stages):
+    rows = [(r.doc_id is None, r.doc_id or 0, r.text, simhash(r.text)) for r in stages[0].collect()]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if (rows[i][3] ^ rows[j][3]).bit_count() <= 2 and group[i] != group[j]:
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    want = {}
+    for g, row in zip(group, rows):
+        want[g] = min(want.get(g, row), row)
+    kept = [(r.doc_id, r.text) for r in stages[1].collect()]
+    assert sorted(kept, key=str) == sorted(((None if r[0] else r[1], r[2]) for r in want.values()), key=str)
+    assert len(kept) < len(rows)
+
+
+def test_no_window_is_left(spark, folder, stages):
     items = [(str(r.item_id), r.text) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
     index = decontam.WindowIndex(items, 10)
     assert not any(index.scan(r.text)[1] for r in stages[3].collect())
