@@ -92,21 +92,72 @@ def test_positive_unlabelled(spark):
     docs = documents(spark, texts)
     labels = [(i, 1, 0) for i in range(0, 300, 2)] + [(300 + i, 0, 0) for i in range(0, 120, 2)] + [(None, 1, 0), (1, None, 0)]
     labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
-    found = docs.select("doc_id", pu_quality.held_out(F.col("doc_id")).alias("held_out"), pu_quality.feature_column(F.col("text")).alias("x"))
-    p, u, prior = pu_quality.learning_rows(found, labels)
-    assert 0.6 < prior < 0.8 and len(p) and len(u)
+    p, u = pu_quality.learning_rows(docs, labels)
+    prior = pu_quality.class_prior(p, u)
+    assert 0.55 < prior < 0.85 and len(p) and len(u)
     model = pu_quality.fit(p, u, prior)
-    rows = found.select("doc_id", "held_out", pu_quality.score_column(F.col("x"), model).alias("s")).collect()
-    right = [(r.s >= 0.7) == (r.doc_id < 300) for r in rows if r.held_out and r.doc_id < 420]
-    assert sum(right) >= 0.95 * len(right) and all(0 <= r.s <= 1 for r in rows) and len(rows) == len(texts)
-    p, u, prior = pu_quality.learning_rows(found, labels.limit(0))
-    assert prior == 0.5 and np.all(pu_quality.fit(p, u, prior).weights == 0)
-    bounded = pu_quality.learning_rows(found, labels, positives=20, unlabelled=10)
+    found = pu_quality.scored(docs.select("doc_id", "text", pu_quality.held_out(F.col("doc_id")).alias("held_out")), model)
+    rows = found.collect()
+    right = [(r.score >= 0.7) == (r.doc_id < 300) for r in rows if r.held_out and r.doc_id < 420]
+    assert sum(right) >= 0.95 * len(right) and all(0 <= r.score <= 1 for r in rows) and len(rows) == len(texts)
+    p, u = pu_quality.learning_rows(docs, labels.limit(0))
+    assert len(p) == 0 and len(u) and pu_quality.class_prior(p, u) == 0.5
+    none = pu_quality.learn(docs, labels.limit(0))
+    assert {r.score for r in pu_quality.scored(docs, none).collect()} == {0.5}
+    assert pu_quality.scored(docs.limit(0), pu_quality.learn(docs.limit(0), labels)).count() == 0
+    bounded = pu_quality.learning_rows(docs, labels, positives=20, unlabelled=10)
     assert len(bounded[0]) <= 20 and len(bounded[1]) <= 10
+    odd = docs.where("doc_id < 3").withColumn("score", F.lit("theirs")).withColumn("x", F.lit(1))
+    twice = pu_quality.scored(odd.unionByName(odd), model)
+    assert twice.columns.count("score") == 1 and "x" in twice.columns
+    assert twice.groupBy("doc_id").agg(F.count_distinct("score").alias("n"), F.count("*").alias("m")).where("n = 1 AND m = 2").count() == 3
 
 
-def test_segments_of_features(monkeypatch):
+def test_risk_and_gradient_equal_their_definition():
+    chance = np.random.default_rng(3)
+    for prior in (0.3, 0.9):
+        p, u, w = chance.normal(size=(7, 4)), chance.normal(size=(9, 4)), chance.normal(size=4)
+
+        def terms(w):
+            loss = lambda z, y: float(np.mean([np.log(1 + np.exp(-y * float(x @ w))) for x in z]))
+            return np.array([prior * loss(p, 1), loss(u, -1) - prior * loss(p, -1)])
+
+        part, bracket, of_part, of_bracket = pu_quality.risk(w, p, u, prior)
+        assert np.allclose([part, bracket], terms(w))
+        for i in range(4):
+            step = np.eye(4)[i] * 1e-6
+            assert np.allclose((terms(w + step) - terms(w - step)) / 2e-6, [of_part[i], of_bracket[i]], atol=1e-6)
+
+
+def test_prior_from_scores():
+    chance = np.random.default_rng(4)
+    for share in (0.2, 0.5, 0.85):
+        p, u = chance.normal(2, 1, 4000), np.where(chance.random(6000) < share, chance.normal(2, 1, 6000), chance.normal(-2, 1, 6000))
+        assert abs(pu_quality.prior_from(p, u) - share) < 0.05
+        assert abs(pu_quality.prior_from(np.ones(50), np.ones(50)) - 1) < 1e-9  # ties
+
+
+def test_features_by_definition(monkeypatch):
     text = "Some words!\nSome words!\n| x 12 é " * 40
-    whole = pu_quality.features(text)
-    monkeypatch.setattr(pu_quality, "SEGMENT", 7)
-    assert pu_quality.features(text) == whole and len(whole) == len(pu_quality.NAMES)
+    whole, names = pu_quality.features(text, pu_quality.Hasher()), pu_quality.NAMES
+    monkeypatch.setattr(pu_quality, "SEGMENT", 64)
+    assert np.array_equal(pu_quality.features(text, pu_quality.Hasher()), whole) and len(whole) == len(names)
+    at, parts, lines = dict(zip(names, whole)), text.split(), [x for x in text.split("\n") if x]
+    assert np.isclose(at["line_repeats"], 1 - len(set(lines)) / len(lines)) and np.isclose(at["new_words"], len(set(parts)) / len(parts))
+    assert np.isclose(at["word_repeats"], 1 - len(set(zip(parts, parts[1:]))) / (len(parts) - 1))
+    for kind in ("word", "pair", "bytes"):
+        assert np.isclose(sum(v * v for n, v in at.items() if n.startswith(f"{kind}_") and n[len(kind) + 1 :].isdigit()), 1)
+    mixed = pu_quality.features(" ".join(sorted(parts)), pu_quality.Hasher())
+    assert any(a != b for n, a, b in zip(names, whole, mixed) if n.startswith("pair_"))  # order counts
+
+
+def test_tokens_and_very_long_texts(monkeypatch):
+    hasher = pu_quality.Hasher()
+    for n in (1, 2, 500):
+        found = hasher.tokens(b" ".join(w.encode() for w in words(5, n)) + b" \n", b" \n")
+        assert len(found) == n and len(set(found.tolist())) == len(set(words(5, n)))
+    assert len(hasher.tokens(b"", b" ")) == len(hasher.tokens(b"   ", b" ")) == 0
+    assert len(set(hasher.tokens(b"x y x  x", b" ").tolist())) == 2
+    giant = "long text " * 600_000 + "x" * 3_000_000
+    assert np.isfinite(pu_quality.features(giant, hasher)).all()
+    assert not pu_quality.features(None, hasher).any() and not pu_quality.features("", hasher).any()

@@ -59,16 +59,10 @@ def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_pu_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    found = materialise(
-        docs.select(
-            "doc_id", pu_quality.held_out(F.col("doc_id")).alias("held_out"),
-            pu_quality.feature_column(F.col("text")).alias("x"),
-        ),
-        shared_folder(spark),
+    model = pu_quality.learn(docs, table(spark, folder, "labels"))
+    return pu_quality.scored(docs, model).select(
+        "doc_id", pu_quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
     )
-    model = pu_quality.fit(*pu_quality.learning_rows(found, table(spark, folder, "labels")))
-    scored = found.select("doc_id", "held_out", pu_quality.score_column(F.col("x"), model).alias("score"))
-    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
 
 def op4_quote_links(spark: SparkSession, folder: str) -> DataFrame:
