@@ -11,12 +11,14 @@ Replies that continue the message before them form a branch; a reply to an earli
 Roots and depths are found by pointer doubling over branches, whose number is that of such jumps, and
 each message takes its own from its branch. Depth and root order a conversation by reply.
 
-Only DataFrame functions are used. Nothing is ordered over a whole conversation in one task: positions,
-"latest before" and branch starts are found within blocks of BLOCK neighbours, then over one row per block.
+Only DataFrame functions are used. Nothing is ordered over a whole conversation in one task: positions are counted
+within ranges of the messages in order, whatever their turns are, "latest before" and branch starts found within
+blocks of BLOCK neighbours, then each over one row per block.
 Nor are quoted units and originals of a hash paired up: each unit looks up one message.
 
 Defined cases: a null conversation is a conversation; a null turn comes before all others; equal turns
-are ordered by role, then text; null texts are empty; blank passages link to nothing; an empty table gives an
+are ordered by role, then text; repeated rows are messages of their own; null texts are empty; blank passages link to
+nothing; a very long text is one row, and its lines become rows; other columns are not kept; an empty table gives an
 empty result.
 """
 
@@ -76,11 +78,16 @@ def _same(pairs: list[tuple[str, str]]) -> Column:
     return condition
 
 
-def positions(messages: DataFrame) -> DataFrame:
-    """``messages`` (``conv, turn, role, text``) with ``pos``, from 0 in each conversation."""
-    turn = F.coalesce("turn", F.lit(-(1 << 62)))
-    blocked = messages.withColumn("_block", F.floor(turn / BLOCK))
-    within = Window.partitionBy("conv", "_block").orderBy(turn, "role", "text")
+def positions(messages: DataFrame, scratch: str) -> DataFrame:
+    """``messages`` (``conv, turn, role, text``) with ``pos``, from 0 in each conversation.
+
+    Blocks are Spark's ranges of all messages in order, which split by a number of their own even messages that
+    are equal in everything; rows are counted within a range, and ranges of a conversation added up.
+    """
+    order = ["turn", "role", "text"]
+    ranged = messages.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange("conv", *order, "_tie")
+    blocked = materialise(ranged.drop("_tie").withColumn("_block", F.spark_partition_id()), f"{scratch}/blocked")
+    within = Window.partitionBy("conv", "_block").orderBy(*order)
     counts = blocked.groupBy("conv", "_block").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("conv").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select(
@@ -142,7 +149,7 @@ def reply_order(messages: DataFrame, scratch: str) -> DataFrame:
     ``reply_to`` and ``root`` (positions), ``depth``, ``n_passages`` and ``n_linked``.
     """
     placed = materialise(
-        positions(messages.select("conv", F.col("turn").cast("long").alias("turn"), "role", F.coalesce("text", F.lit("")).alias("text"))),
+        positions(messages.select("conv", F.col("turn").cast("long").alias("turn"), "role", F.coalesce("text", F.lit("")).alias("text")), scratch),
         f"{scratch}/placed",
     )
     linked = links(placed)
