@@ -22,7 +22,7 @@ computed for these rows and, with the score, in one pass over all texts; they ar
 Defined cases: null and empty texts have all features zero and get a score as any other; very long texts are read in
 pieces of SEGMENT bytes, and a word or line beyond that counts as several; a null id counts as not held out and has
 no label; labels with null quality are ignored, contradictory ones count as bad; repeated rows are scored alike, and
-weigh as often as they occur; other columns are kept by ``scored``, which replaces one named like its result; an empty
+an id is learned from once, by its smallest text; other columns are kept by ``scored``, which replaces one named like its result; an empty
 table gives an empty result; without positives or unlabelled texts every score is 0.5.
 """
 
@@ -148,14 +148,12 @@ def learning_rows(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES
         return [(i, features(t, hasher).tobytes()) for i, t in zip(ids, texts)]
 
     def some(which: str, most: int, there: int) -> np.ndarray:
-        # A hash below a bound keeps somewhat fewer than ``most`` rows whatever the order; the limit makes it certain.
+        # A hash below a bound keeps somewhat fewer than ``most`` ids whatever the order; the slice makes it certain.
         bound = int((1 << 30) * (1.0 if there <= most else 0.95 * most / there))
         chosen = F.pmod(F.xxhash64("doc_id", F.lit("pu")), F.lit(1 << 30)) < bound
-        part = rows.where(chosen).join(votes.where(chosen), "doc_id", "left").where(which).limit(most)
+        part = rows.where(chosen).join(votes.where(chosen), "doc_id", "left").where(which).groupBy("doc_id").agg(F.min("text").alias("text"))
         kind = dict(docs.dtypes)["doc_id"]
-        found = map_rows(part.select("doc_id", "text"), vectors, f"doc_id {kind}, x binary", "text").toArrow().sort_by(
-            [("doc_id", "ascending"), ("x", "ascending")]
-        )
+        found = map_rows(part, vectors, f"doc_id {kind}, x binary", "text").toArrow().sort_by("doc_id").slice(0, most)
         return np.frombuffer(b"".join(found.column("x").to_pylist()), np.float32).reshape(-1, len(NAMES))
 
     return some("quality = 1", positives, good), some("quality IS NULL", unlabelled, n)
