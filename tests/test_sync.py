@@ -1,4 +1,5 @@
 import json
+import uuid
 import logging
 import os
 
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import (
-    SyncOptions, count_points, ensure_collection, export_batches, export_changes, export_counts,
+    SyncOptions, count_points, ensure_collection, export_batches, export_changes, export_counts, export_once,
     load_state, open_collection,
     read_points, read_state, start_ingest, sync,
 )
@@ -307,6 +308,43 @@ def test_export_in_batches(spark, tmp_path):
     assert (empty.succeeded, empty.failed) == (0, 0)
 
 
+def test_export_once_after_lost_tasks(spark, tmp_path):
+    arrived, ledger, crash = tmp_path / "arrived", str(tmp_path / "ledger"), tmp_path / "crash"
+    arrived.mkdir()
+    crash.touch()
+
+    def factory():
+        calls = [0]
+
+        def write(lane, batch, rows):
+            calls[0] += 1
+            if crash.exists() and calls[0] == 4:
+                os._exit(1)  # the worker is lost between two batches
+            if not crash.exists() and (lane, batch) == (2, 5) and not (tmp_path / "refused").exists():
+                (tmp_path / "refused").touch()
+                raise ValueError("refused")
+            (arrived / f"{lane}-{batch}-{uuid.uuid4().hex}").write_text(json.dumps([r["id"] for r in rows]))
+        return write
+
+    frame = spark.range(2000).withColumn("v", F.lit("x"))
+    run = lambda: export_once(frame.repartition(3), factory, ledger, batch_size=7, lanes=5).collect()
+    with pytest.raises(Exception):
+        run()
+    early = len(list(arrived.iterdir()))
+    assert early >= 3
+    crash.unlink()
+    second = run()
+    assert sum(not r.sent for r in second) == early
+    assert [(r.lane, r.batch, r.error) for r in second if not r.ok] == [(2, 5, "refused")]
+    third = run()
+    assert [(r.lane, r.batch) for r in third if r.sent] == [(2, 5)] and all(r.ok for r in third)
+    got = sorted(i for f in arrived.iterdir() for i in json.loads(f.read_text()))
+    assert got == list(range(2000)) and sum(r.rows for r in third) == 2000
+    keys = [f.name.rsplit("-", 1)[0] for f in arrived.iterdir()]
+    assert len(keys) == len(set(keys)) == len(third)
+    assert export_once(frame.limit(0), factory, ledger).collect() == []
+
+
 def test_export_of_a_run(spark, corpus, tmp_path):
     first = sync(spark, str(corpus), str(tmp_path / "store"), SyncOptions(**FAST))
     write(corpus, "docs/faq.json", [qa("q7"), qa("q8"), qa("q1")])

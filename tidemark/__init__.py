@@ -8,7 +8,7 @@ from tidemark.functions.chunking import chunk, explode_chunks, fixed_windows
 from tidemark.functions.encoding import encode, encode_apart, hashing_encoder, vector_faults
 from tidemark.functions.identity import content_hash, point_id, text_hash, uuid5, with_identity
 from tidemark.operators.diff import dedup_last, diff, next_state, op_counts
-from tidemark.operators.export import export_batches, export_changes, export_counts
+from tidemark.operators.export import export_batches, export_changes, export_counts, export_once
 from tidemark.operators.points import apply_changes, build_points
 from tidemark.operators.search import nearest
 from tidemark.options import SyncOptions, normalise_metric
@@ -23,7 +23,7 @@ from tidemark.streaming.ingest import start_ingest
 __all__ = [
     "SyncOptions", "SyncResult", "apply_changes", "build_points", "chunk", "content_hash", "count_points",
     "dedup_last", "diff", "encode", "encode_apart", "ensure_collection", "explode_chunks", "export_batches",
-    "export_changes", "export_counts",
+    "export_changes", "export_counts", "export_once",
     "fixed_windows", "hashing_encoder", "load_state", "nearest", "next_state", "normalise_metric", "op_counts",
     "open_collection", "point_id", "read_points", "read_qas", "read_state", "replace_state", "save_state", "start_ingest",
     "sync", "text_hash", "uuid5", "vacuum", "vector_faults", "with_identity",

@@ -303,6 +303,10 @@ SELECT vec_id, CAST(len(embedding) AS BIGINT) AS dim,
        round(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)), 3) AS square_norm
 FROM embeddings""",
     "export_totals": f"WITH {_ITEMS} SELECT count(*) AS succeeded, CAST(0 AS BIGINT) AS failed FROM items",
+    "export_arrived": f"""WITH {_ITEMS},
+points AS (SELECT DISTINCT {_point_id('q', 'source')} AS id, source FROM items),
+laned AS (SELECT *, ('0x' || substr(md5(id), 1, 7))::BIGINT % 16 AS lane FROM points)
+SELECT id, source, lane, (row_number() OVER (PARTITION BY lane ORDER BY id) - 1) // 128 + 1 AS batch FROM laned""",
     "sync_report": f"""{_DIGEST_OF_TWO_RUNS},
 compared AS (
   SELECT c.copies, c.point_id IS NOT NULL AS cur, p.point_id IS NOT NULL AS prev,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from typing import Any
@@ -13,7 +15,7 @@ from tidemark.functions.chunking import chunk, explode_chunks, fixed_windows
 from tidemark.functions.encoding import encode, hashing_encoder, vector_fault
 from tidemark.functions.identity import content_hash, with_identity
 from tidemark.operators import diff as d
-from tidemark.operators.export import export_batches, export_counts
+from tidemark.operators.export import export_batches, export_counts, export_once
 from tidemark.operators.points import apply_changes, build_points
 from tidemark.operators.search import nearest
 from tidemark.options import SyncOptions
@@ -24,6 +26,7 @@ from tidemark.sources import scratch, state, store
 from tidemark.sources.corpus import (
     explode_items, file_errors, file_stats, parse_files, rejected_items, valid_items,
 )
+from tidemark.sources.files import open_root
 
 SIZE, OVERLAP = 1000, 150
 SMALL_SIZE, SMALL_OVERLAP = 120, 30
@@ -263,6 +266,27 @@ def export_totals(spark: SparkSession, folder: str) -> DataFrame:
     return export_counts(export_batches(points, lambda: lambda batch: None, 128))
 
 
+def export_arrived(spark: SparkSession, folder: str) -> DataFrame:
+    """What an outside store has got, and in which batch, after an export that was started twice."""
+    target = scratch.qualified(spark, scratch.shared_folder(spark))
+    points = with_identity(t.current_items(spark, folder)).select(F.col("point_id").alias("id"), "source")
+    points = scratch.materialise(points.distinct(), f"{target}/points")
+
+    def to_files():
+        fs, root = open_root(f"{target}/arrived")
+        fs.create_dir(root, recursive=True)
+
+        def write(lane: int, batch: int, rows: list[dict]) -> None:
+            with fs.open_output_stream(f"{root}/{uuid.uuid4().hex}.json") as out:
+                out.write("".join(json.dumps({**r, "lane": lane, "batch": batch}) + "\n" for r in rows).encode())
+
+        return write
+
+    for _ in range(2):
+        export_once(points, to_files, f"{target}/ledger", lanes=16).write.format("noop").mode("overwrite").save()
+    return spark.read.schema("id string, source string, lane bigint, batch bigint").json(f"{target}/arrived")
+
+
 def _two_runs(spark: SparkSession, folder: str) -> tuple[str, SyncResult]:
     """Index the earlier items, then bring the collection up to the current ones."""
     path = scratch.shared_folder(spark)
@@ -366,7 +390,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         change_totals, force_totals, force_plan, diff_insert, diff_changed, diff_unchanged, diff_deleted,
         keep_unread, next_state, state_roundtrip, state_repair, applied_changes, chunk_fixed,
         chunk_fixed_stats, chunk_recursive, chunk_recursive_small, chunk_without_overlap, payload_build,
-        encode_hashed, vector_checks, export_totals, sync_report, sync_state, sync_points, sync_idle, sync_skips,
+        encode_hashed, vector_checks, export_totals, export_arrived, sync_report, sync_state, sync_points, sync_idle, sync_skips,
         nearest_exact, nearest_filtered,
     )
 }
