@@ -68,3 +68,19 @@ def test_empty_tables(spark, scratch):
     assert decontam.contamination(documents(spark, []), table, f"{scratch}/a").count() == 0
     found = decontam.contamination(documents(spark, docs), table.limit(0), f"{scratch}/b").collect()
     assert all(r.n_hit == 0 and not r["items"] for r in found)
+
+
+def test_spans_are_cut_in_blocks_of_items(spark, scratch):
+    items = [(f"i{i}", " ".join(words(300 + i, 12))) for i in range(40)]
+    # Items that overlap in a text: the second starts with the end of the first.
+    items += [("long", items[0][1] + " " + items[1][1]), ("late", " ".join(items[2][1].split()[2:] + words(999, 8)))]
+    texts = [f"{' '.join(words(i, 9))}, {items[i % 42][1]}; {items[(i + 1) % 42][1]} {' '.join(words(50 + i, 9))}" for i in range(45)]
+    texts += [items[2][1] + " " + " ".join(words(999, 8)) + " end", "", None, "clean text"]
+    frame, table = documents(spark, texts), spark.createDataFrame(items, "item_id string, text string")
+    whole, blocks = (
+        {r.doc_id: r.text for r in decontam.remove_spans(frame, table, f"{scratch}/{n}", block_words=n).collect()} for n in (500_000, 300)
+    )
+    assert whole == blocks and whole[45] == " end" and (whole[46], whole[47], whole[48]) == ("", None, "clean text")
+    index = decontam.WindowIndex(items, 10)
+    assert not any(len(index.scan(t)[1]) for t in whole.values())
+    assert list(decontam.remove_spans(frame, table, f"{scratch}/c").columns) == frame.columns

@@ -171,11 +171,10 @@ def _joined(hits: list[Column]) -> Column:
     )
 
 
-def contamination(
-    docs: DataFrame, items: DataFrame, scratch: str, text: str = "text", item_id: str = "item_id",
-    item_text: str = "text", n: int = WINDOW, block_words: int = BLOCK_WORDS,
-) -> DataFrame:
-    """All columns of ``docs`` as the struct ``row``, and ``n_words``, ``n_hit``, ``items`` (sorted strings)."""
+def _scanned(
+    docs: DataFrame, items: DataFrame, scratch: str, text: str, item_id: str, item_text: str, n: int, block_words: int
+) -> tuple[DataFrame, list[Column]]:
+    """``docs`` as the struct ``row``, and what each block of items hits in the whole texts."""
     items = items.select(
         F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("item"), F.col(item_text).alias("text")
     )
@@ -190,6 +189,15 @@ def contamination(
         if blocks > 1:
             frame = materialise(frame, f"{scratch}/block{b}")
         hits.append(F.col(f"hit{b}"))
+    return frame, hits
+
+
+def contamination(
+    docs: DataFrame, items: DataFrame, scratch: str, text: str = "text", item_id: str = "item_id",
+    item_text: str = "text", n: int = WINDOW, block_words: int = BLOCK_WORDS,
+) -> DataFrame:
+    """All columns of ``docs`` as the struct ``row``, and ``n_words``, ``n_hit``, ``items`` (sorted strings)."""
+    frame, hits = _scanned(docs, items, scratch, text, item_id, item_text, n, block_words)
     return frame.select(
         "row", hits[0]["n_words"].alias("n_words"), _joined(hits).alias("n_hit"),
         F.sort_array(F.array_distinct(F.flatten(F.array(*[h["items"] for h in hits])))).alias("items"),
@@ -218,22 +226,30 @@ def cut_spans(text: str | None, starts: list[int], stops: list[int]) -> str | No
     return b"".join([*kept, data[last:]]).decode("utf-8", "surrogatepass")
 
 
+def _union(starts: list[int], stops: list[int]) -> tuple[list[int], list[int]]:
+    """The maximal runs of words that the ranges cover."""
+    runs: list[list[int]] = []
+    for a, b in sorted(zip(starts, stops)):
+        if runs and a <= runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], b)
+        else:
+            runs.append([a, b])
+    return [a for a, _ in runs], [b for _, b in runs]
+
+
 def remove_spans(
     docs: DataFrame, items: DataFrame, scratch: str, text: str = "text", item_id: str = "item_id",
-    item_text: str = "text", n: int = WINDOW,
+    item_text: str = "text", n: int = WINDOW, block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
-    """``docs`` with the hit words cut from their texts. Items must fit one broadcast of BLOCK_WORDS words."""
-    items = items.select(
-        F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("item"), F.col(item_text).alias("text")
-    )
-    if (items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) > 2 * BLOCK_WORDS:
-        raise ValueError("too many items for one broadcast; use drop_contaminated")
-    broadcast = _share(items, n)
+    """``docs`` with the hit words of all items cut from their texts, in blocks of items like ``contamination``."""
+    frame, hits = _scanned(docs, items, scratch, text, item_id, item_text, n, block_words)
 
     @F.pandas_udf("string")
-    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        index = _index(broadcast)
-        for texts in batches:
-            yield pd.Series([cut_spans(t, *index.scan(t)[1:3]) for t in texts], dtype=object)
+    def cut(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, starts, stops in batches:
+            yield pd.Series([cut_spans(t, *_union(list(a), list(b))) for t, a, b in zip(texts, starts, stops)], dtype=object)
 
-    return docs.withColumn(text, cut(F.col(text)))
+    starts, stops = (F.flatten(F.array(*[h[x] for h in hits])) for x in ("starts", "stops"))
+    return frame.withColumn("cut", cut(F.col("row")[text], starts, stops)).select(
+        *[F.col("cut").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns]
+    )
