@@ -150,3 +150,14 @@ def test_histogram(spark, scratch, monkeypatch):
     middle = lengths.quantiles(sums, [0.5, 1.0]).orderBy("share").collect()
     assert [r.n_tokens for r in middle] == [sorted(sizes)[-(-len(sizes) // 2) - 1], max(sizes)]
     assert lengths.suffix_sums(counts.limit(0)).count() == 0
+
+
+def test_a_word_met_before_costs_no_python_string(monkeypatch):
+    """Units are coded in bulk: what is looked up is each distinct unit of a segment once, and marks do not make new ones."""
+    asked, looked_up, ids_of = [], [], UnitEncoder._ids
+    monkeypatch.setattr(UnitEncoder, "_ids", lambda self, units: looked_up.append(list(units)) or ids_of(self, units))
+    own = UnitEncoder(lambda units: asked.extend(units) or [u.encode("utf-32-le") for u in units])
+    texts = ["red blue, red### blue red, " * 300, None, "red　blue's  red(blue)"]
+    assert [x.decode("utf-32-le") for x in own.encode_many(texts)] == [t or "" for t in texts]
+    assert len(looked_up) == 1 and len(looked_up[0]) == len(set(looked_up[0])) == len(asked) == 10
+    assert " blue" in asked and " blue," not in asked

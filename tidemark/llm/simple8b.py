@@ -51,7 +51,10 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     # Bits of each id: the powers of two it reaches.
-    bits = np.searchsorted(np.array([1 << w for w in range(64)], np.uint64), ids, side="right").astype(np.int16)
+    if ids.max() < 1 << 53:  # a double is exact
+        bits = np.frexp(ids.astype(np.float64))[1].astype(np.int8)
+    else:
+        bits = np.searchsorted(np.array([1 << w for w in range(64)], np.uint64), ids, side="right").astype(np.int8)
     # The largest width among the next ``count`` ids decides whether a selector fits there.
     selector = np.full(n, ESCAPE, np.int8)
     largest, reach = bits, 1  # of the next ``reach`` ids
@@ -67,7 +70,7 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not fits.any():
             break  # more ids have fewer bits each
         selector[: len(fits)][fits] = s
-    step = np.array([*COUNTS, 0, 1])[selector].tolist()
+    step = np.array([*COUNTS, 0, 1], np.uint8)[selector].tobytes()
     heads, i = [], 0
     while i < n:
         heads.append(i)
@@ -80,8 +83,11 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if s == ESCAPE:
             words[at] |= np.arange(len(at), dtype=np.uint64)
             continue
+        first = heads[at]
+        filled = words[at]
         for j in range(COUNTS[s]):
-            words[at] |= ids[heads[at] + j] << np.uint64(j * WIDTHS[s])
+            filled |= ids[first + j] << np.uint64(j * WIDTHS[s])
+        words[at] = filled
     return words, ids[heads[chosen == ESCAPE]]
 
 
