@@ -3,6 +3,7 @@ import random
 import uuid
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -205,3 +206,26 @@ def test_options():
             SyncOptions(**bad)
     assert [encoder_batch(n) for n in (128, 2, 1)] == [64, 1, 16]
     assert hashing_encoder(4)()(["a"]).dtype == np.float32
+
+
+def test_texts_reach_python_functions_in_bounded_slices(spark, monkeypatch):
+    """Whatever a batch of rows holds, no more than a slice of it is made into Python strings at once."""
+    from tidemark.functions import text
+
+    sizes = [5, 5, 30, 0, 9, 2, 10, 1]
+    texts = pa.array([None if n == 0 else "é" * (n // 2) + "x" * (n % 2) for n in sizes])
+    slices = [s.to_pylist() for s in text.text_slices(texts, 10)]
+    assert [t for s in slices for t in s] == texts.to_pylist() and [len(s) for s in slices] == [2, 1, 2, 1, 1, 1]
+    assert [len(s) for s in text.text_slices(pa.array([], pa.string()))] == [0]
+
+    monkeypatch.setattr(text, "SLICE_BYTES", 2_000)
+    rows = [(i, None if i % 7 == 3 else f"{i} " + "word " * (i * 37 % 900)) for i in range(120)]
+    frame = spark.createDataFrame(rows, "i int, t string").coalesce(1)
+    # The size of the encoder's calls tells what was there to choose from.
+    sized = encode(frame, "t", lambda: (lambda part: np.full((len(part), 1), sum(map(len, part)))), 1, batch_size=1000).collect()
+    assert all(r.vector is None if r.t is None else r.vector[0] <= max(2_000, len(r.t)) for r in sized)
+    found = chunk(encode(frame, "t", dim=8), "t", 100, 20).collect()
+    encoder = hashing_encoder(8)()
+    for r in found:
+        assert r.chunks == split_text(r.t, 100, 20)
+        assert r.vector == (None if r.t is None else encoder([r.t])[0].tolist())

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import is_blank, strip
+from tidemark.functions.text import is_blank, strip, text_slices
 from tidemark.options import check_chunking
 
 # Separators from coarse to fine; the empty one is every character.
@@ -77,12 +78,14 @@ def chunk_column(text: Column, size: int = 1000, overlap: int = 150) -> Column:
     """
     check_chunking(size, overlap)
 
-    @F.pandas_udf("array<string>")
-    def split_long(texts: pd.Series) -> pd.Series:
-        return pd.Series(
-            [split_text(t, size, overlap) if isinstance(t, str) else None for t in texts],
-            index=texts.index, dtype=object,
-        )
+    list_type = pa.list_(pa.field("element", pa.string()))
+
+    @F.arrow_udf("array<string>")
+    def split_long(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        # By slices of a batch, as its texts and their chunks would all be held at once.
+        for batch in batches:
+            for texts in text_slices(batch):
+                yield pa.array([None if t is None else split_text(t, size, overlap) for t in texts.to_pylist()], list_type)
 
     long_text = F.when(F.length(text) > size, text)
     short = F.when(text.isNull() | is_blank(text), F.array().cast("array<string>")).otherwise(

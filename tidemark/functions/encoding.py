@@ -8,12 +8,12 @@ from functools import lru_cache
 from typing import Any
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import text_slices
 from tidemark.options import check_positive
 
 Encoder = Callable[[list[str]], Any]
@@ -105,10 +105,12 @@ def encode_column(
     check_positive("dim", dim)
     check_positive("batch_size", batch_size)
 
-    def run(encoder: Encoder, texts: pd.Series) -> list[tuple[np.ndarray | None, str | None]]:
+    vector_type = pa.list_(pa.field("element", pa.float32()))
+
+    def run(encoder: Encoder, texts: list[str | None]) -> list[tuple[np.ndarray | None, str | None]]:
         # A null text has no vector; the encoder doesn't see it.
         places = [i for i, t in enumerate(texts) if t is not None]
-        values = [texts.iloc[i] for i in places]
+        values = [texts[i] for i in places]
         found: list[tuple[np.ndarray | None, str | None]] = [(None, None)] * len(texts)
         for batch in batches_by_length(values, batch_size, batch_chars):
             part = [values[i] for i in batch]
@@ -117,21 +119,28 @@ def encode_column(
                 found[places[i]] = row
         return found
 
+    # Slices of a batch: 10,000 rows of long texts, as Python strings and with what is made of them, are too much at once.
     if isolate:
 
-        @F.pandas_udf("vector array<float>, error string")
-        def encode_apart(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        @F.arrow_udf("vector array<float>, error string")
+        def encode_apart(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             encoder = factory()
-            for texts in batches:
-                yield pd.DataFrame(run(encoder, texts), columns=["vector", "error"], index=texts.index, dtype=object)
+            for batch in batches:
+                for texts in text_slices(batch):
+                    found = run(encoder, texts.to_pylist())
+                    yield pa.StructArray.from_arrays(
+                        [pa.array([v for v, _ in found], vector_type, from_pandas=True), pa.array([e for _, e in found], pa.string())],
+                        names=["vector", "error"],
+                    )
 
         return encode_apart(text)
 
-    @F.pandas_udf("array<float>")
-    def encode_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<float>")
+    def encode_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = factory()
-        for texts in batches:
-            yield pd.Series([v for v, _ in run(encoder, texts)], index=texts.index, dtype=object)
+        for batch in batches:
+            for texts in text_slices(batch):
+                yield pa.array([v for v, _ in run(encoder, texts.to_pylist())], vector_type, from_pandas=True)
 
     return encode_batches(text)
 
